@@ -64,30 +64,34 @@ def sample_skewness(column: str) -> Column:
     return F.when(n > 2, adjusted)
 
 
+def _fill_measures(numeric: Sequence[str], words: Sequence[str]) -> list[Column]:
+    missing = [F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in [*numeric, *words]]
+    means = [F.avg(c).alias(f"mean_{c}") for c in numeric]
+    skews = [sample_skewness(c).alias(f"skew_{c}") for c in numeric]
+    return [*missing, *means, *skews]
+
+
 def fit_fills(
     df: DataFrame,
     numeric: Sequence[str],
     words: Sequence[str],
     skew_cutoff: float = SKEW_CUTOFF,
     only_missing: bool = True,
+    seen=None,
 ) -> list[Fill]:
     """Mean, or median when skewed, of numeric columns; mode of text columns.
 
-    One pass gives counts, means and skewness.  Medians and modes, which cost
-    more, are found only for the columns that need them.
+    One pass gives counts, means and skewness (``seen`` hands in its row when
+    the caller already has it).  Medians and modes, which cost more, are found
+    only for the columns that need them.
     """
     columns = [*numeric, *words]
     if not columns:
         return []
-    seen = df.agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"missing_{i}") for i, c in enumerate(columns)],
-        *[F.avg(c).alias(f"mean_{i}") for i, c in enumerate(numeric)],
-        *[sample_skewness(c).alias(f"skew_{i}") for i, c in enumerate(numeric)],
-    ).first()
-    missing = {c: seen[f"missing_{i}"] for i, c in enumerate(columns)}
-    wanted = [c for c in columns if missing[c] > 0 or not only_missing]
-    means = {c: seen[f"mean_{i}"] for i, c in enumerate(numeric)}
-    skews = {c: seen[f"skew_{i}"] for i, c in enumerate(numeric)}
+    if seen is None:
+        seen = df.agg(*_fill_measures(numeric, words)).first()
+    wanted = [c for c in columns if seen[f"missing_{c}"] > 0 or not only_missing]
+    skews = {c: seen[f"skew_{c}"] for c in numeric}
     skewed = [
         c
         for c in numeric
@@ -97,12 +101,13 @@ def fit_fills(
     modes = fit_modes(df, [c for c in words if c in wanted])
     fills = []
     for c in wanted:
+        missing = seen[f"missing_{c}"]
         if c in modes:
-            fills.append(Fill(c, "mode", modes[c], None, missing[c]))
+            fills.append(Fill(c, "mode", modes[c], None, missing))
         elif c in medians:
-            fills.append(Fill(c, "median", medians[c][0], skews[c], missing[c]))
-        elif c in means:
-            fills.append(Fill(c, "mean", means[c], skews[c], missing[c]))
+            fills.append(Fill(c, "median", medians[c][0], skews[c], missing))
+        else:
+            fills.append(Fill(c, "mean", seen[f"mean_{c}"], skews[c], missing))
     return fills
 
 
@@ -180,45 +185,37 @@ def clean(df: DataFrame, spec: CleanSpec = CleanSpec()) -> tuple[DataFrame, Data
         .withColumns({c: text.blank_to_null(F.col(c)) for c in words})
     )
     unique = materialize(groups, "clean")
-    counted = unique.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("before"),
-        F.count(F.lit(1)).alias("after"),
+    rows = unique.select(*df.columns)
+    dated = [*words, *schemas.date_like_columns(df.schema)]
+    is_date = quality.date_measures(df.select(*dated))
+    seen = unique.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("_before"),
+        F.count(F.lit(1)).alias("_after"),
         *[F.count_if(F.col(f"_blank_{i}")).alias(f"_blank_{i}") for i in range(len(words))],
+        *[is_date[c].alias(f"date_{c}") for c in dated],
+        *_fill_measures(numeric, words),
     ).first()
-    rows = unique.select(*df.columns)
 
-    fills = fit_fills(rows, numeric, words, spec.skew_cutoff)
-    filled = apply_fills(rows, fills)
-    tidy = normalize_text(filled, words)
+    fills = fit_fills(rows, numeric, words, spec.skew_cutoff, seen=seen)
+    tidy = normalize_text(apply_fills(rows, fills), words)
     checked = list(spec.outlier_columns) if spec.outlier_columns is not None else numeric
     fences = quality.iqr_fences(tidy, checked, spec.iqr_factor)
     cleaned = tidy.withColumns({f"{c}_outlier": quality.is_outlier(c, fences[c]) for c in checked})
-    flags = (
-        tidy.agg(
-            *[F.count_if(quality.is_outlier(c, fences[c])).alias(c) for c in checked]
-        ).first()
-        if checked
-        else {}
-    )
-    dates = quality.date_columns(rows.select(*words, *schemas.date_like_columns(df.schema)))
+    marks = [F.count_if(quality.is_outlier(c, fences[c])).alias(c) for c in checked]
+    flags = tidy.agg(*marks).first() if marks else {}
 
-    before, after = counted["before"], counted["after"]
+    before, after = seen["_before"], seen["_after"]
     imputed = sum(f.n_missing for f in fills if f.value is not None)
     records = [
         ("size", "rows_before", float(before)),
         ("size", "rows_removed", float(before - after)),
         ("size", "rows_after", float(after)),
         ("size", "pct_kept", round(100.0 * after / before, 2) if before else None),
-        *[("blank_to_null", c, float(counted[f"_blank_{i}"])) for i, c in enumerate(words)],
+        *[("blank_to_null", c, float(seen[f"_blank_{i}"])) for i, c in enumerate(words)],
         *[("imputed", f.column, float(f.n_missing)) for f in fills if f.value is not None],
         ("imputed", "total", float(imputed)),
         *[("outliers", c, float(flags[c])) for c in checked],
         ("outliers", "columns", float(sum(flags[c] > 0 for c in checked))),
     ]
-    counts = from_records(spark, records, "section string, item string, value double")
-    found = dates.select(
-        F.lit("dates").alias("section"),
-        F.col("column_name").alias("item"),
-        F.col("is_date").cast("double").alias("value"),
-    )
-    return cleaned, counts.unionByName(found)
+    records += [("dates", c, float(seen[f"date_{c}"])) for c in dated]
+    return cleaned, from_records(spark, records, "section string, item string, value double")

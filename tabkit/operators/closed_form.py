@@ -29,18 +29,18 @@ def predict_line(x: str, line: tuple[float, float]) -> Column:
     return F.lit(line[0]) + F.lit(line[1]) * F.col(x)
 
 
-def _sums(x: str, y: str, i: int, shift: float) -> list[Column]:
-    """Sums about a common origin, which keeps their differences precise."""
+def _line_sums(x: str, y: str, i: int) -> Column:
+    """What one fold says about a line: size, means, spread and co-spread."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     u = F.when(both, F.col(x).cast("double"))
-    v = F.when(both, F.col(y).cast("double") - F.lit(shift))
-    return [
-        F.count(u).alias(f"n_{i}"),
-        F.sum(u).alias(f"x_{i}"),
-        F.sum(v).alias(f"y_{i}"),
-        F.sum(u * u).alias(f"xx_{i}"),
-        F.sum(u * v).alias(f"xy_{i}"),
-    ]
+    v = F.when(both, F.col(y).cast("double"))
+    return F.struct(
+        F.count(u).alias("n"),
+        F.avg(u).alias("mx"),
+        F.avg(v).alias("my"),
+        F.var_pop(u).alias("vx"),
+        F.covar_pop(u, v).alias("cxy"),
+    ).alias(f"s_{i}")
 
 
 def fold_lines(
@@ -48,29 +48,31 @@ def fold_lines(
 ) -> dict[int | None, dict[str, tuple[float, float]]]:
     """Line of each feature fitted without fold 0..k-1; key None: on all rows.
 
-    The pass returns k rows of sums; what follows is arithmetic on them.
+    The pass returns k rows; the lines follow by arithmetic on those.
     """
-    first = df.agg(F.avg(target).alias("m")).first()["m"] or 0.0
-    aggregates = [s for i, x in enumerate(features) for s in _sums(x, target, i, first)]
-    per_fold = {
-        row[fold]: row for row in df.groupBy(fold).agg(*aggregates).limit(k + 1).collect()
-    }
-    lines: dict[int | None, dict[str, tuple[float, float]]] = {}
-    for left_out in [None, *range(k)]:
-        rows = [row for f, row in per_fold.items() if f != left_out]
-        lines[left_out] = {
-            x: _line(rows, i, first) for i, x in enumerate(features)
+    sums = [_line_sums(x, target, i) for i, x in enumerate(features)]
+    per_fold = {row[fold]: row for row in df.groupBy(fold).agg(*sums).limit(k + 1).collect()}
+    return {
+        left_out: {
+            x: _line([row[f"s_{i}"] for f, row in per_fold.items() if f != left_out])
+            for i, x in enumerate(features)
         }
-    return lines
+        for left_out in [None, *range(k)]
+    }
 
 
-def _line(rows: list, i: int, shift: float) -> tuple[float, float]:
-    n, sx, sy, sxx, sxy = (
-        sum(row[f"{name}_{i}"] or 0 for row in rows) for name in ("n", "x", "y", "xx", "xy")
-    )
-    spread = n * sxx - sx * sx
-    slope = (n * sxy - sx * sy) / spread if spread else 0.0
-    return (sy - slope * sx) / n + shift, slope
+def _line(parts: list) -> tuple[float, float]:
+    """(intercept, slope) of the union of parts, combined about the common mean."""
+    parts = [p for p in parts if p["n"]]
+    n = sum(p["n"] for p in parts)
+    if not n:
+        return 0.0, 0.0
+    mx = sum(p["n"] * p["mx"] for p in parts) / n
+    my = sum(p["n"] * p["my"] for p in parts) / n
+    vx = sum(p["n"] * (p["vx"] + (p["mx"] - mx) ** 2) for p in parts)
+    cxy = sum(p["n"] * (p["cxy"] + (p["mx"] - mx) * (p["my"] - my)) for p in parts)
+    slope = cxy / vx if vx else 0.0
+    return my - slope * mx, slope
 
 
 def fold_predictions(
@@ -127,6 +129,7 @@ def compare_models(
     lines = fold_lines(train, features, target, fold, k)
     part = F.when(F.col(split) == "train", F.col(fold)).otherwise(F.lit(-1))
     scored = fold_predictions(df.withColumn("_part", part), lines, features, "_part")
+    # At most k + 1 rows per model, named by the caller.
     scores = small_side(wide_scores(scored, features, target, ["_part"]))
     cv = metrics.across_folds(
         scores.filter("_part >= 0"), ["r2", "rmse", "mae"], by=["model"]
@@ -139,7 +142,7 @@ def compare_models(
         F.col("rmse").alias("test_rmse"),
         F.col("mae").alias("test_mae"),
     )
-    return cv.join(small_side(test), "model")
+    return cv.join(F.broadcast(test), "model")
 
 
 def gap_pct(better: Column, worse: Column) -> Column:

@@ -33,12 +33,8 @@ def inject_nulls_exact(
     df: DataFrame, keys: Sequence[str], counts: Mapping[str, tuple[str, int]]
 ) -> DataFrame:
     """NULL in exactly n different rows per column: ``{column: (salt, n)}``."""
-    return df.withColumns(
-        {
-            c: F.when(~first_by_hash(df, keys, n, salt), F.col(c))
-            for c, (salt, n) in counts.items()
-        }
-    )
+    hit = first_by_hash(df, keys, counts)
+    return df.withColumns({c: F.when(~hit[c], F.col(c)) for c in counts})
 
 
 def inject_blanks(

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tabkit.functions.numeric import relative_change_pct
 from tabkit.operators import curves, features, metrics
 from tabkit.operators.splits import random_split, with_fold
-from tabkit.session import small_side
+from tabkit.session import small_side, spread
 from tabkit.sources.readers import from_records
 
 # Tree settings the published metrics were reached with.
@@ -74,12 +74,12 @@ def compare_feature_sets(
     rows, so only the features differ.
     """
     used = sorted({c for names in sets.values() for c in names})
-    split = random_split(
-        df.select(*keys, *used, *([category] if category else []), F.col(target).alias("label")),
-        keys,
-        {"train": 0.8, "test": 0.2},
-        "fs",
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = df.select(
+        *keys, *used, *([category] if category else []), F.col(target).alias("label")
+    )
+    split = random_split(spread(narrow), keys, {"train": 0.8, "test": 0.2}, "fs").persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
     try:
         train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
         split.count()  # filled before the clock starts: the first set pays no extra scan
@@ -108,7 +108,7 @@ def compare_feature_sets(
 
 def cross_validate(df: DataFrame, model, keys: Sequence[str], target: str, k: int = 5) -> DataFrame:
     """Fold scores (fold, r2, rmse, mae) of an MLlib model on hash folds."""
-    folded = with_fold(df, keys, k).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = with_fold(spread(df), keys, k).persist(StorageLevel.MEMORY_AND_DISK)
     records = []
     try:
         for fold in range(k):

@@ -13,6 +13,8 @@ from tabkit.functions.numeric import ratio, share_pct
 from tabkit.operators.quantiles import exact_quantiles
 
 DATE_SHARE = 0.95
+# Text that may be a date: a bare number is not one.
+DATE_SHAPE = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 
 
 def one_pass(df: DataFrame, columns: Sequence[str], measures: Mapping[str, object]) -> DataFrame:
@@ -91,22 +93,26 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def date_columns(df: DataFrame, min_share: float = DATE_SHARE) -> DataFrame:
-    """column_name, is_date: typed dates, or text that nearly always reads as one."""
+def date_measures(df: DataFrame, min_share: float = DATE_SHARE) -> dict[str, Column]:
+    """Per column an aggregate that tells whether it holds dates."""
     typed = set(schemas.date_like_columns(df.schema))
     words = set(schemas.text_columns(df.schema))
 
     def is_date(c: str) -> Column:
-        if c in typed:
-            return F.lit(True)
         if c not in words:
-            return F.lit(False)
-        readable = F.avg(
-            F.when(F.col(c).isNotNull(), F.col(c).try_cast("timestamp").isNotNull().cast("int"))
-        )
+            return F.lit(c in typed)
+        value = F.col(c)
+        reads = value.rlike(DATE_SHAPE) & value.try_cast("timestamp").isNotNull()
+        readable = F.avg(reads.cast("int"))
         return F.coalesce(readable >= min_share, F.lit(False))
 
-    return one_pass(df, df.columns, {"is_date": is_date})
+    return {c: is_date(c) for c in df.columns}
+
+
+def date_columns(df: DataFrame, min_share: float = DATE_SHARE) -> DataFrame:
+    """column_name, is_date: typed dates, or text that nearly always reads as one."""
+    measures = date_measures(df, min_share)
+    return one_pass(df, df.columns, {"is_date": lambda c: measures[c]})
 
 
 def iqr_fences(

@@ -1,11 +1,11 @@
 """Exact order statistics of any number of rows.
 
-``percentile`` keeps every distinct value of a column in one task.  Up to a
-bound that is the fastest way and it is used; beyond it the wanted rank is
-closed in by brackets: an approximate quantile proposes cuts around it, an
-exact count says on which side the rank lies, and this repeats until few
-enough rows are left to be sorted.  Every pass is a scan with one row per
-task as its result, whatever the data or its skew, and the answer is exact.
+``percentile`` keeps every distinct value of a column in one task.  Here the
+wanted rank is closed in by brackets instead: an approximate quantile proposes
+cuts around it, an exact count says on which side the rank lies, and this
+repeats until few enough rows are left to be sorted.  Every pass is a scan that
+returns one row, whatever the data or its skew, and the answer is exact.  A
+hundred million rows need three passes, a trillion five.
 """
 
 from __future__ import annotations
@@ -18,14 +18,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DIRECT_ROWS = 2_000_000
-BRACKET_VALUES = 100_000
+# Most rows of one bracket that a task may hold to sort them.
+BRACKET_ROWS = 10_000
+# An approximate rank is off by at most one part in this many.
 ACCURACY = 10_000
+MARGIN = 2.0 / ACCURACY
 
 
 @dataclass
 class _Bracket:
-    """Closed range known to hold the value of ``rank``."""
+    """Closed range known to hold the value of ``rank`` (0 is the smallest)."""
 
     column: str
     rank: int
@@ -37,6 +39,9 @@ class _Bracket:
     def done(self, limit: int) -> bool:
         return self.low == self.high or self.inside <= limit
 
+    def holds(self) -> Column:
+        return F.col(self.column).between(self.low, self.high)
+
 
 def _present(df: DataFrame, column: str) -> Column:
     value = F.col(column).cast("double")
@@ -45,49 +50,62 @@ def _present(df: DataFrame, column: str) -> Column:
     return value
 
 
+def _around(place: float) -> tuple[float, float]:
+    return max(place - MARGIN, 0.0), min(place + MARGIN, 1.0)
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    direct_rows: int = DIRECT_ROWS,
-    bracket_values: int = BRACKET_VALUES,
+    bracket_rows: int = BRACKET_ROWS,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column; NULL and NaN are left out."""
     if not columns:
         return {}
     values = df.select(*[_present(df, c).alias(c) for c in columns])
+    proposed = [p for probability in probabilities for p in _around(probability)]
     head = values.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.min(c).alias(f"lo_{i}") for i, c in enumerate(columns)],
-        *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(columns)],
+        *[
+            F.struct(
+                F.count(c).alias("n"),
+                F.min(c).alias("low"),
+                F.max(c).alias("high"),
+                F.percentile_approx(c, proposed, ACCURACY).alias("cuts"),
+            ).alias(f"c_{i}")
+            for i, c in enumerate(columns)
+        ]
     ).first()
-    sizes = {c: head[f"n_{i}"] for i, c in enumerate(columns)}
-    result: dict[str, list[float | None]] = {
-        c: [None] * len(probabilities) for c in columns if sizes[c] == 0
-    }
 
-    direct = [c for c in columns if 0 < sizes[c] <= direct_rows]
-    if direct:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = values.agg(*[F.percentile(c, wanted).alias(c) for c in direct]).first()
-        result.update({c: list(row[c]) for c in direct})
-
-    large = [c for c in columns if sizes[c] > direct_rows]
-    if large:
-        ends = {c: (head[f"lo_{i}"], head[f"hi_{i}"]) for i, c in enumerate(columns)}
-        ranks = {c: _ranks(sizes[c], probabilities) for c in large}
-        brackets = [
-            _Bracket(c, rank, *ends[c], 0, sizes[c])
-            for c in large
-            for rank in sorted({r for low, high, _ in ranks[c] for r in (low, high)})
+    brackets: dict[tuple[str, int], _Bracket] = {}
+    cuts: dict[tuple[str, int], tuple[float, float]] = {}
+    wanted: dict[str, list[tuple[int, int, float]]] = {}
+    for i, c in enumerate(columns):
+        seen = head[f"c_{i}"]
+        if seen["n"] == 0:
+            continue
+        wanted[c] = _ranks(seen["n"], probabilities)
+        for j, (first, second, _) in enumerate(wanted[c]):
+            for rank in (first, second):
+                if (c, rank) not in brackets:
+                    brackets[c, rank] = _Bracket(c, rank, seen["low"], seen["high"], 0, seen["n"])
+                    cuts[c, rank] = tuple(seen["cuts"][2 * j : 2 * j + 2])
+
+    while pending := [b for b in brackets.values() if not b.done(bracket_rows)]:
+        if not cuts:
+            cuts = _propose(values, pending)
+        _narrow_all(values, pending, cuts)
+        cuts = {}
+    found = _pick(values, list(brackets.values()))
+    return {
+        c: [
+            found[c, first] + (found[c, second] - found[c, first]) * part
+            for first, second, part in wanted[c]
         ]
-        found = _close_in(values, brackets, bracket_values)
-        for c in large:
-            result[c] = [
-                found[c, low] + (found[c, high] - found[c, low]) * part
-                for low, high, part in ranks[c]
-            ]
-    return result
+        if c in wanted
+        else [None] * len(probabilities)
+        for c in columns
+    }
 
 
 def _ranks(n: int, probabilities: Sequence[float]) -> list[tuple[int, int, float]]:
@@ -95,73 +113,58 @@ def _ranks(n: int, probabilities: Sequence[float]) -> list[tuple[int, int, float
     return [(math.floor(x), math.ceil(x), x - math.floor(x)) for x in places]
 
 
-def _close_in(
-    values: DataFrame, brackets: list[_Bracket], limit: int
-) -> dict[tuple[str, int], float]:
-    while pending := [b for b in brackets if not b.done(limit)]:
-        cuts = _propose(values, pending)
-        counted = values.agg(
-            *[x for i, (b, cut) in enumerate(zip(pending, cuts)) for x in _sides(i, b, *cut)]
-        ).first()
-        for i, (bracket, cut) in enumerate(zip(pending, cuts)):
-            _narrow(bracket, cut, counted, i)
-    return {(b.column, b.rank): _pick(values, b) for b in brackets}
-
-
-def _propose(values: DataFrame, pending: list[_Bracket]) -> list[tuple[float, float]]:
-    """Two cuts around each rank; the middle of the range if they cut nothing off."""
-    margin = 2.0 / ACCURACY
+def _propose(values: DataFrame, pending: list[_Bracket]) -> dict:
+    """Two cuts around each rank, from the rows inside its bracket only."""
     aggregates = []
     for i, b in enumerate(pending):
-        inside = F.when(F.col(b.column).between(b.low, b.high), F.col(b.column))
+        inside = F.when(b.holds(), F.col(b.column))
         place = (b.rank - b.below) / max(b.inside - 1, 1)
-        around = [max(place - margin, 0.0), min(place + margin, 1.0)]
+        around = list(_around(place))
         aggregates.append(F.percentile_approx(inside, around, ACCURACY).alias(f"c_{i}"))
     row = values.agg(*aggregates).first()
-    cuts = []
+    return {(b.column, b.rank): tuple(row[f"c_{i}"]) for i, b in enumerate(pending)}
+
+
+def _narrow_all(values: DataFrame, pending: list[_Bracket], cuts: dict) -> None:
+    aggregates, used = [], []
     for i, b in enumerate(pending):
-        low, high = row[f"c_{i}"]
+        low, high = cuts[b.column, b.rank]
         if (low, high) == (b.low, b.high):
+            # Nothing cut off: halve the range, which always moves an end.
             low = high = b.low + (b.high - b.low) / 2
-        cuts.append((low, high))
-    return cuts
-
-
-def _sides(i: int, b: _Bracket, low: float, high: float) -> list[Column]:
-    c = F.col(b.column)
-    return [
-        F.count_if(c < low).alias(f"below_{i}"),
-        F.count_if(c <= high).alias(f"upto_{i}"),
-        F.max(F.when(c < low, c)).alias(f"left_{i}"),
-        F.min(F.when(c > high, c)).alias(f"right_{i}"),
-    ]
-
-
-def _narrow(b: _Bracket, cut: tuple[float, float], counted, i: int) -> None:
-    below, upto = counted[f"below_{i}"], counted[f"upto_{i}"]
-    if b.rank < below:
-        b.high, b.inside = counted[f"left_{i}"], below - b.below
-    elif b.rank >= upto:
-        b.low, b.inside = counted[f"right_{i}"], b.below + b.inside - upto
-        b.below = upto
-    else:
-        b.low, b.high = cut
-        b.below, b.inside = below, upto - below
-
-
-def _pick(values: DataFrame, b: _Bracket) -> float:
-    if b.low == b.high:
-        return b.low
-    counts = (
-        values.filter(F.col(b.column).between(b.low, b.high))
-        .groupBy(b.column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(b.column)
-        .collect()
-    )
-    reached = b.below
-    for row in counts:
-        reached += row["n"]
-        if b.rank < reached:
-            return row[b.column]
-    raise AssertionError("rank outside its bracket")
+        used.append((low, high))
+        c = F.col(b.column)
+        aggregates += [
+            F.count_if(c < low).alias(f"below_{i}"),
+            F.count_if(c <= high).alias(f"upto_{i}"),
+            F.max(F.when(c < low, c)).alias(f"left_{i}"),
+            F.min(F.when(c > high, c)).alias(f"right_{i}"),
+        ]
+    counted = values.agg(*aggregates).first()
+    for i, (b, (low, high)) in enumerate(zip(pending, used)):
+        below, upto = counted[f"below_{i}"], counted[f"upto_{i}"]
+        if b.rank < below:
+            b.high, b.inside = counted[f"left_{i}"], below - b.below
+        elif b.rank >= upto:
+            b.low, b.inside = counted[f"right_{i}"], b.below + b.inside - upto
+            b.below = upto
+        else:
+            b.low, b.high, b.below, b.inside = low, high, below, upto - below
+
+
+def _pick(values: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
+    """The value at each rank; at most ``bracket_rows`` values are held per rank."""
+    found = {(b.column, b.rank): b.low for b in brackets if b.low == b.high}
+    rest = [b for b in brackets if b.low != b.high]
+    if rest:
+        row = values.agg(
+            *[
+                F.get(
+                    F.sort_array(F.collect_list(F.when(b.holds(), F.col(b.column)))),
+                    F.lit(b.rank - b.below),
+                ).alias(f"v_{i}")
+                for i, b in enumerate(rest)
+            ]
+        ).first()
+        found.update({(b.column, b.rank): row[f"v_{i}"] for i, b in enumerate(rest)})
+    return found

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from tabkit.functions.hashing import fold_of, hex_cut, key_hash
 from tabkit.session import small_side
 
-# Hash prefix that cuts a stratum into 16**5 slices.  Only slices that hold a
-# boundary are looked at row by row: about a millionth of the stratum each.
-SLICE_DIGITS = 5
+# Hash prefix that cuts a stratum into 16**4 slices.  Only slices that hold a
+# boundary are looked at row by row: about 1/65,000 of the stratum each.
+SLICE_DIGITS = 4
 
 
 def _cumulative(weights: Mapping[str, float]) -> list[tuple[str, Decimal]]:
@@ -151,13 +151,31 @@ def rank_cuts(
     )
 
 
-def first_by_hash(df: DataFrame, keys: Sequence[str], n: int, salt: str = "") -> Column:
-    """True for exactly ``n`` rows in hash order (unique keys); found in two scans."""
-    hashed = df.select(F.lit(1).alias("all_rows"), key_hash(keys, salt).alias("h"))
-    found = rank_cuts(hashed, "all_rows", "h", [F.least(F.lit(n), F.col("total"))]).first()
-    if n <= 0 or found is None:
-        return F.lit(False)
-    return key_hash(keys, salt) <= found["cuts"][0]
+def first_by_hash(
+    df: DataFrame, keys: Sequence[str], draws: Mapping[str, tuple[str, int]]
+) -> dict[str, Column]:
+    """Per draw ``{name: (salt, n)}``, true for exactly ``n`` rows (unique keys).
+
+    The rows first in the order of the salted hash are taken.  All draws are
+    found together: each is a label of its own over the same rows.
+    """
+    hashes = F.array(
+        *[
+            F.struct(F.lit(name).alias("draw"), key_hash(keys, salt).alias("h"))
+            for name, (salt, _) in draws.items()
+        ]
+    )
+    hashed = df.select(F.explode(hashes).alias("d")).select("d.draw", "d.h")
+    wanted = F.lit(0)
+    for name, (_, n) in draws.items():
+        wanted = F.when(F.col("draw") == name, F.lit(n)).otherwise(wanted)
+    cuts = rank_cuts(hashed, "draw", "h", [F.least(wanted, F.col("total"))])
+    # One row per draw; draws are named by the caller.
+    found = {row["draw"]: row["cuts"][0] for row in cuts.limit(len(draws)).collect()}
+    return {
+        name: key_hash(keys, salt) <= found[name] if found.get(name) else F.lit(False)
+        for name, (salt, _) in draws.items()
+    }
 
 
 def split_sizes(df: DataFrame, columns: Sequence[str], *extra: Column) -> DataFrame:

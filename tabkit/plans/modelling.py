@@ -12,7 +12,7 @@ from tabkit.operators import closed_form, features, metrics, models, splits
 from tabkit.operators import relational as rel
 from tabkit.plans.analysis import CHARGE_SQL, LINE_KEY, charged_lines
 from tabkit.plans.registry import query
-from tabkit.session import work_path
+from tabkit.session import spread, work_path
 from tabkit.sources import writers
 from tabkit.sources.readers import from_records, table
 
@@ -101,7 +101,7 @@ both_parts AS (SELECT * FROM cv JOIN test USING (model))
 
 
 def compared(spark: SparkSession, folder: str) -> DataFrame:
-    lines = charged_lines(spark, folder, *LINE_KEY, *CANDIDATES[:1], *CANDIDATES[1:])
+    lines = charged_lines(spark, folder, *LINE_KEY, *CANDIDATES)
     folded = splits.with_fold(lines, LINE_KEY, 5)
     split = splits.random_split(folded, LINE_KEY, {"train": 0.8, "test": 0.2}, "s")
     return closed_form.compare_models(split, CANDIDATES, "charge", "split", "fold", 5)
@@ -167,7 +167,7 @@ def tree_models(spark: SparkSession, folder: str) -> DataFrame:
     """Tree, forest and boosted trees: size, importances and held-out R²."""
     columns = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
     lines = splits.random_split(
-        charged_lines(spark, folder, *LINE_KEY, *columns),
+        spread(charged_lines(spark, folder, *LINE_KEY, *columns)),
         LINE_KEY,
         {"train": 0.7, "held_out": 0.1, "test": 0.2},
     )

@@ -27,6 +27,8 @@ def build_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # Looking up the Python line of every column costs more than small queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -77,3 +79,16 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     if len(rows) <= max_rows:
         return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores for work that passes over them many times.
+
+    Input of one file and row group is one partition, so iterative fits would
+    use one core.  Large input has more partitions than cores and is left as
+    it is: no shuffle is added there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

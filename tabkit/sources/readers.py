@@ -22,17 +22,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Shapes of number text.  Only text of the right shape is cast: a cast that
+# fails costs many times one that works.
+INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
+POINT_ZERO_TEXT = r"^\s*[+-]?\d+\.0*\s*$"
+NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+SPECIAL_NUMBERS = ("NaN", "Infinity", "-Infinity", "Inf", "-Inf")
+
+
 def _typed(cell: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return cell
-    direct = cell.try_cast(kind)
     if isinstance(kind, T.IntegralType):
         # Integer columns that once held NaN are written as "120.0"; a plain
         # cast would silently null the whole column.
         wide = cell.try_cast("double")
-        whole = F.when(wide == F.floor(wide), wide.try_cast(kind))
-        return F.coalesce(direct, whole)
-    return direct
+        return (
+            F.when(cell.rlike(INTEGER_TEXT), cell.try_cast(kind))
+            .when(cell.rlike(POINT_ZERO_TEXT), F.substring_index(cell, ".", 1).try_cast(kind))
+            .when(cell.rlike(NUMBER_TEXT), F.when(wide == F.floor(wide), wide.try_cast(kind)))
+        )
+    if isinstance(kind, T.NumericType):
+        number = cell.rlike(NUMBER_TEXT) | cell.isin(*SPECIAL_NUMBERS)
+        return F.when(number, cell.try_cast(kind))
+    return cell.try_cast(kind)
 
 
 def csv_typed(
