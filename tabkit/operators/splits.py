@@ -97,7 +97,7 @@ def rank_cuts(
     label: str,
     hash_column: str,
     targets: Sequence[Column],
-    slice_digits: int = SLICE_DIGITS,
+    slice_digits: int | None = None,
 ) -> DataFrame:
     """Per label, the hash reached after each target number of rows.
 
@@ -107,7 +107,8 @@ def rank_cuts(
     boundary; only that slice is ordered, after equal hashes are counted
     together, so one key repeated without bound is still one row.
     """
-    sliced = hashed.withColumn("slice", F.substring(hash_column, 1, slice_digits))
+    digits = slice_digits or SLICE_DIGITS
+    sliced = hashed.withColumn("slice", F.substring(hash_column, 1, digits))
     per_slice = sliced.groupBy(label, "slice").agg(F.count(F.lit(1)).alias("n"))
     in_label = Window.partitionBy(label)
     placed = (
