@@ -8,7 +8,7 @@ projection.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tabkit import schemas
 from tabkit.functions import text
 from tabkit.operators import quality
-from tabkit.operators.quantiles import exact_quantiles
+from tabkit.operators.quantiles import exact_quantiles, first_look
 from tabkit.session import materialize
 from tabkit.sources.readers import from_records
 
@@ -188,21 +188,22 @@ def clean(df: DataFrame, spec: CleanSpec = CleanSpec()) -> tuple[DataFrame, Data
     rows = unique.select(*df.columns)
     dated = [*words, *schemas.date_like_columns(df.schema)]
     is_date = quality.date_measures(df.select(*dated))
+    checked = list(spec.outlier_columns) if spec.outlier_columns is not None else numeric
     seen = unique.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("_before"),
         F.count(F.lit(1)).alias("_after"),
         *[F.count_if(F.col(f"_blank_{i}")).alias(f"_blank_{i}") for i in range(len(words))],
         *[is_date[c].alias(f"date_{c}") for c in dated],
+        *[first_look(rows, c, quality.QUARTILES).alias(f"look_{c}") for c in checked],
         *_fill_measures(numeric, words),
     ).first()
 
     fills = fit_fills(rows, numeric, words, spec.skew_cutoff, seen=seen)
     tidy = normalize_text(apply_fills(rows, fills), words)
-    checked = list(spec.outlier_columns) if spec.outlier_columns is not None else numeric
-    fences = quality.iqr_fences(tidy, checked, spec.iqr_factor)
-    cleaned = tidy.withColumns({f"{c}_outlier": quality.is_outlier(c, fences[c]) for c in checked})
-    marks = [F.count_if(quality.is_outlier(c, fences[c])).alias(c) for c in checked]
-    flags = tidy.agg(*marks).first() if marks else {}
+    looks = {c: _look_after_fill(seen[f"look_{c}"], c, fills) for c in checked}
+    fences = quality.iqr_fences(tidy, checked, spec.iqr_factor, looks)
+    outlier = {c: quality.is_outlier(c, fences[c]) for c in checked}
+    cleaned = tidy.withColumns({f"{c}_outlier": flag for c, flag in outlier.items()})
 
     before, after = seen["_before"], seen["_after"]
     imputed = sum(f.n_missing for f in fills if f.value is not None)
@@ -214,8 +215,34 @@ def clean(df: DataFrame, spec: CleanSpec = CleanSpec()) -> tuple[DataFrame, Data
         *[("blank_to_null", c, float(seen[f"_blank_{i}"])) for i, c in enumerate(words)],
         *[("imputed", f.column, float(f.n_missing)) for f in fills if f.value is not None],
         ("imputed", "total", float(imputed)),
-        *[("outliers", c, float(flags[c])) for c in checked],
-        ("outliers", "columns", float(sum(flags[c] > 0 for c in checked))),
     ]
     records += [("dates", c, float(seen[f"date_{c}"])) for c in dated]
-    return cleaned, from_records(spark, records, "section string, item string, value double")
+    counts = from_records(spark, records, "section string, item string, value double")
+    return cleaned, counts.unionByName(_outlier_counts(tidy, outlier))
+
+
+def _look_after_fill(look, column: str, fills: Sequence[Fill]) -> dict:
+    """A first look at a column, as it is once its NULLs are filled.
+
+    A mean or median lies between the ends, so only the size changes.
+    """
+    filled = sum(f.n_missing for f in fills if f.column == column and f.value is not None)
+    return {**look.asDict(), "n": look["n"] + filled}
+
+
+def _outlier_counts(tidy: DataFrame, outlier: Mapping[str, Column]) -> DataFrame:
+    """Report lines (section, item, value) counted when the report is read."""
+    counts = {c: F.count_if(flag).cast("double") for c, flag in outlier.items()}
+    hit = F.lit(0.0)
+    for count in counts.values():
+        hit = hit + (count > 0).cast("double")
+    lines = [*counts.items(), ("columns", hit)]
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit("outliers").alias("section"), F.lit(item).alias("item"), value.alias("value")
+            )
+            for item, value in lines
+        ]
+    )
+    return tidy.agg(rows.alias("rows")).select(F.inline("rows"))

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.functions.hashing import key_hash
-from tabkit.operators.splits import first_by_hash
+from tabkit.operators.splits import first_by_hash, hash_places
+from tabkit.session import small_side
 
 BLANKS = ("", "   ")
 
@@ -62,3 +63,32 @@ def append_copies(
     return (
         df.withColumn("copy", F.explode(F.array_repeat(F.lit(True), copies))).drop("copy")
     )
+
+
+def append_copies_exact(
+    df: DataFrame, keys: Sequence[str], n: int, salt: str = ""
+) -> DataFrame:
+    """Exactly ``n`` more rows, drawn with replacement (unique keys).
+
+    Draw i takes the row at a pseudo-random place of the hash order.  Only the
+    keys are put in order; the drawn ones, broadcast if few, then pick their
+    rows, so the table itself is not shuffled.
+    """
+    spark = df.sparkSession
+    places = hash_places(df, keys, salt)
+    draw = F.conv(F.substring(key_hash(["id"], f"{salt}#"), 1, 12), 16, 10).cast("long")
+    size = df.count()
+    if not size:
+        return df
+    drawn = (
+        spark.range(n)
+        .groupBy((draw % size).alias("place"))
+        .agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    )
+    chosen = small_side(places.join(drawn, "place").select(*keys, "_times"))
+    copies = (
+        df.join(chosen, list(keys))
+        .withColumn("_copy", F.explode(F.array_repeat(F.lit(True), F.col("_times"))))
+        .select(*df.columns)
+    )
+    return df.unionByName(copies)

@@ -25,14 +25,14 @@ def write_all(
     key: str,
     category: str,
     names: Sequence[str] = LAYOUTS,
-    buckets: int = 8,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Write ``df`` once per layout below ``base``; returns a reader for each."""
     return {name: _write(df, name, f"{base}/{name}", key, category, buckets) for name in names}
 
 
 def _write(
-    df: DataFrame, name: str, path: str, key: str, category: str, buckets: int
+    df: DataFrame, name: str, path: str, key: str, category: str, buckets: int | None
 ) -> DataFrame:
     spark = df.sparkSession
     if name == "csv":

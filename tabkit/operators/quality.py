@@ -115,12 +115,18 @@ def date_columns(df: DataFrame, min_share: float = DATE_SHARE) -> DataFrame:
     return one_pass(df, df.columns, {"is_date": lambda c: measures[c]})
 
 
+QUARTILES = (0.25, 0.75)
+
+
 def iqr_fences(
-    df: DataFrame, columns: Sequence[str], factor: float = 1.5
+    df: DataFrame,
+    columns: Sequence[str],
+    factor: float = 1.5,
+    looks: Mapping[str, Mapping] | None = None,
 ) -> dict[str, tuple[float, float, float, float] | None]:
     """(q1, q3, low fence, high fence) per column; None without values."""
     fences = {}
-    for c, (q1, q3) in exact_quantiles(df, columns, [0.25, 0.75]).items():
+    for c, (q1, q3) in exact_quantiles(df, columns, QUARTILES, looks=looks).items():
         if q1 is None:
             fences[c] = None
         else:

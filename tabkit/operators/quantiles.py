@@ -11,7 +11,7 @@ hundred million rows need three passes, a trillion five.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -54,34 +54,44 @@ def _around(place: float) -> tuple[float, float]:
     return max(place - MARGIN, 0.0), min(place + MARGIN, 1.0)
 
 
+def first_look(df: DataFrame, column: str, probabilities: Sequence[float]) -> Column:
+    """Aggregate struct (n, low, high, cuts) that ``exact_quantiles`` starts from."""
+    value = _present(df, column)
+    proposed = [p for probability in probabilities for p in _around(probability)]
+    return F.struct(
+        F.count(value).alias("n"),
+        F.min(value).alias("low"),
+        F.max(value).alias("high"),
+        F.percentile_approx(value, proposed, ACCURACY).alias("cuts"),
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     bracket_rows: int = BRACKET_ROWS,
+    looks: Mapping[str, Mapping] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of each column; NULL and NaN are left out."""
+    """Linearly interpolated quantiles of each column; NULL and NaN are left out.
+
+    ``looks`` hands in a first look per column when an earlier pass took it.
+    Its size and ends must be those of ``df``; its cuts are only proposals.
+    """
     if not columns:
         return {}
+    if looks is None:
+        row = df.agg(
+            *[first_look(df, c, probabilities).alias(f"c_{i}") for i, c in enumerate(columns)]
+        ).first()
+        looks = {c: row[f"c_{i}"] for i, c in enumerate(columns)}
     values = df.select(*[_present(df, c).alias(c) for c in columns])
-    proposed = [p for probability in probabilities for p in _around(probability)]
-    head = values.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"),
-                F.min(c).alias("low"),
-                F.max(c).alias("high"),
-                F.percentile_approx(c, proposed, ACCURACY).alias("cuts"),
-            ).alias(f"c_{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
 
     brackets: dict[tuple[str, int], _Bracket] = {}
     cuts: dict[tuple[str, int], tuple[float, float]] = {}
     wanted: dict[str, list[tuple[int, int, float]]] = {}
-    for i, c in enumerate(columns):
-        seen = head[f"c_{i}"]
+    for c in columns:
+        seen = looks[c]
         if seen["n"] == 0:
             continue
         wanted[c] = _ranks(seen["n"], probabilities)

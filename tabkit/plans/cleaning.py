@@ -82,6 +82,26 @@ def dirty_exact_nulls(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "dirty_exact_copies",
+    """WITH p AS (SELECT *, row_number() OVER (ORDER BY md5('x' || o_orderkey::VARCHAR), o_orderkey) - 1 AS place,
+  count(*) OVER () AS n FROM orders),
+d AS (SELECT ('0x' || substr(md5('x#' || i::VARCHAR), 1, 12))::BIGINT % (SELECT count(*) FROM orders) AS place
+  FROM (SELECT unnest(range(700)) AS i)),
+a AS (SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM p JOIN d USING (place)),
+c AS (SELECT o_orderkey, count(*) AS copies FROM a GROUP BY 1)
+SELECT copies, count(*) AS n_keys, sum(o_orderkey)::BIGINT AS key_sum FROM c GROUP BY copies""",
+)
+def dirty_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Exactly 700 rows drawn with replacement and appended; keys by copies."""
+    orders = table(spark, folder, "orders").select(*COLUMNS)
+    repeated = corruption.append_copies_exact(orders, KEY, 700, "x")
+    per_key = repeated.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("copies"))
+    return per_key.groupBy("copies").agg(
+        F.count(F.lit(1)).alias("n_keys"), F.sum("o_orderkey").alias("key_sum")
+    )
+
+
 @query(
     "dirty_summary",
     f"""WITH {DIRTY_SQL}, t AS (SELECT count(*) AS n_rows,

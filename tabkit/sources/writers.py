@@ -39,20 +39,30 @@ def parquet(
     return path
 
 
-def bucketed_table(df: DataFrame, name: str, key: str, path: str, buckets: int = 8) -> str:
+def bucket_count(df: DataFrame) -> int:
+    """Eight buckets for small input, then one per four input partitions.
+
+    At the usual 128 MB per partition a bucket stays near half a gigabyte.
+    """
+    return min(max(8, df.rdd.getNumPartitions() // 4), 50_000)
+
+
+def bucketed_table(
+    df: DataFrame, name: str, key: str, path: str, buckets: int | None = None
+) -> str:
     """External table bucketed and sorted by ``key``; replaces ``name``.
 
     Rows are sent to their bucket before the write, so each bucket is one
     file instead of one file per task and bucket.  ``key`` should be close to
-    unique: all rows of one key share a bucket.  Choose ``buckets`` so that a
-    bucket fits a task (thousands for a table of 100 TB).
+    unique: all rows of one key share a bucket.
     """
+    count = buckets or bucket_count(df)
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     (
-        df.repartition(buckets, key)
+        df.repartition(count, key)
         .write.mode("overwrite")
         .option("path", path)
-        .bucketBy(buckets, key)
+        .bucketBy(count, key)
         .sortBy(key)
         .saveAsTable(name)
     )

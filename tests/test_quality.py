@@ -139,3 +139,13 @@ def test_skewness_is_bias_adjusted(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert df.agg(cleaning.sample_skewness("v")).first()[0] == pytest.approx(pd.Series(values).skew())
     assert df.limit(2).agg(cleaning.sample_skewness("v")).first()[0] is None
+
+
+@pytest.mark.parametrize("n", [0, 1, 37, 500])
+def test_exact_copies(spark, n):
+    df = spark.range(200).selectExpr("id", "id * 2 as v").repartition(6)
+    repeated = corruption.append_copies_exact(df, ["id"], n, "x")
+    assert repeated.count() == 200 + n
+    assert repeated.distinct().count() == 200
+    again = corruption.append_copies_exact(df.repartition(3), ["id"], n, "x")
+    assert sorted(repeated.collect()) == sorted(again.collect())

@@ -100,3 +100,13 @@ def test_large_cut_table_without_broadcast(spark, monkeypatch):
     plain = lambda d, max_rows=2: session.small_side(d, 2)
     monkeypatch.setattr(splits, "small_side", plain)
     assert assigned(splits.stratified_split(df, "label", ["id"], WEIGHTS)) == expected
+
+
+@pytest.mark.parametrize("digits", [1, 3])
+def test_hash_places_are_a_permutation(spark, digits):
+    import hashlib
+
+    places = splits.hash_places(spark.range(500).repartition(5), ["id"], "s", digits).collect()
+    got = [r["id"] for r in sorted(places, key=lambda r: r["place"])]
+    assert [r["place"] for r in sorted(places, key=lambda r: r["place"])] == list(range(500))
+    assert got == sorted(range(500), key=lambda i: hashlib.md5(f"s{i}".encode()).hexdigest())
