@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tabkit.functions.numeric import saving_pct
 from tabkit.functions.text import human_bytes
-from tabkit.operators.relational import union_all
+from tabkit.operators.relational import inner_count, union_all
 from tabkit.sources import readers, writers
 
 LAYOUTS = ("csv", "parquet_plain", "parquet_snappy", "partitioned", "merged", "bucketed")
@@ -96,6 +96,38 @@ def timed(
     return results
 
 
+def matrix(
+    tables: Mapping[str, DataFrame], key: str, category: str, wanted: str, value: str
+) -> dict[str, Callable[[], DataFrame]]:
+    """The eight cases compared: one-row results in a column ``value`` each.
+
+    A filtered sum over CSV, plain, compressed and partitioned Parquet; the
+    same pushed down on few and on many different values; a count over a
+    merged schema; and a join of the bucketed table with itself.
+    """
+
+    def total(name: str) -> Callable[[], DataFrame]:
+        return lambda: tables[name].filter(F.col(category) == wanted).agg(F.sum(value).alias("value"))
+
+    snappy, merged, bucketed = (tables[n] for n in ("parquet_snappy", "merged", "bucketed"))
+    middle = snappy.agg((F.max(key) / 2).cast("long")).scalar()
+    rows = F.count(F.lit(1)).cast("double").alias("value")
+    return {
+        "csv": total("csv"),
+        "parquet_plain": total("parquet_plain"),
+        "parquet_snappy": total("parquet_snappy"),
+        "pushdown_few_values": total("parquet_snappy"),
+        "pushdown_many_values": lambda: snappy.filter(F.col(key) == middle).agg(
+            F.sum(value).alias("value")
+        ),
+        "partitioned": total("partitioned"),
+        "merged": lambda: merged.agg(rows),
+        "bucketed_join": lambda: inner_count(bucketed, bucketed, key).select(
+            F.col("n_rows").cast("double").alias("value")
+        ),
+    }
+
+
 def footprint(spark: SparkSession, paths: Mapping[str, str], base: str) -> DataFrame:
     """layout, n_files, n_bytes, size_text, pct_saved against ``base``.
 

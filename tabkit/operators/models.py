@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -27,6 +27,7 @@ from tabkit.functions.numeric import relative_change_pct
 from tabkit.operators import curves, features, metrics
 from tabkit.operators.splits import random_split, with_fold
 from tabkit.session import small_side, spread
+from tabkit.sources import writers
 from tabkit.sources.readers import from_records
 
 # Tree settings the published metrics were reached with.
@@ -272,7 +273,7 @@ def tree_text(model, columns: Sequence[str]) -> str:
     return text
 
 
-def weighted_logistic(df: DataFrame, vector: str, label: str, max_iter: int = 50):
+def weighted_logistic(df: DataFrame, vector: str, label: str, max_iter: int = 30):
     """Multinomial logistic regression with balanced class weights."""
     weights = small_side(metrics.class_weights(df, label).select(label, "weight"))
     return LogisticRegression(
@@ -302,5 +303,14 @@ def probabilities(scored: DataFrame, out: str = "probs") -> DataFrame:
     return scored.withColumn(out, vector_to_array("probability"))
 
 
+def keep_best(fitted: Mapping, results: DataFrame, metric: str, folder: str) -> tuple[str, str]:
+    """Store only the model whose row in ``results`` (model, metric) is best.
+
+    Returns its name and path.
+    """
+    name = metrics.best_of(results, metric, "model").first()["model"]
+    return name, writers.model(fitted[name], folder, name)
+
+
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)

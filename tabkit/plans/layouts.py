@@ -37,6 +37,22 @@ def layout_agreement(spark: SparkSession, folder: str) -> DataFrame:
     return layouts.compare(tables, _total)
 
 
+@query("layout_timing")
+def layout_timing(spark: SparkSession, folder: str) -> DataFrame:
+    """layout, value, cold and best warm seconds of the eight cases."""
+    base = work_path(spark, "timed_layouts")
+    tables = layouts.write_all(table(spark, folder, "orders"), base, KEY, CATEGORY)
+    cases = layouts.matrix(tables, KEY, CATEGORY, "F", "o_totalprice")
+    seconds = readers.from_records(
+        spark, layouts.timed(cases, repeats=1), "layout string, cold_seconds double, warm_seconds double"
+    )
+    values = rel.union_all(
+        [case().select(F.lit(name).alias("layout"), "value") for name, case in cases.items()]
+    )
+    # A row per case on each side.
+    return values.join(F.broadcast(seconds), "layout")
+
+
 @query("storage_footprint")
 def storage_footprint(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes on disk per layout.  Sizes depend on the writer, so there is no SQL."""

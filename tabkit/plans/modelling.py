@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.functions import text
+from tabkit.functions import arrays, text
 from tabkit.operators import closed_form, features, metrics, models, splits
 from tabkit.operators import relational as rel
 from tabkit.plans.analysis import CHARGE_SQL, LINE_KEY, charged_lines
@@ -194,18 +195,48 @@ def tree_models(spark: SparkSession, folder: str) -> DataFrame:
     return from_records(spark, rows, "model string, measure string, value double")
 
 
-@query("weighted_classifier")
-def weighted_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    """Class-weighted softmax classifier of the vectors, reported on test rows."""
+def labelled_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = splits.stratified_split(
         table(spark, folder, "embeddings"), "label", ["vec_id"], {"train": 0.8, "test": 0.2}
     )
-    data = models.as_vector(vectors, "embedding").select("vec_id", "label", "features", "split")
+    return models.as_vector(vectors, "embedding").select("vec_id", "label", "features", "split")
+
+
+@query("weighted_classifier")
+def weighted_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Class-weighted softmax and a network on the vectors, reported on test rows."""
+    data = labelled_vectors(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train = data.filter("split = 'train'")
+        ends = data.agg(F.max("label"), F.max(F.size(vector_to_array("features")))).first()
+        fitted = {
+            "weighted softmax": models.weighted_logistic(train, "features", "label"),
+            "network": models.perceptron(
+                train, "features", "label", [ends[1], 32, ends[0] + 1], max_iter=25
+            ),
+        }
+    finally:
+        data.unpersist()
+    reports = []
+    for name, model in fitted.items():
+        scored = model.transform(data.filter("split = 'test'"))
+        called = scored.select("label", F.col("prediction").cast("int").alias("called"))
+        report = metrics.classification_report(called, "label", "called")
+        reports.append(report.withColumn("model", F.lit(name)))
+    return rel.union_all(reports)
+
+
+@query("classifier_payload")
+def classifier_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector scored by the weighted classifier and answered as JSON."""
+    data = labelled_vectors(spark, folder)
     model = models.weighted_logistic(data.filter("split = 'train'"), "features", "label")
-    scored = model.transform(data.filter("split = 'test'")).withColumn(
-        "called", F.col("prediction").cast("int")
+    classes = [str(i) for i in range(model.numClasses)]
+    scored = models.probabilities(model.transform(data))
+    answer = arrays.prediction_payload(classes, F.col("probs"))
+    return scored.select("vec_id", "label", answer.alias("a")).select(
+        "vec_id", "label", "a.clase", "a.confianza", F.to_json("a").alias("payload")
     )
-    return metrics.classification_report(scored, "label", "called")
 
 
 @query(

@@ -6,8 +6,10 @@ for tests, the benchmark and scripts.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,20 +20,38 @@ SHARED_DIR_KEY = "spark.checkpoint.dir"
 BROADCAST_ROWS = 10_000
 
 
-def build_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "12g")
-        .config("spark.ui.enabled", "false")
+def build_session(
+    app: str,
+    master: str | int | None = None,
+    shuffle_partitions: int = 8,
+    log_level: str = "WARN",
+    conf: Mapping[str, str] | None = None,
+) -> SparkSession:
+    """A session on ``master``: a URL, a number of local cores, or SPARK_MASTER.
+
+    ``conf`` adds or overrides settings, such as executor memory and cores.
+    """
+    if isinstance(master, int):
+        master = f"local[{master}]"
+    settings = {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.driver.memory": "12g",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         # Looking up the Python line of every column costs more than small queries.
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+        **(conf or {}),
+    }
+    builder = SparkSession.builder.appName(app).master(
+        master or os.environ.get("SPARK_MASTER", "local[*]")
     )
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel(log_level)
+    return session
 
 
 def shared_dir(spark: SparkSession) -> str:

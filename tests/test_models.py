@@ -122,3 +122,21 @@ def test_spread_leaves_large_input_alone(spark):
     assert session.spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == cores
     many = spark.range(100, numPartitions=cores * 2)
     assert session.spread(many) is many
+
+
+def test_only_the_best_model_is_kept(spark, planted):
+    from tabkit.sources import readers
+
+    fitted = {
+        "one column": models.linear_fit(planted, ["c"], "y"),
+        "all columns": models.linear_fit(planted, COLUMNS, "y"),
+    }
+    scores = [
+        (n, metrics.regression(m.transform(planted), "y", "prediction").first()["r2"])
+        for n, m in fitted.items()
+    ]
+    results = readers.from_records(spark, scores, "model string, r2 double")
+    folder = session.work_path(spark, "best")
+    name, path = models.keep_best(fitted, results, "r2", folder)
+    assert name == "all columns" and path == f"{folder}/all_columns"
+    assert readers.file_list(spark, folder).filter("path LIKE '%one_column%'").count() == 0
