@@ -43,15 +43,19 @@ def lr_plateau(
 def best_epoch(
     history: DataFrame, run: str, epoch: str, train: str, valid: str, maximize: bool = True
 ) -> DataFrame:
-    """Best validation epoch of each run, and the train-validation gap at its end."""
+    """Best validation epoch of each run, and the train-validation gap at its end.
+
+    The first of equally good epochs is the best.  Epochs without a validation
+    value are passed over; the gap is that of the last epoch with both values.
+    """
     wanted = F.col(valid) if maximize else -F.col(valid)
-    first_best = F.struct(wanted, -F.col(epoch))
-    last = F.max_by(F.struct(F.col(train).alias("t"), F.col(valid).alias("v")), epoch)
+    order = F.when(F.col(valid).isNotNull(), F.struct(wanted, -F.col(epoch)))
+    gap = F.col(train) - F.col(valid)
     return history.groupBy(run).agg(
         F.count(F.lit(1)).alias("n_epochs"),
-        F.max_by(epoch, first_best).alias("best_epoch"),
-        F.max_by(valid, first_best).alias("best_value"),
-        (last["t"] - last["v"]).alias("final_gap"),
+        F.max_by(epoch, order).alias("best_epoch"),
+        F.max_by(valid, order).alias("best_value"),
+        F.max_by(gap, F.when(gap.isNotNull(), F.col(epoch))).alias("final_gap"),
     )
 
 

@@ -372,8 +372,9 @@ def lr_plateau(spark: SparkSession, folder: str) -> DataFrame:
   round(avg(value) FILTER (md5(event_id::VARCHAR) < 'cccccccd'), 6) AS train,
   round(avg(value) FILTER (md5(event_id::VARCHAR) >= 'cccccccd'), 6) AS valid FROM events GROUP BY ALL),
 h AS (SELECT *, (row_number() OVER (PARTITION BY run ORDER BY day))::INT AS e FROM d)
-SELECT run, count(*) AS n_epochs, arg_max(e, (valid, -e)) AS best_epoch, arg_max(valid, (valid, -e)) AS best_value,
-  round(arg_max(train - valid, e), 6) AS final_gap FROM h GROUP BY run""",
+SELECT run, count(*) AS n_epochs, arg_max(e, (valid, -e)) FILTER (valid IS NOT NULL) AS best_epoch,
+  max(valid) AS best_value, round(arg_max(train - valid, e) FILTER (train - valid IS NOT NULL), 6) AS final_gap
+FROM h GROUP BY run""",
 )
 def best_epoch(spark: SparkSession, folder: str) -> DataFrame:
     """Daily means of a training and a validation part, and their best day."""

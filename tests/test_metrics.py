@@ -159,12 +159,15 @@ def test_lr_plateau(spark):
 
 def test_best_epoch(spark):
     df = spark.createDataFrame(
-        [("r", 1, 0.5, 0.4), ("r", 2, 0.7, 0.6), ("r", 3, 0.9, 0.6)],
+        [("r", 1, 0.5, 0.4), ("r", 2, 0.7, 0.6), ("r", 3, 0.9, 0.6), ("r", 4, 0.9, None)]
+        + [("none", 1, 0.5, None)],
         "run string, epoch int, t double, v double",
     )
-    row = curves.best_epoch(df, "run", "epoch", "t", "v").first()
-    assert (row["n_epochs"], row["best_epoch"], row["best_value"]) == (3, 2, 0.6)
+    rows = {r["run"]: r for r in curves.best_epoch(df, "run", "epoch", "t", "v").collect()}
+    row = rows["r"]
+    assert (row["n_epochs"], row["best_epoch"], row["best_value"]) == (4, 2, 0.6)
     assert row["final_gap"] == pytest.approx(0.3)
+    assert tuple(rows["none"])[2:] == (None, None, None)
 
 
 def by_hand(points, side=160, canvas=224):
