@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tabkit.operators.quality import one_pass
@@ -59,14 +59,28 @@ def fit_scales(
     df: DataFrame, columns: Sequence[str], center: bool = True, population: bool = True
 ) -> list[Scale]:
     """Centred with population deviation, or uncentred with sample deviation."""
-    spread = F.stddev_pop if population else F.stddev_samp
+    return scales_of(fit_moments(df, columns), center, population)
+
+
+def fit_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
+    """(mean, pop, samp) of each column from one pass, for any kind of scaling."""
     row = df.agg(
-        *[F.avg(c).alias(f"mean_{i}") for i, c in enumerate(columns)],
-        *[spread(c).alias(f"std_{i}") for i, c in enumerate(columns)],
+        *[
+            F.struct(
+                F.avg(c).alias("mean"), F.stddev_pop(c).alias("pop"), F.stddev_samp(c).alias("samp")
+            ).alias(f"m_{i}")
+            for i, c in enumerate(columns)
+        ]
     ).first()
+    return {c: row[f"m_{i}"] for i, c in enumerate(columns)}
+
+
+def scales_of(
+    moments_of: Mapping[str, Row], center: bool = True, population: bool = True
+) -> list[Scale]:
     return [
-        Scale(c, row[f"mean_{i}"] if center else 0.0, row[f"std_{i}"])
-        for i, c in enumerate(columns)
+        Scale(c, m["mean"] if center else 0.0, m["pop"] if population else m["samp"])
+        for c, m in moments_of.items()
     ]
 
 
@@ -80,16 +94,31 @@ def apply_scales(df: DataFrame, scales: Sequence[Scale], suffix: str = "") -> Da
     return df.withColumns({s.column + suffix: scaled(s) for s in scales})
 
 
-def moments(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """column_name, mean, std (population)."""
-    return one_pass(
-        df,
-        columns,
-        {
-            "mean": lambda c: F.round(F.avg(c), digits),
-            "std": lambda c: F.round(F.stddev_pop(c), digits),
-        },
-    )
+def before_and_after(
+    df: DataFrame, variants: Mapping[str, Sequence[Scale]], digits: int = 6
+) -> DataFrame:
+    """column_name, variant, mean and std before and after, in one pass over all."""
+    wide = df
+    for i, scales in enumerate(variants.values()):
+        wide = apply_scales(wide, scales, f"_{i}")
+
+    def at(c: str, spread: bool) -> Column:
+        # Adding zero turns a rounded -0.0 into 0.0.
+        return F.round(F.stddev_pop(c) if spread else F.avg(c), digits) + 0.0
+
+    rows = [
+        F.struct(
+            F.lit(s.column).alias("column_name"),
+            F.lit(variant).alias("variant"),
+            at(s.column, False).alias("mean_before"),
+            at(s.column, True).alias("std_before"),
+            at(f"{s.column}_{i}", False).alias("mean_after"),
+            at(f"{s.column}_{i}", True).alias("std_after"),
+        )
+        for i, (variant, scales) in enumerate(variants.items())
+        for s in scales
+    ]
+    return wide.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:

@@ -147,14 +147,15 @@ def classification_report(df: DataFrame, actual: str, predicted: str, digits: in
         return ratio(F.sum(F.col(c) * F.col("support")), total)
 
     hit_rate = ratio(F.sum("hits"), total)
-    averages = per_class.agg(
-        F.array(
-            _report_row("accuracy", [hit_rate] * 3, total),
-            _report_row("macro avg", [F.avg(c) for c in scores], total),
-            _report_row("weighted avg", [weighted(c) for c in scores], total),
-        ).alias("rows")
-    ).select(F.inline("rows"))
-    report = per_class.select("label", *scores, "support").unionByName(averages)
+    # One row per class is left here, so the classes fit one array: the report
+    # needs no second look at the data for its averages.
+    lines = F.collect_list(F.struct("label", *scores, "support"))
+    averages = F.array(
+        _report_row("accuracy", [hit_rate] * 3, total),
+        _report_row("macro avg", [F.avg(c) for c in scores], total),
+        _report_row("weighted avg", [weighted(c) for c in scores], total),
+    )
+    report = per_class.agg(F.concat(lines, averages).alias("rows")).select(F.inline("rows"))
     return report.withColumns({c: F.round(c, digits) for c in scores})
 
 

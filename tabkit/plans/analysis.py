@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tabkit.functions import arrays, bins
 from tabkit.functions.hashing import key_hash
 from tabkit.operators import closed_form, curves, features, landmarks, metrics, splits
-from tabkit.operators import relational as rel
 from tabkit.operators.quantiles import exact_quantiles
 from tabkit.plans.registry import query
 from tabkit.sources.readers import table
@@ -173,28 +172,16 @@ FROM lineitem, (SELECT avg({c}) AS m, stddev_pop({c}) AS s0, stddev_samp({c}) AS
 UNION ALL {_scale_sql("uncentred_sample", "0", "s1")}""",
 )
 def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
-    """Moments before and after both scalings, from one fit and one pass each."""
+    """Moments before and after both scalings: one pass to fit, one to look."""
     lines = table(spark, folder, "lineitem").select(*SCALED)
-    before = features.moments(lines, SCALED).withColumnsRenamed(
-        {"mean": "mean_before", "std": "std_before"}
+    fitted = features.fit_moments(lines, SCALED)
+    return features.before_and_after(
+        lines,
+        {
+            "centred_population": features.scales_of(fitted, center=True, population=True),
+            "uncentred_sample": features.scales_of(fitted, center=False, population=False),
+        },
     )
-    parts = []
-    for variant, center, population in (
-        ("centred_population", True, True),
-        ("uncentred_sample", False, False),
-    ):
-        scales = features.fit_scales(lines, SCALED, center, population)
-        after = features.moments(features.apply_scales(lines, scales), SCALED)
-        parts.append(
-            after.select(
-                "column_name",
-                F.lit(variant).alias("variant"),
-                (F.col("mean") + 0.0).alias("mean_after"),
-                F.col("std").alias("std_after"),
-            )
-        )
-    # A row per scaled column on each side.
-    return F.broadcast(before).join(rel.union_all(parts), "column_name")
 
 
 TERCILES = ["low", "mid", "high"]

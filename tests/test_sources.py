@@ -9,6 +9,7 @@ from tabkit import session
 from tabkit.operators import layouts, phases
 from tabkit.operators import relational as rel
 from tabkit.plans.relational import parquet_scan_agg, point_lookup_sum
+from tabkit.schemas import LABELLED_FILE
 from tabkit.sources import readers, writers
 
 MIXED = T.StructType(
@@ -182,3 +183,21 @@ def test_shared_dir_comes_from_the_session(spark):
     assert found == named.rstrip("/") if named else found
     assert session.work_path(spark, "a") != session.work_path(spark, "a")
     assert session.work_path(spark, "a").startswith(found)
+
+
+def test_split_sets_as_csv(spark, folder):
+    """Train, validation and test sets leave in one pass and are read one by one."""
+    from tabkit.operators.splits import stratified_split
+
+    labelled = readers.table(spark, folder, "orders").selectExpr(
+        "concat('/data/', o_orderkey, '.png') as path", "substr(o_orderpriority, 1, 1) as label"
+    )
+    weights = {"train": 0.7, "val": 0.15, "test": 0.15}
+    split = stratified_split(labelled, "label", ["path"], weights)
+    base = writers.csv(split, session.work_path(spark, "sets"), partition_by=["split"])
+    sizes = {}
+    for name in weights:
+        part = readers.csv_typed(spark, f"{base}/split={name}", LABELLED_FILE)
+        assert dict(part.dtypes) == {"path": "string", "label": "string"}
+        sizes[name] = part.count()
+    assert sum(sizes.values()) == 1500 and abs(sizes["train"] - 1050) <= 5
