@@ -233,8 +233,8 @@ def normalize_text(spark: SparkSession, folder: str) -> DataFrame:
     """WITH v AS (SELECT 'value' AS column_name, value AS x FROM events
   UNION ALL SELECT 'l_extendedprice', l_extendedprice FROM lineitem),
 q AS (SELECT column_name, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3, count(*) AS n FROM v GROUP BY 1)
-SELECT column_name, round(any_value(q1), 4) AS q1, round(any_value(q3), 4) AS q3,
-  round(any_value(q1 - 1.5 * (q3 - q1)), 4) AS low_fence, round(any_value(q3 + 1.5 * (q3 - q1)), 4) AS high_fence,
+SELECT column_name, round(any_value(q1), 6) AS q1, round(any_value(q3), 6) AS q3,
+  round(any_value(q1 - 1.5 * (q3 - q1)), 6) AS low_fence, round(any_value(q3 + 1.5 * (q3 - q1)), 6) AS high_fence,
   count(*) FILTER (x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_outliers,
   round(100.0::DOUBLE * count(*) FILTER (x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) / count(*), 2)
     AS pct_outliers FROM v JOIN q USING (column_name) GROUP BY column_name""",
@@ -246,8 +246,10 @@ def iqr_outliers(spark: SparkSession, folder: str) -> DataFrame:
             quality.iqr_outliers(table(spark, folder, "lineitem"), ["l_extendedprice"]),
         ]
     )
+    # Cents interpolated by quarters and scaled by 1.5 end within five digits, so
+    # six leave no tie that engines could round differently.
     return found.withColumns(
-        {c: F.round(c, 4) for c in ("q1", "q3", "low_fence", "high_fence")}
+        {c: F.round(c, 6) for c in ("q1", "q3", "low_fence", "high_fence")}
     )
 
 
