@@ -4,8 +4,8 @@
 wanted rank is closed in by brackets instead: an approximate quantile proposes
 cuts around it, an exact count says on which side the rank lies, and this
 repeats until few enough rows are left to be sorted.  Every pass is a scan that
-returns one row, whatever the data or its skew, and the answer is exact.  A
-hundred million rows need three passes, a trillion five.
+returns one row, whatever the data or its skew, and the answer is exact.  Some
+fifteen million rows need three passes, tens of billions five, a trillion seven.
 """
 
 from __future__ import annotations
