@@ -1,6 +1,6 @@
 """All registered queries of the subpackage: importing the modules registers them."""
 
-from tabkit.llm import byte_bpe, fingerprints, jaccard, language, near_vectors, packing, quality, token_counts  # noqa: F401
+from tabkit.llm import byte_bpe, fingerprints, jaccard, language, licenses, near_vectors, packing, quality, token_counts  # noqa: F401
 from tabkit.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
