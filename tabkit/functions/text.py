@@ -26,12 +26,8 @@ def normalize(value: Column) -> Column:
     return F.initcap(F.trim(F.regexp_replace(value, r"\s+", " ")))
 
 
-def any_null(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns], F.lit(False))
-
-
-def any_blank(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [is_blank(F.col(c)) for c in columns], F.lit(False))
+def any_true(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
 def count_true(conditions: list[Column]) -> Column:
@@ -43,10 +39,6 @@ def mean_plus_minus(mean: Column, std: Column, digits: int = 4) -> Column:
     return F.format_string(f"%.{digits}f ± %.{digits}f", mean, std)
 
 
-def fixed(value: Column, digits: int = 4) -> Column:
-    return F.format_string(f"%.{digits}f", value)
-
-
 def file_safe(value: Column) -> Column:
     return F.translate(value, " ", "_")
 

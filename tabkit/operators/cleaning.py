@@ -1,6 +1,6 @@
 """Fit-and-apply cleaning of a damaged table.
 
-Order of work: drop duplicate rows, blank to NULL, fill NULLs, normalise text,
+Order of work: drop duplicate rows, blank and NaN to NULL, fill NULLs, normalise text,
 find dates, flag outliers.  What is fitted (one small record per column) is
 read once on the driver and enters the plan as literals, so applying it is one
 projection.
@@ -49,14 +49,6 @@ def blanks_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return df.withColumns({c: text.blank_to_null(F.col(c)) for c in columns})
 
 
-def blank_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """column_name, n_converted: blanks that become NULL."""
-    columns = schemas.text_columns(df.schema) if columns is None else columns
-    return quality.one_pass(
-        df, columns, {"n_converted": lambda c: F.count_if(text.is_blank(F.col(c)))}
-    )
-
-
 def sample_skewness(column: str) -> Column:
     """Bias-adjusted skewness; NULL under three values."""
     n = F.count(column).cast("double")
@@ -83,11 +75,12 @@ def fit_fills(
 
     One pass gives counts, means and skewness (``seen`` hands in its row when
     the caller already has it).  Medians and modes, which cost more, are found
-    only for the columns that need them.
+    only for the columns that need them.  NaN counts as missing.
     """
     columns = [*numeric, *words]
     if not columns:
         return []
+    df = quality.nan_to_null(df, numeric)
     if seen is None:
         seen = df.agg(*_fill_measures(numeric, words)).first()
     wanted = [c for c in columns if seen[f"missing_{c}"] > 0 or not only_missing]
@@ -129,7 +122,8 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
 
 
 def apply_fills(df: DataFrame, fills: Sequence[Fill]) -> DataFrame:
-    """NULLs replaced; a number column filled with a mean becomes double."""
+    """NULLs and NaN replaced; a number column filled with a mean becomes double."""
+    df = quality.nan_to_null(df, [f.column for f in fills])
     replaced = {}
     for fill in fills:
         if fill.value is None:
@@ -184,7 +178,7 @@ def clean(df: DataFrame, spec: CleanSpec = CleanSpec()) -> tuple[DataFrame, Data
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumns({c: text.blank_to_null(F.col(c)) for c in words})
     )
-    unique = materialize(groups, "clean")
+    unique = materialize(quality.nan_to_null(groups, numeric), "clean")
     rows = unique.select(*df.columns)
     dated = [*words, *schemas.date_like_columns(df.schema)]
     is_date = quality.date_measures(df.select(*dated))

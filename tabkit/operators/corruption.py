@@ -30,6 +30,19 @@ def inject_nulls(
     )
 
 
+def inject_nan(
+    df: DataFrame, keys: Sequence[str], columns: Mapping[str, tuple[str, str]]
+) -> DataFrame:
+    """NaN where the salted key hash is below a cut; NULLs stay NULL."""
+    nan = F.lit(float("nan"))
+    return df.withColumns(
+        {
+            c: F.when((key_hash(keys, salt) < cut) & F.col(c).isNotNull(), nan).otherwise(F.col(c))
+            for c, (salt, cut) in columns.items()
+        }
+    )
+
+
 def inject_nulls_exact(
     df: DataFrame, keys: Sequence[str], counts: Mapping[str, tuple[str, int]]
 ) -> DataFrame:

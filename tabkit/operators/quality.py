@@ -34,8 +34,28 @@ def one_pass(df: DataFrame, columns: Sequence[str], measures: Mapping[str, objec
     return df.agg(F.array(*per_column).alias("rows")).select(F.inline("rows"))
 
 
+def absent(df: DataFrame) -> dict[str, Column]:
+    """Per column whether it holds no value: NULL, and NaN where a column can hold it.
+
+    Blank text is a problem of its own, counted apart.
+    """
+    fractional = set(schemas.fractional_columns(df.schema))
+    return {
+        c: F.col(c).isNull() | F.isnan(c) if c in fractional else F.col(c).isNull()
+        for c in df.columns
+    }
+
+
+def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """NaN becomes NULL, so that one of them spoils no mean and is filled like a NULL."""
+    fractional = schemas.fractional_columns(df.schema)
+    wanted = [c for c in fractional if columns is None or c in columns]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in wanted}) if wanted else df
+
+
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """column_name, kind, n_nulls, pct_nulls of each column."""
+    """column_name, kind, n_nulls, pct_nulls of each column; NaN counts as NULL."""
+    missing = absent(df)
     columns = list(columns or df.columns)
     numeric = set(schemas.numeric_columns(df.schema))
     words = set(schemas.text_columns(df.schema))
@@ -45,26 +65,31 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         columns,
         {
             "kind": lambda c: F.lit(kind[c]),
-            "n_nulls": lambda c: F.count_if(F.col(c).isNull()),
-            "pct_nulls": lambda c: share_pct(
-                F.count_if(F.col(c).isNull()), F.count(F.lit(1))
-            ),
+            "n_nulls": lambda c: F.count_if(missing[c]),
+            "pct_nulls": lambda c: share_pct(F.count_if(missing[c]), F.count(F.lit(1))),
         },
     )
 
 
+def any_blank(df: DataFrame) -> Column:
+    return text.any_true([text.is_blank(F.col(c)) for c in schemas.text_columns(df.schema)])
+
+
+def any_absent(df: DataFrame) -> Column:
+    return text.any_true(list(absent(df).values()))
+
+
 def problem_row(df: DataFrame) -> Column:
-    """True where any column is NULL or any text column is blank."""
-    return text.any_null(df.columns) | text.any_blank(schemas.text_columns(df.schema))
+    """True where any column is NULL or NaN, or any text column is blank."""
+    return any_absent(df) | any_blank(df)
 
 
 def affected_rows(df: DataFrame) -> DataFrame:
     """One row: n_rows, n_null_rows, n_blank_rows, n_affected, pct_affected."""
-    blank = text.any_blank(schemas.text_columns(df.schema))
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(text.any_null(df.columns)).alias("n_null_rows"),
-        F.count_if(blank).alias("n_blank_rows"),
+        F.count_if(any_absent(df)).alias("n_null_rows"),
+        F.count_if(any_blank(df)).alias("n_blank_rows"),
         F.count_if(problem_row(df)).alias("n_affected"),
         share_pct(F.count_if(problem_row(df)), F.count(F.lit(1))).alias("pct_affected"),
     )
@@ -140,7 +165,9 @@ def is_outlier(column: str, fence: tuple[float, float, float, float] | None) ->
         return F.lit(False)
     _, _, low, high = fence
     value = F.col(column)
-    return F.coalesce((value < F.lit(low)) | (value > F.lit(high)), F.lit(False))
+    # NaN sorts above every number, but is no value
+    outside = (value < F.lit(low)) | (value > F.lit(high))
+    return F.coalesce(outside & ~F.isnan(value.cast("double")), F.lit(False))
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> DataFrame:
@@ -179,7 +206,7 @@ def diagnosis(df: DataFrame) -> DataFrame:
     def total(value: Column) -> Column:
         return F.coalesce(F.sum(value * weight), F.lit(0))
 
-    nulls = text.count_true([F.col(c).isNull() for c in df.columns])
+    nulls = text.count_true(list(absent(df).values()))
     blanks = text.count_true([text.is_blank(F.col(c)) for c in words])
     rows = F.coalesce(F.sum(weight), F.lit(0))
     duplicates = rows - F.count(F.lit(1))

@@ -9,6 +9,7 @@ from tabkit.functions import text
 from tabkit.operators import cleaning, corruption, quality
 from tabkit.operators import relational as rel
 from tabkit.plans.registry import query
+from tabkit.session import materialize
 from tabkit.sources.readers import table
 
 KEY = ["o_orderkey"]
@@ -16,7 +17,8 @@ COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
 
 DIRTY_SQL = """
 b AS (SELECT o_orderkey, o_custkey,
-  CASE WHEN md5('p' || o_orderkey::VARCHAR) < '08' THEN NULL ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN md5('p' || o_orderkey::VARCHAR) < '08' THEN NULL WHEN md5('n' || o_orderkey::VARCHAR) < '03'
+    THEN 'nan'::DOUBLE ELSE o_totalprice END AS o_totalprice,
   CASE WHEN md5('g' || o_orderkey::VARCHAR) < '02' THEN '' WHEN md5('g' || o_orderkey::VARCHAR) < '035'
     THEN '   ' ELSE o_orderpriority END AS o_orderpriority,
   1 + (md5('d' || o_orderkey::VARCHAR) < '09')::INT + (md5('d' || o_orderkey::VARCHAR) < '01')::INT AS copies
@@ -24,7 +26,7 @@ b AS (SELECT o_orderkey, o_custkey,
 dirty AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority
   FROM (SELECT *, unnest(range(copies)) AS k FROM b)),
 unique_rows AS (SELECT DISTINCT * FROM dirty),
-nulled AS (SELECT o_orderkey, o_custkey, o_totalprice,
+nulled AS (SELECT o_orderkey, o_custkey, CASE WHEN NOT isnan(o_totalprice) THEN o_totalprice END AS o_totalprice,
   CASE WHEN trim(o_orderpriority) <> '' THEN o_orderpriority END AS o_orderpriority FROM unique_rows),
 moments AS (SELECT avg(o_totalprice) AS mean, median(o_totalprice) AS mid, skewness(o_totalprice) AS skew,
   count(*) FILTER (o_totalprice IS NULL) AS missing_price,
@@ -47,16 +49,21 @@ SPEC = cleaning.CleanSpec(exclude=("o_orderkey", "o_custkey"), outlier_columns=(
 def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(*COLUMNS)
     nulled = corruption.inject_nulls(orders, KEY, {"o_totalprice": ("p", "08")})
-    blanked = corruption.inject_blanks(nulled, KEY, "o_orderpriority", "g", ["02", "035"])
+    without = corruption.inject_nan(nulled, KEY, {"o_totalprice": ("n", "03")})
+    blanked = corruption.inject_blanks(without, KEY, "o_orderpriority", "g", ["02", "035"])
     return corruption.append_copies(blanked, KEY, "d", ["09", "01"])
 
 
 @query(
     "dirty_dataset",
-    f"WITH {DIRTY_SQL} SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM dirty",
+    f"""WITH {DIRTY_SQL} SELECT o_orderkey, o_custkey, CASE WHEN NOT isnan(o_totalprice) THEN o_totalprice END
+  AS o_totalprice, coalesce(isnan(o_totalprice), false) AS price_is_nan, o_orderpriority FROM dirty""",
 )
 def dirty_dataset(spark: SparkSession, folder: str) -> DataFrame:
-    return dirty_orders(spark, folder)
+    """The damaged rows; NaN is told by a column of its own, as engines print it differently."""
+    dirty = dirty_orders(spark, folder)
+    marked = dirty.withColumn("price_is_nan", F.coalesce(F.isnan("o_totalprice"), F.lit(False)))
+    return quality.nan_to_null(marked, ["o_totalprice"])
 
 
 @query(
@@ -105,8 +112,8 @@ def dirty_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "dirty_summary",
     f"""WITH {DIRTY_SQL}, t AS (SELECT count(*) AS n_rows,
-  count(*) FILTER (o_totalprice IS NULL) AS n_nulls, count(*) FILTER (trim(o_orderpriority) = '') AS n_blanks,
-  count(*) FILTER (o_totalprice IS NULL OR trim(o_orderpriority) = '') AS n_affected FROM dirty),
+  count(*) FILTER (o_totalprice IS NULL OR isnan(o_totalprice)) AS n_nulls, count(*) FILTER (trim(o_orderpriority) = '') AS n_blanks,
+  count(*) FILTER (o_totalprice IS NULL OR isnan(o_totalprice) OR trim(o_orderpriority) = '') AS n_affected FROM dirty),
 d AS (SELECT count(*) AS n_distinct FROM unique_rows)
 SELECT n_rows, 4 AS n_columns, n_nulls, n_blanks, n_rows - n_distinct AS n_duplicates, n_affected,
   round(100.0::DOUBLE * (n_affected + n_rows - n_distinct) / n_rows, 2) AS pct_corrupt FROM t, d""",
@@ -120,7 +127,7 @@ def dirty_summary(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {DIRTY_SQL}, t AS (SELECT count(*)::DOUBLE AS n FROM dirty), c AS (
   SELECT 'o_orderkey' AS column_name, 'numeric' AS kind, count(*) FILTER (o_orderkey IS NULL) AS n_nulls FROM dirty
   UNION ALL SELECT 'o_custkey', 'numeric', count(*) FILTER (o_custkey IS NULL) FROM dirty
-  UNION ALL SELECT 'o_totalprice', 'numeric', count(*) FILTER (o_totalprice IS NULL) FROM dirty
+  UNION ALL SELECT 'o_totalprice', 'numeric', count(*) FILTER (o_totalprice IS NULL OR isnan(o_totalprice)) FROM dirty
   UNION ALL SELECT 'o_orderpriority', 'text', count(*) FILTER (o_orderpriority IS NULL) FROM dirty)
 SELECT column_name, kind, n_nulls, round(n_nulls / n * 100, 2) AS pct_nulls FROM c, t""",
 )
@@ -131,10 +138,10 @@ def null_profile(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "affected_rows",
     f"""WITH {DIRTY_SQL}
-SELECT count(*) AS n_rows, count(*) FILTER (o_totalprice IS NULL) AS n_null_rows,
+SELECT count(*) AS n_rows, count(*) FILTER (o_totalprice IS NULL OR isnan(o_totalprice)) AS n_null_rows,
   count(*) FILTER (trim(o_orderpriority) = '') AS n_blank_rows,
-  count(*) FILTER (o_totalprice IS NULL OR trim(o_orderpriority) = '') AS n_affected,
-  round(100.0::DOUBLE * count(*) FILTER (o_totalprice IS NULL OR trim(o_orderpriority) = '') / count(*), 2)
+  count(*) FILTER (o_totalprice IS NULL OR isnan(o_totalprice) OR trim(o_orderpriority) = '') AS n_affected,
+  round(100.0::DOUBLE * count(*) FILTER (o_totalprice IS NULL OR isnan(o_totalprice) OR trim(o_orderpriority) = '') / count(*), 2)
     AS pct_affected FROM dirty""",
 )
 def affected_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -198,7 +205,9 @@ UNION ALL SELECT 'events', 'event_type', 'mode', NULL, event_type, NULL, m_type
 )
 def impute_values(spark: SparkSession, folder: str) -> DataFrame:
     """Fills of the de-duplicated dirty orders, and of events (skewed)."""
-    unique = cleaning.blanks_to_null(quality.drop_duplicates(dirty_orders(spark, folder)))
+    unique = materialize(
+        cleaning.blanks_to_null(quality.drop_duplicates(dirty_orders(spark, folder))), "unique"
+    )
     orders = cleaning.fit_fills(unique, ["o_totalprice"], ["o_orderpriority"])
     events = table(spark, folder, "events")
     typical = cleaning.fit_fills(events, ["value"], ["event_type"], only_missing=False)

@@ -50,6 +50,12 @@ def numeric_columns(schema: T.StructType, exclude: tuple[str, ...] = ()) -> list
     ]
 
 
+def fractional_columns(schema: T.StructType, exclude: tuple[str, ...] = ()) -> list[str]:
+    """Columns that can hold NaN."""
+    kinds = (T.FloatType, T.DoubleType)
+    return [f.name for f in schema.fields if isinstance(f.dataType, kinds) and f.name not in exclude]
+
+
 def text_columns(schema: T.StructType, exclude: tuple[str, ...] = ()) -> list[str]:
     return [
         f.name

@@ -149,3 +149,22 @@ def test_exact_copies(spark, n):
     assert repeated.distinct().count() == 200
     again = corruption.append_copies_exact(df.repartition(3), ["id"], n, "x")
     assert sorted(repeated.collect()) == sorted(again.collect())
+
+
+def test_every_spelling_of_missing(spark):
+    """NULL, NaN, empty and blank text in one table: counted, filled, never flagged."""
+    nan = float("nan")
+    rows = [(i, float(i % 10), f"w{i % 3}") for i in range(100)]
+    rows += [(100 + i, nan, "w0") for i in range(10)] + [(200, None, "w0"), (201, 5.0, ""), (202, 5.0, "   "), (203, 5.0, None)]
+    df = spark.createDataFrame(rows, "id long, x double, word string")
+    profile = {r["column_name"]: r["n_nulls"] for r in quality.null_profile(df).collect()}
+    assert profile == {"id": 0, "x": 11, "word": 1}
+    affected = quality.affected_rows(df).first()
+    assert (affected["n_null_rows"], affected["n_blank_rows"], affected["n_affected"]) == (12, 2, 14)
+    assert quality.diagnosis(df).first()["n_nulls"] == 12
+    assert quality.iqr_outliers(df, ["x"]).first()["n_outliers"] == 0
+    cleaned, report = cleaning.clean(df, cleaning.CleanSpec(exclude=("id",)))
+    assert cleaned.filter("x IS NULL OR isnan(x) OR word IS NULL OR trim(word) = ''").count() == 0
+    assert cleaned.filter("x_outlier").count() == 0
+    lines = {(r["section"], r["item"]): r["value"] for r in report.collect()}
+    assert lines["imputed", "x"] == 11 and lines["imputed", "word"] == 3 and lines["outliers", "x"] == 0
