@@ -48,10 +48,14 @@ def fold_lines(
 ) -> dict[int | None, dict[str, tuple[float, float]]]:
     """Line of each feature fitted without fold 0..k-1; key None: on all rows.
 
-    The pass returns k rows; the lines follow by arithmetic on those.
+    The pass returns at most k + 1 rows, as every fold outside 0..k-1 falls into one
+    group; such rows would belong to no fit, so they are refused.
     """
     sums = [_line_sums(x, target, i) for i, x in enumerate(features)]
-    per_fold = {row[fold]: row for row in df.groupBy(fold).agg(*sums).limit(k + 1).collect()}
+    known = F.when(F.col(fold).between(0, k - 1), F.col(fold)).alias(fold)
+    per_fold = {row[fold]: row for row in df.groupBy(known).agg(*sums).collect()}
+    if None in per_fold:
+        raise ValueError(f"column {fold} holds folds outside 0..{k - 1}")
     return {
         left_out: {
             x: _line([row[f"s_{i}"] for f, row in per_fold.items() if f != left_out])

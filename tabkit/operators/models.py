@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -12,21 +12,20 @@ from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronCl
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
-    GBTRegressor,
+    GBTRegressionModel,
     LinearRegression,
     RandomForestRegressor,
 )
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabkit.functions.numeric import relative_change_pct
-from tabkit.operators import curves, features, metrics
+from tabkit.operators import features, metrics
 from tabkit.operators.splits import random_split, with_fold
-from tabkit.session import small_side, spread
+from tabkit.session import materialize, small_side, spread
 from tabkit.sources import writers
 from tabkit.sources.readers import from_records
 
@@ -37,6 +36,7 @@ TREE_MIN_GAIN = 0.001
 FOREST_STEP = 10
 FOREST_MAX = 400
 FOREST_PATIENCE = 5
+FOREST_DEPTH = 10
 BOOST_ROUNDS = 500
 BOOST_RATE = 0.1
 BOOST_DEPTH = 4
@@ -151,33 +151,66 @@ def decision_tree(df: DataFrame, target: str):
     ).fit(df)
 
 
-class GrownForest:
-    """Forest made of equally large blocks of trees; predictions are averaged."""
+def ensemble(trees: Sequence, weights: Sequence[float]):
+    """A model that adds up weighted trees; MLlib stores, loads and applies it like any other."""
+    spark = SparkSession.active()
+    gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
+    package = jvm.org.apache.spark.ml.regression
+    nodes = gateway.new_array(package.DecisionTreeRegressionModel, len(trees))
+    shares = gateway.new_array(jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        nodes[i], shares[i] = tree._java_obj, float(weight)
+    uid = f"ensemble_{uuid.uuid4().hex[:12]}"
+    model = GBTRegressionModel(package.GBTRegressionModel(uid, nodes, shares))
+    model._resetUid(uid)
+    return model
+
+
+class Patience:
+    """Stop rule: so many steps in a row without a gain; remembers the best step."""
+
+    def __init__(self, patience: int, gain: float = GAIN):
+        self.patience, self.gain = patience, gain
+        self.best, self.best_step, self.waited = float("-inf"), 0, 0
+
+    def goes_on(self, step: int, value: float) -> bool:
+        """Take note of a step's value (larger is better); False when it is time to stop."""
+        if value > self.best + self.gain:
+            self.best, self.best_step, self.waited = value, step, 0
+        else:
+            self.waited += 1
+        return self.waited < self.patience
+
+
+# Rounds after which the running sums are written, so that no lost executor repeats them all.
+CUT_EVERY = 10
+
 
-    def __init__(self, blocks: Sequence):
-        self.blocks = list(blocks)
+class RunningSum:
+    """Rows with the sum of the trees applied so far; each tree is applied once."""
 
-    @property
-    def getNumTrees(self) -> int:
-        return sum(block.getNumTrees for block in self.blocks)
+    def __init__(self, rows: DataFrame, target: str, start: Column):
+        self.target, self.steps = target, 0
+        self.rows = rows.withColumn("_sum", start).persist(StorageLevel.MEMORY_AND_DISK)
 
-    @property
-    def trees(self) -> list:
-        return [tree for block in self.blocks for tree in block.trees]
+    def add(self, model, share: float) -> None:
+        before = self.rows
+        scored = model.transform(before).withColumn("_sum", F.col("_sum") + share * F.col("prediction"))
+        scored = scored.select(*before.columns)
+        self.steps += 1
+        if self.steps % CUT_EVERY == 0:
+            scored = materialize(scored, "running_sum")
+        self.rows, self.stale = scored.persist(StorageLevel.MEMORY_AND_DISK), before
 
-    @property
-    def featureImportances(self):
-        total = self.blocks[0].featureImportances.toArray()
-        for block in self.blocks[1:]:
-            total = total + block.featureImportances.toArray()
-        return Vectors.dense(total / len(self.blocks))
+    def explained(self, rows: DataFrame, share: float = 1.0) -> float:
+        """R² of the sum on the given rows of this table; the pass also fills its cache."""
+        scored = rows.withColumn("_called", F.col("_sum") * share)
+        r2 = metrics.regression(scored, self.target, "_called", digits=12).first()["r2"]
+        self.stale.unpersist()
+        return r2
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        names = [f"_block_{i}" for i in range(len(self.blocks))]
-        for name, block in zip(names, self.blocks):
-            df = block.setPredictionCol(name).transform(df)
-        mean = reduce(lambda a, b: a + b, [F.col(n) for n in names]) / len(names)
-        return df.withColumn("prediction", mean).drop(*names)
+    def free(self) -> None:
+        self.rows.unpersist()
 
 
 def growing_forest(
@@ -187,33 +220,32 @@ def growing_forest(
     step: int = FOREST_STEP,
     most: int = FOREST_MAX,
     patience: int = FOREST_PATIENCE,
-    depth: int = 10,
+    depth: int = FOREST_DEPTH,
 ):
     """Forest enlarged by ``step`` trees until held-out R² stops gaining.
 
-    Each round fits only the new trees (another seed) and keeps the old ones.
-    MLlib has no out-of-bag score, so rows held out by hash take its place.
-    Returns (forest of the best size, scores by size).
+    Each round fits only the new trees (another seed), and adds only them to the
+    held-out sums.  MLlib has no out-of-bag score, so rows held out by hash take its
+    place.  Returns (forest of the best size, scores by size).
     """
-    blocks, records = [], []
-    best, best_blocks, wait = float("-inf"), 0, 0
-    for size in range(step, most + 1, step):
-        blocks.append(
-            RandomForestRegressor(
+    trees, records, rule = [], [], Patience(patience)
+    sums = RunningSum(held_out.select("features", target), target, F.lit(0.0))
+    try:
+        for size in range(step, most + 1, step):
+            block = RandomForestRegressor(
                 featuresCol="features", labelCol=target, numTrees=step, maxDepth=depth, seed=size
             ).fit(train)
-        )
-        scored = GrownForest(blocks).transform(held_out)
-        r2 = metrics.regression(scored, target, "prediction", digits=12).first()["r2"]
-        records.append((size, r2))
-        if r2 > best + GAIN:
-            best, best_blocks, wait = r2, len(blocks), 0
-        else:
-            wait += 1
-            if wait >= patience:
+            trees += block.trees
+            sums.add(block, step)
+            r2 = sums.explained(sums.rows, 1.0 / size)
+            records.append((size, r2))
+            if not rule.goes_on(size, r2):
                 break
+    finally:
+        sums.free()
     scores = from_records(train.sparkSession, records, "n_trees int, r2 double")
-    return GrownForest(blocks[:best_blocks]), scores
+    best = trees[: rule.best_step]
+    return ensemble(best, [1.0 / len(best)] * len(best)), scores
 
 
 def boosted_trees(
@@ -223,33 +255,60 @@ def boosted_trees(
     rounds: int = BOOST_ROUNDS,
     patience: int = BOOST_PATIENCE,
 ):
-    """Gradient boosting; the rounds kept are chosen by patience on held-out loss.
+    """Least-squares boosting that stops by patience and keeps the best rounds.
 
-    Returns (model, rounds kept, loss by round).
+    Each round fits a tree to what the sum so far leaves over.  The loss is the share of
+    the held-out variance left unexplained, so the gain asked for suits any target.
+    Returns (model of the kept rounds, rounds kept, loss by round).
     """
-    both = train.withColumn("_valid", F.lit(False)).unionByName(
-        held_out.withColumn("_valid", F.lit(True))
+    both = train.select("features", target).withColumn("_held", F.lit(False)).unionByName(
+        held_out.select("features", target).withColumn("_held", F.lit(True))
     )
-    model = GBTRegressor(
-        featuresCol="features",
-        labelCol=target,
-        maxIter=rounds,
-        stepSize=BOOST_RATE,
-        maxDepth=BOOST_DEPTH,
-        validationIndicatorCol="_valid",
-        validationTol=GAIN,
-        seed=42,
-    ).fit(both)
-    losses = model.evaluateEachIteration(held_out, "squared")
-    history = from_records(
-        train.sparkSession,
-        [("gbt", i + 1, float(v)) for i, v in enumerate(losses)],
-        "run string, epoch long, value double",
-    )
-    kept = curves.early_stop(
-        history, "run", "epoch", "value", patience, GAIN, maximize=False
-    ).first()["best_epoch"]
-    return model, kept, history
+    constant = DecisionTreeRegressor(featuresCol="features", labelCol=target, maxDepth=0).fit(train)
+    trees, losses, rule = [constant], [], Patience(patience)
+    sums = RunningSum(both, target, F.lit(0.0))
+    try:
+        sums.add(constant, 1.0)
+        learner = DecisionTreeRegressor(
+            featuresCol="features", labelCol="_left", maxDepth=BOOST_DEPTH, seed=42
+        )
+        for k in range(1, rounds + 1):
+            left = sums.rows.filter("NOT _held").withColumn("_left", F.col(target) - F.col("_sum"))
+            trees.append(learner.fit(left))
+            sums.add(trees[-1], BOOST_RATE)
+            explained = sums.explained(sums.rows.filter("_held"))
+            losses.append(("boosted", k, 1.0 - explained))
+            if not rule.goes_on(k, explained):
+                break
+    finally:
+        sums.free()
+    history = from_records(train.sparkSession, losses, "run string, epoch long, value double")
+    kept = rule.best_step
+    weights = [1.0] + [BOOST_RATE] * kept
+    return ensemble(trees[: kept + 1], weights), kept, history
+
+
+def splits_of(model) -> list[dict]:
+    """Inner nodes of a tree from the root down: place, feature, threshold, and both means."""
+    found = []
+
+    def walk(node, place: str) -> None:
+        if node.subtreeDepth() > 0:
+            split, left, right = node.split(), node.leftChild(), node.rightChild()
+            found.append(
+                {
+                    "place": place,
+                    "feature": split.featureIndex(),
+                    "threshold": split.threshold(),
+                    "mean_left": left.prediction(),
+                    "mean_right": right.prediction(),
+                }
+            )
+            walk(left, f"{place}/left")
+            walk(right, f"{place}/right")
+
+    walk(model._java_obj.rootNode(), "root")
+    return found
 
 
 def tree_summary(name: str, model, columns: Sequence[str]) -> list[tuple]:
@@ -260,7 +319,8 @@ def tree_summary(name: str, model, columns: Sequence[str]) -> list[tuple]:
         rows.append((name, "n_leaves", float((model.numNodes + 1) // 2)))
     if hasattr(model, "trees"):
         rows.append((name, "n_trees", float(model.getNumTrees)))
-    importances = model.featureImportances.toArray()
+    importances = list(model.featureImportances.toArray())
+    importances += [0.0] * (len(columns) - len(importances))  # columns no tree has used
     rows += [(name, f"importance:{c}", float(v)) for c, v in zip(columns, importances)]
     return rows
 
@@ -313,4 +373,5 @@ def keep_best(fitted: Mapping, results: DataFrame, metric: str, folder: str) ->
 
 
 def load(path: str) -> PipelineModel:
+    """A model stored by ``writers.model``: always a pipeline, if of one stage."""
     return PipelineModel.load(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -182,8 +182,8 @@ def tree_models(spark: SparkSession, folder: str) -> DataFrame:
         held_out = data.filter("split = 'held_out'")
         test = data.filter("split = 'test'")
         tree = models.decision_tree(train, "charge")
-        forest, _ = models.growing_forest(train, held_out, "charge", most=30, depth=6)
-        boosted, _, _ = models.boosted_trees(train, held_out, "charge", rounds=10)
+        forest, _ = models.growing_forest(train, held_out, "charge")
+        boosted, _, _ = models.boosted_trees(train, held_out, "charge")
         rows = []
         for name, model in (("tree", tree), ("forest", forest), ("boosted", boosted)):
             rows += models.tree_summary(name, model, columns)
@@ -195,6 +195,42 @@ def tree_models(spark: SparkSession, folder: str) -> DataFrame:
     return from_records(spark, rows, "model string, measure string, value double")
 
 
+def _cuts_sql(rows: str, place: str) -> str:
+    """The best cut of some rows by quantity: every middle between two values is tried."""
+    return f"""
+{place}_v AS (SELECT l_quantity AS q, count(*) AS n, sum(charge) AS s FROM {rows} GROUP BY 1),
+{place}_c AS (SELECT (q + lead(q) OVER (ORDER BY q)) / 2 AS cut, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+  sum(n) OVER () AS nt, sum(s) OVER () AS st FROM {place}_v WINDOW w AS (ORDER BY q)),
+{place}_b AS (SELECT cut, nl, nt - nl AS nr, sl / nl AS ml, (st - sl) / (nt - nl) AS mr FROM {place}_c
+  WHERE cut IS NOT NULL ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC LIMIT 1)"""
+
+
+@query(
+    "tree_first_split",
+    f"""WITH x AS (SELECT l_quantity, {CHARGE_SQL} AS charge FROM lineitem),
+{_cuts_sql("x", "r")},
+xl AS (SELECT x.* FROM x, r_b WHERE l_quantity <= cut), xr AS (SELECT x.* FROM x, r_b WHERE l_quantity > cut),
+{_cuts_sql("xl", "a")}, {_cuts_sql("xr", "b")},
+u AS (SELECT 'root' AS place, * FROM r_b UNION ALL SELECT 'root/left', * FROM a_b
+  UNION ALL SELECT 'root/right', * FROM b_b)
+SELECT place, cut AS threshold, round(ml, 4) AS mean_left, round(mr, 4) AS mean_right FROM u""",
+)
+def tree_first_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The first three cuts of a tree on one column of few values, where every cut can be tried."""
+    lines = charged_lines(spark, folder, "l_quantity")
+    data = features.assemble(lines, ["l_quantity"]).select("features", "charge")
+    tree = DecisionTreeRegressor(
+        featuresCol="features", labelCol="charge", maxDepth=2, maxBins=64
+    ).fit(data)
+    rows = [
+        (s["place"], s["threshold"], round(s["mean_left"], 4), round(s["mean_right"], 4))
+        for s in models.splits_of(tree)
+    ]
+    return from_records(
+        spark, rows, "place string, threshold double, mean_left double, mean_right double"
+    )
+
+
 def labelled_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = splits.stratified_split(
         table(spark, folder, "embeddings"), "label", ["vec_id"], {"train": 0.8, "test": 0.2}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -96,7 +97,12 @@ def model_name(name: str) -> str:
 
 
 def model(fitted, folder: str, name: str) -> str:
-    """Persist a fitted MLlib model or pipeline under a file-safe name."""
+    """Persist a fitted MLlib model or pipeline under a file-safe name.
+
+    A bare model is stored as a pipeline of one stage, so one loader reads everything.
+    """
     path = f"{folder}/{model_name(name)}"
+    if not isinstance(fitted, PipelineModel):
+        fitted = PipelineModel([fitted])
     fitted.write().overwrite().save(path)
     return path

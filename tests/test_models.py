@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from tabkit import session
@@ -69,8 +69,9 @@ def test_trees_in_published_order(parts):
     assert "feature" not in text and "a <=" in text
     forest, scores = models.growing_forest(train, held_out, "y", most=30, depth=8)
     assert forest.getNumTrees in (10, 20, 30) and scores.count() <= 3
-    boosted, kept, history = models.boosted_trees(train, held_out, "y", rounds=25)
-    assert 1 <= kept <= 25 and history.count() >= kept
+    boosted, kept, history = models.boosted_trees(train, held_out, "y", rounds=40)
+    assert 1 <= kept <= 40 and history.count() >= kept
+    assert boosted.getNumTrees == kept + 1
     quality = [r2(m, test) for m in (boosted, forest, tree)]
     assert quality[0] > 0.97 and quality[1] > 0.93 and quality[2] > 0.75
     assert quality[1] > quality[2]
@@ -79,6 +80,62 @@ def test_trees_in_published_order(parts):
     assert sum(v for (_, k), v in summary.items() if k.startswith("importance")) == pytest.approx(1.0)
 
 
+def test_patience_counts_steps_without_gain():
+    rule = models.Patience(3, 0.1)
+    values = [1.0, 2.0, 2.05, 2.09, 1.0]
+    seen = [rule.goes_on(i, v) for i, v in enumerate(values)]
+    assert seen == [True, True, True, True, False] and rule.best_step == 1
+
+
+def test_growth_stops_by_patience_and_restores_the_best(parts):
+    train, held_out, test = parts
+    forest, scores = models.growing_forest(train, held_out, "y", step=2, most=400, patience=3, depth=4)
+    rows = [(r["n_trees"], r["r2"]) for r in scores.orderBy("n_trees").collect()]
+    best, value = 0, float("-inf")
+    for size, r2_value in rows:
+        if r2_value > value + models.GAIN:
+            best, value = size, r2_value
+    assert forest.getNumTrees == best and rows[-1][0] == best + 3 * 2
+    assert r2(forest, held_out) == pytest.approx(dict(rows)[best], abs=1e-9)
+
+
+def test_boosting_stops_by_patience_and_restores_the_best(parts):
+    train, held_out, test = parts
+    coarse = train.withColumn("y", F.round(F.col("y") / 20) * 20)
+    told = held_out.withColumn("y", F.round(F.col("y") / 20) * 20)
+    boosted, kept, history = models.boosted_trees(coarse, told, "y", rounds=200, patience=4)
+    losses = [r["value"] for r in history.orderBy("epoch").collect()]
+    best, value = 0, float("inf")
+    for i, loss in enumerate(losses, start=1):
+        if loss < value - models.GAIN:
+            best, value = i, loss
+    assert kept == best and len(losses) == best + 4
+    assert 1 - r2(boosted, told) == pytest.approx(losses[best - 1], abs=1e-9)
+
+
+@pytest.mark.parametrize("kind", ["tree", "forest", "boosted", "linear"])
+def test_every_kind_of_model_is_stored(spark, parts, kind):
+    train, held_out, test = parts
+    fitted = {
+        "tree": lambda: models.decision_tree(train, "y"),
+        "forest": lambda: models.growing_forest(train, held_out, "y", step=2, most=4, depth=3)[0],
+        "boosted": lambda: models.boosted_trees(train, held_out, "y", rounds=3)[0],
+        "linear": lambda: LinearRegression(featuresCol="features", labelCol="y").fit(train),
+    }[kind]()
+    path = writers.model(fitted, session.work_path(spark, "models"), kind)
+    before = {r["id"]: r["prediction"] for r in fitted.transform(test).collect()}
+    after = {r["id"]: r["prediction"] for r in models.load(path).transform(test).collect()}
+    assert before == after
+
+
+def test_folds_outside_the_range_are_refused(spark):
+    from tabkit.operators import closed_form
+
+    df = spark.range(100).selectExpr("id % 10 AS fold", "CAST(id AS double) x", "CAST(id AS double) y")
+    with pytest.raises(ValueError):
+        closed_form.fold_lines(df, ["x"], "y", "fold", 5)
+
+
 def test_cross_validation_and_grid(planted):
     data = features.assemble(planted, COLUMNS).select("id", "features", "y")
     tree = DecisionTreeRegressor(featuresCol="features", labelCol="y", maxDepth=3)
