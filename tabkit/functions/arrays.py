@@ -66,8 +66,14 @@ def smooth_labels(one_hot_label: Column, size: int, epsilon: float = 0.1) -> Col
 
 
 def points_from_flat(flat: Column) -> Column:
-    """``[x0, y0, x1, y1, ...]`` as an array of points."""
-    places = F.sequence(F.lit(0), (F.size(flat) / 2).cast("int") - 1)
+    """``[x0, y0, x1, y1, ...]`` as an array of points; a last x without its y is left out.
+
+    Fewer than two values make no point.
+    """
+    pairs = F.floor(F.size(flat) / 2).cast("int")
+    places = F.when(pairs > 0, F.sequence(F.lit(0), pairs - 1)).when(
+        flat.isNotNull(), F.array().cast("array<int>")
+    )
     return F.transform(
         places,
         lambda i: F.struct(

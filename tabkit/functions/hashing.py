@@ -17,10 +17,20 @@ from pyspark.sql import functions as F
 def key_hash(keys: Sequence[str], salt: str = "") -> Column:
     """md5 (hex text) of the salt and the key columns joined by ``-``.
 
-    A NULL key part is written as the text ``null``: dropping it would let
-    ``(a, NULL)`` and ``(NULL, a)`` share a draw.
+    Different keys are written differently: among several parts a dash or backslash
+    within a part is escaped unless the part is a lone number, and NULL is ``\\N``, which
+    no escaped text can be.
     """
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]
+    def part(k: str) -> Column:
+        value = F.col(k).cast("string")
+        if len(keys) > 1:
+            escaped = F.regexp_replace(value, r"([\\-])", r"\\$1")
+            value = F.when(value.rlike(r"^-?[0-9.]+$"), value).otherwise(escaped)
+        else:
+            value = F.replace(value, F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(value, F.lit("\\N"))
+
+    parts = [part(k) for k in keys]
     return F.md5(F.concat(F.lit(salt), F.concat_ws("-", *parts)))
 
 

@@ -98,9 +98,13 @@ def append_copies_exact(
         .groupBy((draw % size).alias("place"))
         .agg(F.count(F.lit(1)).cast("int").alias("_times"))
     )
-    chosen = small_side(places.join(drawn, "place").select(*keys, "_times"))
+    chosen = small_side(
+        places.join(drawn, "place").select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_times")
+    )
+    # a NULL key part is a key like any other
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     copies = (
-        df.join(chosen, list(keys))
+        df.join(chosen, same)
         .withColumn("_copy", F.explode(F.array_repeat(F.lit(True), F.col("_times"))))
         .select(*df.columns)
     )

@@ -16,6 +16,7 @@ from tabkit.functions.text import human_bytes
 from tabkit.operators.relational import inner_count, union_all
 from tabkit.sources import readers, writers
 
+BUCKETS = 8
 LAYOUTS = ("csv", "parquet_plain", "parquet_snappy", "partitioned", "merged", "bucketed")
 
 
@@ -25,14 +26,14 @@ def write_all(
     key: str,
     category: str,
     names: Sequence[str] = LAYOUTS,
-    buckets: int | None = None,
+    buckets: int = BUCKETS,
 ) -> dict[str, DataFrame]:
     """Write ``df`` once per layout below ``base``; returns a reader for each."""
     return {name: _write(df, name, f"{base}/{name}", key, category, buckets) for name in names}
 
 
 def _write(
-    df: DataFrame, name: str, path: str, key: str, category: str, buckets: int | None
+    df: DataFrame, name: str, path: str, key: str, category: str, buckets: int
 ) -> DataFrame:
     spark = df.sparkSession
     if name == "csv":

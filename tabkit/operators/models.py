@@ -68,6 +68,7 @@ def compare_feature_sets(
     category: str | None,
     target: str,
     keys: Sequence[str],
+    parts: int | None = None,
 ) -> DataFrame:
     """feature_set, n_features, r2, seconds, and the loss against the first set.
 
@@ -78,7 +79,7 @@ def compare_feature_sets(
     narrow = df.select(
         *keys, *used, *([category] if category else []), F.col(target).alias("label")
     )
-    split = random_split(spread(narrow), keys, {"train": 0.8, "test": 0.2}, "fs").persist(
+    split = random_split(spread(narrow, keys, parts), keys, {"train": 0.8, "test": 0.2}, "fs").persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
@@ -107,9 +108,11 @@ def compare_feature_sets(
     )
 
 
-def cross_validate(df: DataFrame, model, keys: Sequence[str], target: str, k: int = 5) -> DataFrame:
+def cross_validate(
+    df: DataFrame, model, keys: Sequence[str], target: str, k: int = 5, parts: int | None = None
+) -> DataFrame:
     """Fold scores (fold, r2, rmse, mae) of an MLlib model on hash folds."""
-    folded = with_fold(spread(df), keys, k).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = with_fold(spread(df, keys, parts), keys, k).persist(StorageLevel.MEMORY_AND_DISK)
     records = []
     try:
         for fold in range(k):

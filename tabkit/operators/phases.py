@@ -12,14 +12,14 @@ from tabkit.sources.readers import from_records
 
 
 def time_phases(df_source: Callable[[], DataFrame], steps: Mapping[str, Callable]) -> DataFrame:
-    """phase, seconds.  A step takes the DataFrame so far.
+    """phase, kind, n_rows, seconds.  A step takes the DataFrame so far.
 
     A step that returns a DataFrame is a transformation (only the plan grows);
-    any other result means it was an action.
+    any other result, a number of rows, means it was an action.
     """
     start = time.perf_counter()
     df = df_source()
-    records = [("read", "transformation", time.perf_counter() - start)]
+    records = [("read", "transformation", None, time.perf_counter() - start)]
     spark = df.sparkSession
     for name, step in steps.items():
         start = time.perf_counter()
@@ -27,10 +27,10 @@ def time_phases(df_source: Callable[[], DataFrame], steps: Mapping[str, Callable
         took = time.perf_counter() - start
         if isinstance(result, DataFrame):
             df = result
-            records.append((name, "transformation", took))
+            records.append((name, "transformation", None, took))
         else:
-            records.append((name, "action", took))
-    return from_records(spark, records, "phase string, kind string, seconds double")
+            records.append((name, "action", result, took))
+    return from_records(spark, records, "phase string, kind string, n_rows long, seconds double")
 
 
 def column_cost(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:

@@ -171,8 +171,9 @@ def first_by_hash(
     for name, (_, n) in draws.items():
         wanted = F.when(F.col("draw") == name, F.lit(n)).otherwise(wanted)
     cuts = rank_cuts(hashed, "draw", "h", [F.least(wanted, F.col("total"))])
-    # One row per draw; draws are named by the caller.
-    found = {row["draw"]: row["cuts"][0] for row in cuts.limit(len(draws)).collect()}
+    # One row per draw: the labels are the names given by the caller.
+    found = {row["draw"]: row["cuts"][0] for row in cuts.collect()}
+    assert set(found) <= set(draws)
     return {
         name: key_hash(keys, salt) <= found[name] if found.get(name) else F.lit(False)
         for name, (salt, _) in draws.items()

@@ -296,7 +296,10 @@ FROM (SELECT vec_id, label, k, unnest(range(k)) AS c FROM embeddings, k)""",
 def label_smoothing(spark: SparkSession, folder: str) -> DataFrame:
     """Smoothed one-hot label of each vector, a row per class."""
     vectors = table(spark, folder, "embeddings").select("vec_id", "label")
-    size = vectors.agg(F.max("label")).first()[0] + 1
+    last = vectors.agg(F.max("label")).first()[0]
+    if last is None:  # no label, no class
+        return vectors.limit(0).selectExpr("vec_id", "0 AS class_index", "0D AS mass")
+    size = last + 1
     smooth = arrays.smooth_labels(arrays.one_hot(F.col("label"), size), size, 0.1)
     return vectors.select("vec_id", F.posexplode(smooth).alias("class_index", "mass")).withColumn(
         "mass", F.round("mass", 6)

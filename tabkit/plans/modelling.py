@@ -18,6 +18,8 @@ from tabkit.sources import writers
 from tabkit.sources.readers import from_records, table
 
 LINEAR = ["l_extendedprice", "l_discount", "l_tax"]
+# Partitions of the rows that iterative fits pass over again and again.
+PARTS = 8
 CANDIDATES = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
 
 
@@ -159,7 +161,7 @@ def feature_selection_compare(spark: SparkSession, folder: str) -> DataFrame:
     lines = charged_lines(spark, folder, *LINE_KEY, "l_returnflag", *every)
     top = [r["feature"] for r in features.top_correlated(lines, every, "charge", 3).collect()]
     return models.compare_feature_sets(
-        lines, {"all": every, "top": top}, "l_returnflag", "charge", LINE_KEY
+        lines, {"all": every, "top": top}, "l_returnflag", "charge", LINE_KEY, PARTS
     )
 
 
@@ -168,7 +170,7 @@ def tree_models(spark: SparkSession, folder: str) -> DataFrame:
     """Tree, forest and boosted trees: size, importances and held-out R²."""
     columns = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
     lines = splits.random_split(
-        spread(charged_lines(spark, folder, *LINE_KEY, *columns)),
+        spread(charged_lines(spark, folder, *LINE_KEY, *columns), LINE_KEY, PARTS),
         LINE_KEY,
         {"train": 0.7, "held_out": 0.1, "test": 0.2},
     )

@@ -14,41 +14,36 @@ from tabkit.session import work_path
 from tabkit.sources import readers, writers
 from tabkit.sources.readers import table
 
+# Points of our own for order lines.
+LINE_TIERS = (("l_quantity <= 12", 4.0), ("l_quantity <= 30", 7.0))
+LINE_TOP = 11.0
+LINE_BONUSES = (
+    ("l_extendedprice > 60000", 2.5),
+    ("l_shipdate >= timestamp '1996-01-01'", 1.5),
+    ("l_tax <= 0.03", 0.5),
+    ("l_linenumber = 1", 1.0),
+    ("l_linestatus = 'O'", 2.0),
+)
+LINE_STEPS = (("expert", 12.0), ("regular", 8.0))
 LINE_SCORE = ScoreSpec(
     zero_when="l_discount = 0",
-    tiers=(Rule("l_quantity <= 17", 1.0), Rule("l_quantity <= 34", 2.0)),
-    otherwise=3.0,
-    bonuses=(
-        Rule("l_extendedprice > 50000", 0.5),
-        Rule("l_tax > 0.05", 0.3),
-        Rule("l_tax < 0.02", 0.5),
-        Rule("l_linenumber > 5", 0.3),
-        Rule("l_discount >= 0.08", 0.2),
-        Rule("l_linenumber <= 2", 0.3),
-        Rule("l_returnflag = 'R'", 0.1),
-    ),
+    tiers=tuple(Rule(when, points) for when, points in LINE_TIERS),
+    otherwise=LINE_TOP,
+    bonuses=tuple(Rule(when, points) for when, points in LINE_BONUSES),
 )
 LINE_CLASSES = (
     ClassRule("score = 0", "none"),
-    ClassRule("score >= 2.5", "expert"),
-    ClassRule("score >= 1.5", "regular"),
+    *[ClassRule(f"score >= {least}", name) for name, least in LINE_STEPS],
 )
 PROFILES = ("none", "novice", "regular", "expert")
 
-SCORED_SQL = """
-s AS (SELECT *,
-  CASE WHEN l_discount = 0 THEN 0.0::DOUBLE ELSE
-    CASE WHEN l_quantity <= 17 THEN 1.0::DOUBLE WHEN l_quantity <= 34 THEN 2.0::DOUBLE ELSE 3.0::DOUBLE END
-    + CASE WHEN l_extendedprice > 50000 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END
-    + CASE WHEN l_tax > 0.05 THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END
-    + CASE WHEN l_tax < 0.02 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END
-    + CASE WHEN l_linenumber > 5 THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END
-    + CASE WHEN l_discount >= 0.08 THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END
-    + CASE WHEN l_linenumber <= 2 THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END
-    + CASE WHEN l_returnflag = 'R' THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END END AS score
-  FROM lineitem),
-scored AS (SELECT *, CASE WHEN score = 0 THEN 'none' WHEN score >= 2.5 THEN 'expert'
-  WHEN score >= 1.5 THEN 'regular' ELSE 'novice' END AS profile FROM s)
+SCORED_SQL = f"""
+s AS (SELECT *, CASE WHEN l_discount = 0 THEN 0.0::DOUBLE ELSE
+    CASE {" ".join(f"WHEN {when} THEN {points}::DOUBLE" for when, points in LINE_TIERS)} ELSE {LINE_TOP}::DOUBLE END
+    {" ".join(f"+ CASE WHEN {when} THEN {points}::DOUBLE ELSE 0.0::DOUBLE END" for when, points in LINE_BONUSES)}
+    END AS score FROM lineitem),
+scored AS (SELECT *, CASE WHEN score = 0 THEN 'none'
+  {" ".join(f"WHEN score >= {least} THEN '{name}'" for name, least in LINE_STEPS)} ELSE 'novice' END AS profile FROM s)
 """
 
 

@@ -9,32 +9,35 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping
+import warnings
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 
-# Largest number of rows that any operator may ask Spark to broadcast.
+# Largest number of rows, and bytes of them, that any operator may ask Spark to broadcast.
 BROADCAST_ROWS = 10_000
+BROADCAST_BYTES = 8 << 20
 
 
 def build_session(
     app: str,
     master: str | int | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     log_level: str = "WARN",
     conf: Mapping[str, str] | None = None,
 ) -> SparkSession:
     """A session on ``master``: a URL, a number of local cores, or SPARK_MASTER.
 
+    The number of shuffle partitions is left to the cluster's settings unless given:
+    adaptive execution merges partitions but never adds any.
     ``conf`` adds or overrides settings, such as executor memory and cores.
     """
     if isinstance(master, int):
         master = f"local[{master}]"
     settings = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "12g",
@@ -44,6 +47,8 @@ def build_session(
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **(conf or {}),
     }
+    if shuffle_partitions:
+        settings.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = SparkSession.builder.appName(app).master(
         master or os.environ.get("SPARK_MASTER", "local[*]")
     )
@@ -62,6 +67,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get(SHARED_DIR_KEY, None)
     if configured:
+        if not spark.sparkContext.master.startswith("local") and configured.startswith("file:"):
+            # a mounted network folder looks the same, so this cannot be refused
+            warnings.warn(f"{SHARED_DIR_KEY} is {configured}: every executor must share that folder")
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR_KEY} to a folder all executors share")
@@ -88,7 +96,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it proves to have at most ``max_rows`` rows.
+    """Broadcast ``df`` if it proves to have at most ``max_rows`` rows of bounded size.
 
     The rows fetched for the check are the ones broadcast, so ``df`` (cut
     points, class weights, per-group results) is computed once.  A larger one
@@ -96,19 +104,16 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     execution splits skewed keys.
     """
     rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
+    if len(rows) <= max_rows and sum(len(str(row)) for row in rows) <= BROADCAST_BYTES:
         return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores for work that passes over them many times.
+def spread(df: DataFrame, keys: Sequence[str], parts: int | None) -> DataFrame:
+    """Rows dealt into ``parts`` partitions by a hash of their key, if a number is given.
 
-    Input of one file and row group is one partition, so iterative fits would
-    use one core.  Large input has more partitions than cores and is left as
-    it is: no shuffle is added there.
+    For work that passes over the rows many times when the input has too few partitions
+    for the cores.  Which rows share a partition depends on nothing but the number, so a
+    fit that depends on the partitioning is the same on every machine.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return df.repartition(parts, *keys) if parts else df

@@ -50,30 +50,23 @@ def parquet(
     return path
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Eight buckets for small input, then one per four input partitions.
-
-    At the usual 128 MB per partition a bucket stays near half a gigabyte.
-    """
-    return min(max(8, df.rdd.getNumPartitions() // 4), 50_000)
-
-
 def bucketed_table(
-    df: DataFrame, name: str, key: str, path: str, buckets: int | None = None
+    df: DataFrame, name: str, key: str, path: str, buckets: int
 ) -> str:
     """External table bucketed and sorted by ``key``; replaces ``name``.
 
+    The caller states the number of buckets: the table's size over half a gigabyte or so
+    keeps a bucket within a task's memory, and tables to be joined need equal numbers.
     Rows are sent to their bucket before the write, so each bucket is one
     file instead of one file per task and bucket.  ``key`` should be close to
     unique: all rows of one key share a bucket.
     """
-    count = buckets or bucket_count(df)
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    drop_table(df.sparkSession, name)
     (
-        df.repartition(count, key)
+        df.repartition(buckets, key)
         .write.mode("overwrite")
         .option("path", path)
-        .bucketBy(count, key)
+        .bucketBy(buckets, key)
         .sortBy(key)
         .saveAsTable(name)
     )

@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", 8, log_level="ERROR")
+    session = build_session("tests", 8, 8, log_level="ERROR")
     yield session
     session.stop()
 

@@ -193,6 +193,19 @@ def test_hash_cut_shares(spark):
     assert all(abs(r["count"] - 4000) < 300 for r in folds)
 
 
+def test_key_hash_tells_text_keys_apart(spark):
+    rows = [("a-b", "c"), ("a", "b-c"), ("null", "x"), (None, "x"), ("\\N", "x"), ("1", "2-3"), ("1-2", "3"), ("-1", "2")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(key_hash(["x", "y"])).distinct().count() == len(rows)
+    assert df.select(key_hash(["x"])).distinct().count() == 8
+
+
+def test_points_from_short_vectors(spark):
+    df = spark.createDataFrame([([],), ([1.0],), ([1.0, 2.0, 3.0],), (None,)], "v array<double>")
+    got = [r[0] for r in df.select(arrays.points_from_flat(F.col("v"))).collect()]
+    assert [None if p is None else [tuple(x) for x in p] for p in got] == [[], [], [(1.0, 2.0)], None]
+
+
 def test_key_hash_keeps_null_parts_apart(spark):
     df = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
     assert df.select(key_hash(["x", "y"])).distinct().count() == 2

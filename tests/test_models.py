@@ -174,11 +174,10 @@ def test_classifiers(spark):
     data.unpersist()
 
 
-def test_spread_leaves_large_input_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert session.spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == cores
-    many = spark.range(100, numPartitions=cores * 2)
-    assert session.spread(many) is many
+def test_spread_goes_by_the_number_given(spark):
+    df = spark.range(100, numPartitions=1)
+    assert session.spread(df, ["id"], 5).rdd.getNumPartitions() == 5
+    assert session.spread(df, ["id"], None) is df
 
 
 def test_only_the_best_model_is_kept(spark, planted):

@@ -60,7 +60,7 @@ def compare(spark, con, folder: str, name: str) -> str:
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:] or list(QUERIES)
-    spark = build_session("check", 8, log_level="ERROR")
+    spark = build_session("check", 8, 8, log_level="ERROR")
     con = connect(folder)
     bad = 0
     for name in wanted:
