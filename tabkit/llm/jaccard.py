@@ -7,10 +7,14 @@ against the box's upper corner.  Pairs that pass are verified on the shingles.
 
 One R-tree over all documents could not be spread over executors: in so many dimensions
 every box meets every query.  The trees are therefore built in blocks that lose no pair.
-Two sets within the similarity differ in at most a ninth of their summed sizes, so with
-more groups than that some group is the same in both; a hash of a group's content is a
-block key.  Blocks that share documents are united into families, and each family gets
-one tree.  A family too large for a task is dealt into chunks, see ``_large_families``.
+Linked sets differ in at most a ninth of their summed sizes, and each difference changes
+one group; so of twice as many groups half are the same in both.  A hash of a group's
+content is a block key, and under any common order of these keys linked sets share one
+among the first half.  Groups with many rare shingles come first: passages that recur
+hardly ever fill a group alone.  Which shingles are not rare is counted over all
+documents, and changes only the speed.
+Blocks that share documents are united into families, and each family gets one tree.  A
+family too large for a task is dealt into chunks, see ``_large_families``.
 
 The similarity is in percent and links are exact: no pair is dropped, capped or sampled.
 Sets are compared as 64-bit hashes of shingles.  An empty set links with nothing.  Rows
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.llm.common import U64, SpanHasher, map_text, mix, query, table, word_hashes
+from tabkit.llm.common import U64, SpanHasher, map_text, mix, query, reach_package, table, word_hashes
 from tabkit.llm.graph import components
 from tabkit.session import materialize
 
@@ -36,7 +40,11 @@ SIMILARITY = 80
 CHUNK_SHINGLES = 1_500_000
 # Ids of documents with possible partners that may be broadcast (16 bytes each).
 BROADCAST_IDS = 500_000
-SEEDS = 32
+# Shingles that do not count as rare: at most so many, counted in segments of so many
+# occurrences, in each of which at least SEGMENT_LEAST documents must hold them.
+FREQUENT = 300_000
+SEGMENT = 2_000_000
+SEGMENT_LEAST = 4
 LEAF = 32
 STEP = 0xD6E8FEB86659FD93
 
@@ -84,39 +92,41 @@ def most_apart(upper: int, similarity: int = SIMILARITY) -> int:
     return both * (100 - similarity) // (100 + similarity)
 
 
-def block_keys(shingles: np.ndarray, bounds: np.ndarray, similarity: int = SIMILARITY) -> np.ndarray:
+def block_keys(
+    shingles: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, similarity: int = SIMILARITY
+) -> np.ndarray:
     """Hashes of the contents of a set's groups, for its size class and the one below.
 
-    With ``d`` shingles apart at most, all but d groups are the same.  A pair is sure to
-    share a group that holds something unless both sets have as many empty groups as
-    there may be equal ones; such a set is dealt anew under the next seed as well.
+    With ``d`` shingles apart at most, all but d of the groups are the same, so two sets
+    share one of the first d + 1 under a common order: by rare shingles in the group,
+    then by hash.  ``frequent`` shingles (ascending) are not rare.
     """
     n = len(shingles)
-    if not n:
-        return np.zeros(0, U64)
     own = int(np.searchsorted(bounds, n, side="right"))
+    rare = np.ones(n, np.int64)
+    if n and len(frequent):
+        rare[frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles] = 0
     keys = []
     with np.errstate(over="ignore"):
         for index in (own, own - 1):
-            if index < 1:
-                continue
-            apart = most_apart(int(bounds[index]), similarity)
+            apart = most_apart(int(bounds[index]), similarity) if n and index else 0
             if apart < 1:
                 continue  # so small a set links with equal ones only
-            groups = apart + apart // 10 + 3
-            for seed in range(SEEDS):
-                salt = U64((index * SEEDS + seed) * STEP % (1 << 64))
-                spread = mix(shingles ^ salt)
-                group = (spread % U64(groups)).astype(np.int64)
-                order = np.argsort(group, kind="stable")
-                ids = group[order]
-                first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-                content = np.add.reduceat(mix(spread[order]), first)
-                keys.append(mix(content + mix(ids[first].astype(U64) + salt)))
-                if groups - len(first) < groups - apart:
-                    break
-            else:
-                keys.append(mix(np.array([salt], U64)))  # no seed helped: meet in one block
+            groups = 2 * apart + 2
+            salt = U64(index * STEP % (1 << 64))
+            spread = mix(shingles ^ salt)
+            group = (spread % U64(groups)).astype(np.int64)
+            order = np.argsort(group)
+            ids = group[order]
+            first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+            content = np.add.reduceat(mix(spread[order]), first)
+            found = mix(content + mix(ids[first].astype(U64) + salt))
+            weight = np.add.reduceat(rare[order], first)
+            if len(first) <= apart:  # hardly ever: empty groups count as well
+                empty = np.setdiff1d(np.arange(groups), ids)
+                found = np.concatenate([found, mix(empty.astype(U64) + salt)])
+                weight = np.concatenate([weight, np.full(len(empty), -1)])
+            keys.append(found[np.lexsort((found, -weight))[: apart + 1]])
     return np.concatenate(keys) if keys else np.zeros(0, U64)
 
 
@@ -244,44 +254,87 @@ def link_sets(
 # --- jobs -----------------------------------------------------------------------------
 
 
-def measured(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and the 128-bit hash of every document's set."""
+# Set hashes a task remembers, to pass over copies before anything is shuffled.
+SEEN_SETS = 200_000
 
-    def make():
-        hasher = SpanHasher()
 
-        def work(texts):
-            sets = [shingle_set(hasher, t, words) for t in texts]
-            hashes = [set_hash(s) for s in sets]
-            return [len(s) for s in sets], [h[0] for h in hashes], [h[1] for h in hashes]
+class Seen(set):
+    """Whether a set came before in this task, as far as is remembered."""
 
-        return work
+    def again(self, name: tuple[int, int]) -> bool:
+        if name in self:
+            return True
+        if len(self) >= SEEN_SETS:
+            self.clear()
+        self.add(name)
+        return False
 
-    fields = [T.StructField(n, T.LongType()) for n in ("n_shingles", "h1", "h2")]
-    return map_text(docs, text, [key], fields, make).withColumnRenamed(key, "doc_id")
 
+SETS = "doc_id long, n_shingles long, h1 long, h2 long, shingle long, holders long"
 
-# Set hashes a task remembers, to pass over copies before anything is shuffled.
-SEEN_SETS = 200_000
 
+def measured(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS) -> DataFrame:
+    """A row for every document: ``doc_id``, ``n_shingles`` and the 128-bit hash of its set.
 
-def blocks(docs: DataFrame, text: str, key: str, words: int, similarity: int) -> DataFrame:
-    """``block`` and ``doc``: one row for every group of every set, copies in a task once."""
+    Besides, rows with ``holders`` name the shingles that several documents of a segment hold.
+    """
+
+    def run(batches):
+        hasher, seen, waiting, size = SpanHasher(), Seen(), [], 0
+        for batch in batches:
+            rows = []
+            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                shingles = shingle_set(hasher, body.as_py(), words)
+                name = set_hash(shingles)
+                rows.append((doc, len(shingles), *name))
+                if len(shingles) and not seen.again(name):
+                    waiting.append(shingles)
+                    size += len(shingles)
+                if size > SEGMENT:
+                    yield _frequent(waiting)
+                    waiting, size = [], 0
+            yield _sets(*zip(*rows))
+        if waiting:
+            yield _frequent(waiting)
+
+    def _sets(doc, n, h1, h2):
+        empty = [None] * len(doc)
+        return _batch(doc, n, h1, h2, empty, empty)
+
+    def _frequent(waiting):
+        values, counts = np.unique(np.concatenate(waiting), return_counts=True)
+        often = counts >= SEGMENT_LEAST
+        empty = [None] * int(often.sum())
+        return _batch(empty, empty, empty, empty, values[often].view(np.int64), counts[often])
+
+    def _batch(*columns):
+        names = [c.split()[0] for c in SETS.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    return docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`")).mapInArrow(run, SETS)
+
+
+def frequent_shingles(sets: DataFrame, most: int = FREQUENT) -> np.ndarray:
+    """The ``most`` shingles held most often, ascending: a bounded list for the driver."""
+    counted = sets.filter("holders IS NOT NULL").groupBy("shingle").agg(F.sum("holders").alias("n"))
+    top = counted.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow()
+    return np.sort(top["shingle"].to_numpy().astype(np.int64).view(U64))
+
+
+def blocks(docs: DataFrame, frequent: np.ndarray, text: str, key: str, words: int, similarity: int) -> DataFrame:
+    """``block`` and ``doc``: a row for every block key of a set, copies in a task once."""
     bounds = size_classes(similarity)
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT numbers
 
     def run(batches):
-        hasher, seen = SpanHasher(), set()
+        hasher, seen = SpanHasher(), Seen()
         for batch in batches:
             out, owners, size = [], [], 0
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1)):
                 shingles = shingle_set(hasher, body.as_py(), words)
-                name = set_hash(shingles)
-                if doc is None or not len(shingles) or name in seen:
+                if doc is None or not len(shingles) or seen.again(set_hash(shingles)):
                     continue
-                if len(seen) >= SEEN_SETS:
-                    seen.clear()
-                seen.add(name)
-                keys = block_keys(shingles, bounds, similarity)
+                keys = block_keys(shingles, bounds, sent.value, similarity)
                 out.append(keys)
                 owners.append(np.full(len(keys), doc, np.int64))
                 size += len(keys)
@@ -307,11 +360,15 @@ def block_links(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("doc").alias("a"), least.alias("b")).filter("a != b").distinct()
 
 
+def few(rows: DataFrame) -> DataFrame:
+    """Broadcast rows of ids that prove to be few; else Spark joins them by shuffling."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+
+
 def with_sets(docs: DataFrame, families: DataFrame, text: str, key: str, words: int) -> DataFrame:
     """Shingles, as bytes, of the documents that belong to a family."""
-    if families.count() <= BROADCAST_IDS:
-        families = F.broadcast(families)
-    chosen = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("body")).join(families, "doc")
+    chosen = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("body"))
+    chosen = chosen.join(few(families), "doc")
 
     def make():
         hasher = SpanHasher()
@@ -357,11 +414,14 @@ def family_links(sets: DataFrame, chunk: int, similarity: int) -> DataFrame:
     sizes = sets.groupBy("family").agg(F.sum("size").alias("total"))
     total = sizes.agg(F.sum("total")).first()[0] or 0
     tasks = int(2 * total // chunk) + 8
-    large = sizes.filter(F.col("total") > chunk).select(
-        "family", F.ceil(F.col("total") / (chunk // 2)).cast("int").alias("chunks")
+    large = materialize(
+        sizes.filter(F.col("total") > chunk).select(
+            "family", F.ceil(F.col("total") / (chunk // 2)).cast("int").alias("chunks")
+        ),
+        "large",
     )
     many = large.count()
-    small = sets.join(large, "family", "left_anti") if many else sets
+    small = sets.join(few(large), "family", "left_anti") if many else sets
     found = (
         small.select(
             F.pmod(F.xxhash64("family"), F.lit(tasks)).alias("task"),
@@ -372,7 +432,7 @@ def family_links(sets: DataFrame, chunk: int, similarity: int) -> DataFrame:
         .select("a", "b")
     )
     if many:
-        found = found.unionByName(_large_families(sets.join(large, "family"), chunk, similarity))
+        found = found.unionByName(_large_families(sets.join(few(large), "family"), chunk, similarity))
     return found
 
 
@@ -384,9 +444,7 @@ def _large_families(rows: DataFrame, chunk: int, similarity: int) -> DataFrame:
     from its family's largest component is searched in all chunks, in blocks: few
     documents as a rule, and if many, a pair of blocks is still one bounded task.
     """
-    rows = materialize(
-        rows.withColumn("chunk", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int")), "families"
-    )
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
     inner = materialize(
         rows.select(
             F.xxhash64("family", "chunk").alias("task"),
@@ -421,10 +479,11 @@ def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
 
 def _across(rows: DataFrame, asking: DataFrame, links: DataFrame, chunk: int, similarity: int) -> DataFrame:
     """Links found by searching ``asking`` in every chunk of their families."""
-    known = _labelled(rows, links).select("doc", "known")
+    known = few(materialize(_labelled(rows, links).select("doc", "known"), "known"))
     all_rows = rows.join(known, "doc")
-    asking = materialize(all_rows.join(asking.distinct(), "doc", "left_semi"), "asking")
+    asking = all_rows.join(few(materialize(asking.distinct(), "asking")), "doc", "left_semi")
     parts = asking.groupBy("family").agg(F.ceil(F.sum("size") / chunk).cast("int").alias("parts"))
+    parts = few(materialize(parts, "parts"))
     part = F.pmod(F.xxhash64("doc", F.lit(1)), F.col("parts")).cast("int").alias("part")
     columns = ["family", "doc", "shingles", "known"]
     left = all_rows.join(parts, "family").select(
@@ -446,7 +505,10 @@ def jaccard_components(
     chunk: int = CHUNK_SHINGLES,
 ) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links)."""
-    sizes = materialize(measured(docs, text, key, words), "sets")
+    reach_package(docs.sparkSession)
+    told = materialize(measured(docs, text, key, words), "sets")
+    frequent = frequent_shingles(told)
+    sizes = told.filter("n_shingles IS NOT NULL").drop("shingle", "holders")
     copies = (
         sizes.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("n_shingles", "h1", "h2")
@@ -458,7 +520,7 @@ def jaccard_components(
         "doc_id", "n_shingles", F.coalesce("first", "doc_id").cast("long").alias("first")
     )
     owners = materialize(owners, "owners")
-    near = block_links(blocks(docs, text, key, words, similarity))
+    near = block_links(blocks(docs, frequent, text, key, words, similarity))
     families = components(near).select(F.col("node").alias("doc"), F.col("component").alias("family"))
     families = materialize(families, "families")
     sets = materialize(with_sets(docs, families, text, key, words), "candidates")
