@@ -45,12 +45,18 @@ GAIN = 1e-4
 
 
 def linear_fit(df: DataFrame, columns: Sequence[str], target: str):
-    """Fitted pipeline of an assembled least-squares model."""
+    """Fitted pipeline of an assembled least-squares model.
+
+    Rows with a missing feature or target take no part in the fit; when scored, a row
+    with a missing feature gets NaN and does not stop the others.
+    """
     stages = [
-        VectorAssembler(inputCols=list(columns), outputCol="features"),
+        VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="skip"),
         LinearRegression(featuresCol="features", labelCol=target, solver="normal"),
     ]
-    return Pipeline(stages=stages).fit(df)
+    fitted = Pipeline(stages=stages).fit(df.dropna(subset=[target]))
+    fitted.stages[0].setHandleInvalid("keep")
+    return fitted
 
 
 def coefficients(df: DataFrame, columns: Sequence[str], target: str, digits: int) -> DataFrame:

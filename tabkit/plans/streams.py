@@ -6,17 +6,21 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabkit.functions.hashing import key_hash
 from tabkit.operators import models
 from tabkit.plans.registry import query
 from tabkit.session import work_path
 from tabkit.sources.readers import table
 from tabkit.streaming import jobs
 
-K_SQL = "json_extract(props, '$.k')::DOUBLE"
+# The feature, missing in a band of the events.
+K_SQL = """CASE WHEN md5('k' || event_id::VARCHAR) >= '05' THEN json_extract(props, '$.k')::DOUBLE END"""
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").try_cast("double")
+    return F.when(
+        key_hash(["event_id"], "k") >= "05", F.get_json_object("props", "$.k").try_cast("double")
+    )
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,22 +31,26 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "stream_score",
     f"""WITH m AS (SELECT regr_slope(value, {K_SQL}) AS b, regr_intercept(value, {K_SQL}) AS a FROM events)
-SELECT event_id, round(a + b * {K_SQL}, 4) AS prediction,
+SELECT event_id, CASE WHEN ({K_SQL}) IS NULL THEN 'missing: k' END AS reason,
+  round(a + b * {K_SQL}, 4) AS prediction,
   '{{"event_id":' || event_id || ',"prediction":' || round(a + b * {K_SQL}, 4) || '}}' AS payload FROM events, m""",
 )
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
-    """A model fitted on the table scores it again as a stream."""
+    """A model fitted on the table scores it again as a stream; records without the feature are told."""
     events = table(spark, folder, "events")
     fitted = models.linear_fit(events.select("value", _k().alias("k")), ["k"], "value")
+    stream = event_stream(spark, folder).withColumn("k", _k())
 
     def answer(df: DataFrame, model: PipelineModel = fitted) -> DataFrame:
-        scored = model.transform(df.withColumn("k", _k()))
+        scored = model.transform(df)
         rounded = scored.select("event_id", F.round("prediction", 4).alias("prediction"))
         return rounded.withColumn("payload", F.to_json(F.struct("event_id", "prediction")))
 
     out = work_path(spark, "stream_score")
-    jobs.score(event_stream(spark, folder), answer, out).awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    jobs.score(stream, answer, out, required=["k"]).awaitTermination()
+    scored = spark.read.parquet(f"{out}/data").drop("batch")
+    rejects = spark.read.parquet(f"{out}/rejects").select("event_id", "reason")
+    return scored.unionByName(rejects, allowMissingColumns=True)
 
 
 @query(

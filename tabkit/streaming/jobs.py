@@ -1,5 +1,7 @@
 """Streams over a table that grows by files: score, latest state, routing.
 
+State belongs in RocksDB (``STATE_STORE``) where it may outgrow a task's memory; with
+``files_per_batch`` a backlog is taken in parts.
 Every job keeps its checkpoint and output in the shared folder, runs with
 ``availableNow`` (all present input, then stop) unless another trigger is
 given, and writes so that a repeated batch replaces itself.
@@ -14,7 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tabkit.operators.quality import absent
+
 ACCEPTED = 200
+# Session setting (name, value) that keeps streaming state outside the heap.
+STATE_STORE = (
+    "spark.sql.streaming.stateStore.providerClass",
+    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+)
 
 
 def read_files(
@@ -44,10 +53,65 @@ def score(
     transform: Callable[[DataFrame], DataFrame],
     out: str,
     trigger: Mapping | None = None,
+    required: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Every record through ``transform`` (a fitted model and its payload)."""
-    writer = transform(stream).writeStream.format("parquet").outputMode("append")
-    return _start(writer.option("path", f"{out}/data"), f"{out}/checkpoint", trigger)
+    """Every record through ``transform`` (a fitted model and its payload).
+
+    Records that lack one of the ``required`` columns (NULL or NaN) go to ``out/rejects``
+    with a ``reason`` instead; they never stop the stream or the others' scores.
+    """
+    if not required:
+        writer = transform(stream).writeStream.format("parquet").outputMode("append")
+        return _start(writer.option("path", f"{out}/data"), f"{out}/checkpoint", trigger)
+    lacking = absent(stream)
+    names = F.array_compact(F.array(*[F.when(lacking[c], F.lit(c)) for c in required]))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        told = batch.withColumn("reason", F.concat(F.lit("missing: "), F.array_join(names, ", ")))
+        good = told.filter(F.size(names) == 0).drop("reason")
+        for rows, kind in ((transform(good), "data"), (told.filter(F.size(names) > 0), "rejects")):
+            rows.write.mode("overwrite").parquet(f"{out}/{kind}/batch={batch_id}")
+
+    return _start(stream.writeStream.foreachBatch(write), f"{out}/checkpoint", trigger)
+
+
+def compact(spark: SparkSession, out: str, key: str) -> str:
+    """Fold what the batches of ``latest_state`` wrote into one snapshot; returns its path.
+
+    Later reads then take the snapshot and the batches written since.  The stream may go
+    on meanwhile: only batches present at the start are folded.
+    """
+    written = spark.read.parquet(f"{out}/data")
+    last = written.agg(F.max("batch")).first()[0]
+    newest = written.filter(F.col("batch") <= last)
+    previous = _snapshot(spark, out)
+    if previous is not None:
+        path, upto = previous
+        newest = newest.filter(F.col("batch") > upto).drop("batch")
+        newest = newest.unionByName(spark.read.parquet(path).select(*newest.columns))
+    else:
+        newest = newest.drop("batch")
+    state = newest.groupBy(key).agg(
+        F.max_by("last", "position").alias("last"), F.max("position").alias("position")
+    )
+    path = f"{out}/snapshots/upto={last}"
+    state.write.mode("overwrite").parquet(path)
+    return path
+
+
+def _snapshot(spark: SparkSession, out: str) -> tuple[str, int] | None:
+    """The newest finished snapshot and the last batch it holds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/snapshots")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return None
+    done = [
+        (int(p.getPath().getName().split("=")[1]), p.getPath().toString())
+        for p in system.listStatus(folder)
+        if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p.getPath(), "_SUCCESS"))
+    ]
+    upto, path = max(done, default=(None, None))
+    return None if path is None else (path, upto)
 
 
 def latest_state(
@@ -88,8 +152,13 @@ def latest_state(
 
 
 def read_latest(spark: SparkSession, out: str, key: str) -> DataFrame:
-    """The current state per key from what the batches wrote."""
+    """The current state per key: the newest snapshot, if any, and the batches since."""
     written = spark.read.parquet(f"{out}/data")
+    previous = _snapshot(spark, out)
+    if previous is not None:
+        path, upto = previous
+        since = written.filter(F.col("batch") > upto).drop("batch")
+        written = since.unionByName(spark.read.parquet(path).select(*since.columns))
     return (
         written.groupBy(key)
         .agg(F.max_by("last", "position").alias("last"))

@@ -93,3 +93,35 @@ def test_score_emits_each_record_once(spark):
     got = {r["n"]: r["payload"] for r in spark.read.parquet(f"{base}/out/data").collect()}
     assert got == {n: f'{{"twice":{2 * n}}}' for n in range(1, 7)}
     assert spark.read.parquet(f"{base}/out/data").count() == 6
+
+
+def test_a_missing_feature_does_not_stop_the_stream(spark):
+    base = session.work_path(spark, "missing_test")
+    first, later = rows_of(spark)
+    t1 = at(spark, "2024-01-01T00:01:00")
+    for rows in (first, [("x", None, t1, "one"), ("y", 7, t1, None)], later):
+        feed(spark, f"{base}/in", rows)
+    jobs.score(
+        stream(spark, f"{base}/in"), lambda df: df.selectExpr("key", "n * 2 AS twice"), f"{base}/out", required=["n", "kind"]
+    ).awaitTermination()
+    scored = spark.read.parquet(f"{base}/out/data")
+    assert sorted(r["twice"] for r in scored.collect()) == [2, 4, 6, 8, 10, 12]
+    rejects = {r["key"]: r["reason"] for r in spark.read.parquet(f"{base}/out/rejects").collect()}
+    assert rejects == {"x": "missing: n", "y": "missing: kind"}
+
+
+def test_compaction_keeps_the_state(spark):
+    base = session.work_path(spark, "compact_test")
+    first, later = rows_of(spark)
+    data, out = f"{base}/in", f"{base}/out"
+
+    def run(rows):
+        feed(spark, data, rows)
+        jobs.latest_state(stream(spark, data), "key", ["ts", "n"], ["kind"], out).awaitTermination()
+        return {r["key"]: r["kind"] for r in jobs.read_latest(spark, out, "key").collect()}
+
+    run(first)
+    jobs.compact(spark, out, "key")
+    assert run(later) == {"a": "two", "b": "three", "c": "one"}
+    jobs.compact(spark, out, "key")
+    assert run([("c", 9, at(spark, "2024-01-01T00:09:00"), "last")])["c"] == "last"
