@@ -149,7 +149,7 @@ def grid_search(df: DataFrame, model, grid: dict, keys: Sequence[str], target: s
     return search.fit(with_fold(df, keys, k))
 
 
-def decision_tree(df: DataFrame, target: str):
+def tree_learner(target: str) -> DecisionTreeRegressor:
     return DecisionTreeRegressor(
         featuresCol="features",
         labelCol=target,
@@ -157,7 +157,11 @@ def decision_tree(df: DataFrame, target: str):
         minInstancesPerNode=TREE_MIN_LEAF,
         minInfoGain=TREE_MIN_GAIN,
         seed=42,
-    ).fit(df)
+    )
+
+
+def decision_tree(df: DataFrame, target: str):
+    return tree_learner(target).fit(df)
 
 
 def ensemble(trees: Sequence, weights: Sequence[float]):

@@ -10,6 +10,8 @@ from tabkit.functions.hashing import key_hash
 from tabkit.operators import closed_form, curves, features, landmarks, metrics, splits
 from tabkit.operators.quantiles import exact_quantiles
 from tabkit.plans.registry import query
+from tabkit.session import work_path
+from tabkit.sources import readers, writers
 from tabkit.sources.readers import table
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -90,8 +92,11 @@ SELECT o_orderpriority, CASE WHEN rn <= floor(n * 0.7) THEN 'train' WHEN rn <= f
 def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
     split = splits.stratified_split(orders, "o_orderpriority", ["o_orderkey"], SPLIT)
+    # the sets are stored, one CSV folder each, and counted as they were stored
+    path = writers.csv(split, work_path(spark, "sets"), partition_by=["split"])
+    stored = readers.csv_typed(spark, path, split.schema)
     return splits.split_sizes(
-        split, ["o_orderpriority", "split"], F.sum("o_orderkey").alias("key_sum")
+        stored, ["o_orderpriority", "split"], F.sum("o_orderkey").alias("key_sum")
     )
 
 

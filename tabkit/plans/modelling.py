@@ -197,6 +197,38 @@ def tree_models(spark: SparkSession, folder: str) -> DataFrame:
     return from_records(spark, rows, "model string, measure string, value double")
 
 
+@query(
+    "best_model_stored",
+    """SELECT 'linear' AS winner, count(*) AS n_rows, count(*) AS n_equal FROM lineitem""",
+)
+def best_model_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Families compared by cross-validation; only the winner is stored, read back and scored."""
+    columns = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+    lines = spread(charged_lines(spark, folder, *LINE_KEY, *columns), LINE_KEY, PARTS)
+    data = features.assemble(lines, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        families = {
+            "linear": LinearRegression(featuresCol="features", labelCol="charge"),
+            "tree": models.tree_learner("charge"),
+        }
+        records = []
+        for name, learner in families.items():
+            scores = models.cross_validate(data, learner, LINE_KEY, "charge", 5)
+            records.append((name, metrics.across_folds(scores, ["r2"]).first()["r2_mean"]))
+        fitted = {name: learner.fit(data) for name, learner in families.items()}
+    finally:
+        data.unpersist()
+    results = from_records(spark, records, "model string, r2 double")
+    name, path = models.keep_best(fitted, results, "r2", work_path(spark, "best"))
+    again = models.load(path).transform(data).withColumnRenamed("prediction", "reloaded")
+    both = fitted[name].transform(again)
+    return both.agg(
+        F.lit(name).alias("winner"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("prediction") == F.col("reloaded")).alias("n_equal"),
+    )
+
+
 def _cuts_sql(rows: str, place: str) -> str:
     """The best cut of some rows by quantity: every middle between two values is tried."""
     return f"""
