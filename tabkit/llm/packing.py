@@ -17,10 +17,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,33 @@ MEMO_ENTRIES = 1_000_000
 
 SEPARATORS = re.compile("[ \t\n\r\x0b\x0c]+")
 INFORMATION = re.compile("[\x1c-\x1f]")
+# The vocabulary's own rules (fixed values of its file): how chunks part, and up to which
+# character two Unicode versions cannot disagree about letters.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+LAST_LATIN = "\u024f"
+
+
+def byte_letters() -> list[str]:
+    """The letters that byte-level vocabularies write bytes with: visible Latin-1 as it is."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in visible else next(others)) for b in range(256)]
+
+
+class PartIds(dict):
+    """Part of a chunk to its ids: the vocabulary's merges, without its reading of text."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        spelt = part if part.isascii() and part.isprintable() else "".join([self.letters[b] for b in part.encode()])
+        ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        if len(self) > MEMO_ENTRIES:
+            self.clear()
+        self[part] = ids
+        return ids
 
 
 class ChunkIds(dict):
@@ -57,15 +86,23 @@ class ChunkIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.parts = PartIds(self.tokenizer.model)
 
     def learn(self, chunks: set[str]) -> None:
         if len(self) > MEMO_ENTRIES:
             self.clear()
-        new = [c for c in chunks if c not in self]
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for chunk, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self[chunk] = np.array(found.ids, "<u4").tobytes()
+        for chunk in chunks:
+            if chunk in self:
+                continue
+            if chunk.isascii():
+                plain = chunk.lower()
+            elif max(chunk) <= LAST_LATIN:
+                plain = self.tokenizer.normalizer.normalize_str(chunk)
+            else:
+                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+                self[chunk] = array("I", ids).tobytes()
+                continue
+            self[chunk] = b"".join(map(self.parts.__getitem__, PARTS.findall(plain)))
 
     @staticmethod
     def chunks(text: str) -> list[str]:
