@@ -9,6 +9,7 @@ projection.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -90,8 +91,11 @@ def fit_fills(
         for c in numeric
         if c in wanted and skews[c] is not None and abs(skews[c]) > skew_cutoff
     ]
-    medians = exact_quantiles(df, skewed, [0.5])
-    modes = fit_modes(df, [c for c in words if c in wanted])
+    # neither waits for the other, so their jobs run side by side
+    with ThreadPoolExecutor(1) as beside:
+        finding = beside.submit(fit_modes, df, [c for c in words if c in wanted])
+        medians = exact_quantiles(df, skewed, [0.5])
+        modes = finding.result()
     fills = []
     for c in wanted:
         missing = seen[f"missing_{c}"]
@@ -192,10 +196,14 @@ def clean(df: DataFrame, spec: CleanSpec = CleanSpec()) -> tuple[DataFrame, Data
         *_fill_measures(numeric, words),
     ).first()
 
-    fills = fit_fills(rows, numeric, words, spec.skew_cutoff, seen=seen)
+    # fences need the fills of numbers only, so the modes are found beside them
+    with ThreadPoolExecutor(1) as beside:
+        finding = beside.submit(fit_fills, rows, [], words, spec.skew_cutoff, True, seen)
+        fills = fit_fills(rows, numeric, [], spec.skew_cutoff, seen=seen)
+        looks = {c: _look_after_fill(seen[f"look_{c}"], c, fills) for c in checked}
+        fences = quality.iqr_fences(apply_fills(rows, fills), checked, spec.iqr_factor, looks)
+        fills += finding.result()
     tidy = normalize_text(apply_fills(rows, fills), words)
-    looks = {c: _look_after_fill(seen[f"look_{c}"], c, fills) for c in checked}
-    fences = quality.iqr_fences(tidy, checked, spec.iqr_factor, looks)
     outlier = {c: quality.is_outlier(c, fences[c]) for c in checked}
     cleaned = tidy.withColumns({f"{c}_outlier": flag for c, flag in outlier.items()})
 
