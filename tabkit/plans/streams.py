@@ -13,8 +13,9 @@ from tabkit.session import work_path
 from tabkit.sources.readers import table
 from tabkit.streaming import jobs
 
+READ_SQL = "json_extract(props, '$.k')::DOUBLE"
 # The feature, missing in a band of the events.
-K_SQL = """CASE WHEN md5('k' || event_id::VARCHAR) >= '05' THEN json_extract(props, '$.k')::DOUBLE END"""
+K_SQL = f"CASE WHEN md5('k' || event_id::VARCHAR) >= '05' THEN {READ_SQL} END"
 
 
 def _k() -> Column:
@@ -85,10 +86,10 @@ REJECTS = (
 
 @query(
     "reject_route",
-    f"""SELECT event_id, CASE WHEN event_type = 'error' THEN 415 WHEN {K_SQL} IS NULL OR value > 200 THEN 400
+    f"""SELECT event_id, CASE WHEN event_type = 'error' THEN 415 WHEN {READ_SQL} IS NULL OR value > 200 THEN 400
   ELSE 200 END AS status, CASE WHEN event_type = 'error' THEN 'kind of record not accepted'
-  WHEN {K_SQL} IS NULL THEN 'properties cannot be read' WHEN value > 200 THEN 'value out of range' END AS reason,
-  CASE WHEN event_type = 'error' OR {K_SQL} IS NULL OR value > 200 THEN 'rejected' ELSE 'accepted' END AS route
+  WHEN {READ_SQL} IS NULL THEN 'properties cannot be read' WHEN value > 200 THEN 'value out of range' END AS reason,
+  CASE WHEN event_type = 'error' OR {READ_SQL} IS NULL OR value > 200 THEN 'rejected' ELSE 'accepted' END AS route
 FROM events""",
 )
 def reject_route(spark: SparkSession, folder: str) -> DataFrame:

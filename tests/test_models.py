@@ -96,7 +96,7 @@ def test_growth_stops_by_patience_and_restores_the_best(parts):
         if r2_value > value + models.GAIN:
             best, value = size, r2_value
     assert forest.getNumTrees == best and rows[-1][0] == best + 3 * 2
-    assert r2(forest, held_out) == pytest.approx(dict(rows)[best], abs=1e-9)
+    assert r2(forest, held_out) == pytest.approx(dict(rows)[best], abs=1e-6)
 
 
 def test_boosting_stops_by_patience_and_restores_the_best(parts):
@@ -110,7 +110,7 @@ def test_boosting_stops_by_patience_and_restores_the_best(parts):
         if loss < value - models.GAIN:
             best, value = i, loss
     assert kept == best and len(losses) == best + 4
-    assert 1 - r2(boosted, told) == pytest.approx(losses[best - 1], abs=1e-9)
+    assert 1 - r2(boosted, told) == pytest.approx(losses[best - 1], abs=1e-6)
 
 
 @pytest.mark.parametrize("kind", ["tree", "forest", "boosted", "linear"])

@@ -13,6 +13,7 @@ import __spark_entry__ as driver  # noqa: E402
 from tabkit.plans import ORACLES, QUERIES  # noqa: E402
 from tools.check_queries import compare, connect  # noqa: E402
 
+# Runs until its stop rules fire, for minutes; tests/test_models.py covers what it calls.
 SLOW = {"tree_models"}
 
 
