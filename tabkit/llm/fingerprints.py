@@ -12,11 +12,10 @@ texts.  The fingerprint is the text's sketch at the smallest size, with its numb
 digests, in hexadecimal; equal texts have equal ones.  Null text is taken as empty.
 """
 
-from __future__ import annotations
-
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,7 +100,7 @@ class Sketches:
             np.add.at(self.digests, cells, value)
             np.add.at(self.checks, cells, check)
 
-    def part(self, start: int, stop: int) -> Sketches:
+    def part(self, start: int, stop: int) -> "Sketches":
         """The sketches of some of the sets."""
         out, cells = Sketches(0, self.width), self.width * HASHES
         out.sets = stop - start
@@ -109,7 +108,7 @@ class Sketches:
             setattr(out, name, getattr(self, name)[start * cells : stop * cells])
         return out
 
-    def __sub__(self, other: Sketches) -> Sketches:
+    def __sub__(self, other: "Sketches") -> "Sketches":
         out = Sketches(0, self.width)
         out.sets = self.sets
         with np.errstate(over="ignore"):
@@ -250,32 +249,46 @@ COLUMNS = (
 def ranges(docs: DataFrame, key: str, text: str, range_bytes: int) -> DataFrame:
     """Documents in ranges of descending id, each range with the document that follows it.
 
-    Only the ends of the ranges and one id a range come to the driver, and a text moves
-    once (twice if it leads a range).  ``lead`` marks the copy that only follows.
-    Rows without an id come last.
+    Only the ends of the ranges and one id a range come to the driver (16 bytes for
+    ``range_bytes`` of text), and a text moves once (twice if it leads a range).  ``lead``
+    marks the copy that only follows.  Rows without an id come last.
     """
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
     rows = rows.withColumn("place", F.coalesce(-F.col("doc_id"), F.lit((1 << 63) - 1)))
     size, n = rows.agg(F.sum(F.octet_length("body")), F.count("*")).first()
     many = max(1, min(int((size or 0) // range_bytes) + 1, n or 1))
-    cuts = sorted(set(rows.approxQuantile("place", [i / many for i in range(1, many)], 0.1 / many))) if many > 1 else []
-    cuts = [int(x) for x in cuts]
-    # the range of a place is the number of cuts at or below it
-    bounds = F.array(*[F.lit(x).cast("long") for x in cuts]) if cuts else None
-    number = F.size(F.filter(bounds, lambda x: x <= F.col("place"))) if cuts else F.lit(0)
-    rows = rows.withColumn("range", number)
-    leads = {r["range"]: r["place"] for r in rows.groupBy("range").agg(F.min("place").alias("place")).collect()}
-    present = sorted(leads)
-    if not present:
-        return rows.withColumn("lead", F.lit(False))
-    # the first document of a range also closes the range before it; the very first closes the last
-    before = {r: present[i - 1] for i, r in enumerate(present)}
-    target = F.create_map(*[F.lit(x) for r in present for x in (r, before[r])])
-    first = F.create_map(*[F.lit(x) for r in present for x in (r, leads[r])])
-    leading = F.col("place") == first[F.col("range")]
-    copies = F.when(leading, F.array(F.struct(F.col("range"), F.lit(False).alias("lead")), F.struct(target[F.col("range")].alias("range"), F.lit(True).alias("lead"))))
-    copies = F.coalesce(copies, F.array(F.struct(F.col("range"), F.lit(False).alias("lead"))))
-    return rows.select("doc_id", "body", "place", F.explode(copies).alias("x")).select("doc_id", "body", "place", "x.range", "x.lead")
+    found = rows.approxQuantile("place", [i / many for i in range(1, many)], 0.1 / many) if many > 1 else []
+    context = docs.sparkSession.sparkContext
+    cuts = context.broadcast(np.unique(np.array(found, np.float64)))
+
+    def number(place: np.ndarray) -> np.ndarray:
+        """The range of a place: how many cuts are at or below it."""
+        return np.searchsorted(cuts.value, place.astype(np.float64), side="right")
+
+    @F.pandas_udf("long")
+    def range_of(place: pd.Series) -> pd.Series:
+        return pd.Series(number(place.to_numpy()))
+
+    leads = rows.groupBy(range_of("place").alias("range")).agg(F.min("place").alias("place")).toArrow()
+    order = np.argsort(leads["range"].to_numpy())
+    ends = context.broadcast((leads["range"].to_numpy()[order], leads["place"].to_numpy()[order]))
+
+    @F.pandas_udf("range long, before long")
+    def ranges_of(place: pd.Series) -> pd.DataFrame:
+        """The range, and for its first document also the range before (that of the very first: the last)."""
+        present, first = ends.value
+        own = place.to_numpy()
+        at = np.minimum(np.searchsorted(first, own), len(first) - 1)
+        before = np.where(first[at] == own, present[at - 1], -1)
+        return pd.DataFrame({"range": number(own), "before": before})
+
+    rows = rows.withColumn("r", ranges_of("place"))
+    own = F.struct(F.col("r.range").alias("range"), F.lit(False).alias("lead"))
+    other = F.struct(F.col("r.before").alias("range"), F.lit(True).alias("lead"))
+    copies = F.when(F.col("r.before") >= 0, F.array(own, other)).otherwise(F.array(own))
+    return rows.select("doc_id", "body", "place", F.explode(copies).alias("x")).select(
+        "doc_id", "body", "place", "x.range", "x.lead"
+    )
 
 
 def _compare(rows: pa.Table) -> pa.Table:
