@@ -516,6 +516,7 @@ def jaccard_components(
         .filter("many > 1")
         .drop("many")
     )
+    copies = few(materialize(copies, "copies"))
     owners = sizes.join(copies, ["n_shingles", "h1", "h2"], "left").select(
         "doc_id", "n_shingles", F.coalesce("first", "doc_id").cast("long").alias("first")
     )
@@ -537,7 +538,7 @@ def jaccard_components(
         firsts.filter("doc_id != first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
         .join(firsts.filter("doc_id = first").select(F.col("doc_id").alias("a")), "a", "left_semi")
     )
-    named = components(ends).select(F.col("node").alias("first"), "component")
+    named = few(materialize(components(ends).select(F.col("node").alias("first"), "component"), "named"))
     return owners.join(named, "first", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "first").alias("component_id")
     )
