@@ -34,7 +34,7 @@ SAMPLE_DOCS = 1_500
 MODEL_WORDS = 20_000
 MODEL_GRAMS = 20_000
 # Words a worker remembers before it starts afresh.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 250_000
 
 
 @dataclass(frozen=True)

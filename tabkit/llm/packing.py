@@ -40,13 +40,16 @@ POPULATION = 6
 ELITES = 3
 # A bin filled less than this goes to the pool that is packed again.
 POOL_FILL = 0.97
-# White-space chunks a worker remembers the ids of; a full memory is emptied.
-MEMO_ENTRIES = 1_000_000
+# White-space chunks, and parts of them, that a task remembers the ids of; a full memory is
+# emptied, and with the task it goes.
+MEMO_ENTRIES = 300_000
 
 # --- pieces ---------------------------------------------------------------------------
 
 SEPARATORS = re.compile("[ \t\n\r\x0b\x0c]+")
-INFORMATION = re.compile("[\x1c-\x1f]")
+# Characters that make a text odd: those beyond Latin, and four that ``str.split`` cuts at
+# although the tokenizer keeps them.
+ODD = re.compile("[^\x00-\x1b\x20-\u024f]")
 # The vocabulary's own rules (fixed values of its file): how chunks part, and up to which
 # character two Unicode versions cannot disagree about letters.
 PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -88,31 +91,30 @@ class ChunkIds(dict):
         self.tokenizer.encode_special_tokens = True
         self.parts = PartIds(self.tokenizer.model)
 
-    def learn(self, chunks: set[str]) -> None:
-        if len(self) > MEMO_ENTRIES:
-            self.clear()
-        for chunk in chunks:
-            if chunk in self:
-                continue
-            if chunk.isascii():
-                plain = chunk.lower()
-            elif max(chunk) <= LAST_LATIN:
-                plain = self.tokenizer.normalizer.normalize_str(chunk)
-            else:
-                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-                self[chunk] = array("I", ids).tobytes()
-                continue
-            self[chunk] = b"".join(map(self.parts.__getitem__, PARTS.findall(plain)))
+    def __missing__(self, chunk: str) -> bytes:
+        if chunk.isascii() or max(chunk) <= LAST_LATIN:  # there, normal form changes nothing
+            plain = chunk.lower()
+            parts = [plain] if plain.isalpha() else PARTS.findall(plain)
+            ids = b"".join(map(self.parts.__getitem__, parts))
+        else:
+            ids = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        if len(chunk) <= 256:  # longer ones hardly repeat
+            self[chunk] = ids
+        return ids
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        """``str.split`` also cuts at four control characters that the tokenizer keeps."""
-        return text.split() if not INFORMATION.search(text) else SEPARATORS.split(text)
+        """Chunks with the same ids as the text's; in lower case, which makes fewer different ones."""
+        return SEPARATORS.split(text) if ODD.search(text) else text.lower().split()
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [self.chunks(t) for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.__getitem__, chunks)) for chunks in split]
+    def forget(self) -> None:
+        self.clear()
+        self.parts.clear()
+
+    def ids(self, text: str) -> bytes:
+        if len(self) > MEMO_ENTRIES:
+            self.clear()
+        return b"".join(map(self.__getitem__, self.chunks(text)))
 
 
 _CHUNKS: dict[str, ChunkIds] = {}
@@ -128,12 +130,12 @@ def pieces(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
         if path not in _CHUNKS:
             _CHUNKS[path] = ChunkIds(path)
         memo = _CHUNKS[path]
+        memo.forget()
         for batch in batches:
             for part in slices(batch, 1):
                 rows = []
-                bodies = memo.ids([t or "" for t in part.column(1).to_pylist()])
-                for doc, body in zip(part.column(0).to_pylist(), bodies):
-                    body += closing
+                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    body = memo.ids(text or "") + closing
                     for piece, at in enumerate(range(0, len(body), 4 * capacity)):
                         ids = body[at : at + 4 * capacity]
                         rows.append((doc, piece, at // 4, len(ids) // 4, zlib.crc32(ids)))
@@ -143,6 +145,7 @@ def pieces(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
                     [pa.array(c, t) for c, t in zip(columns, types)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        memo.forget()
 
     source = docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`"))
     return source.mapInArrow(run, PIECES)

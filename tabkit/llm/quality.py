@@ -32,7 +32,7 @@ NEIGHBOURS = 15
 # Similarities count by this power, so that near ones outweigh the rest.
 SHARPNESS = 8
 # Tokens a worker remembers before it starts afresh.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 250_000
 
 
 def shape(token: str) -> str:
