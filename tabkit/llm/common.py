@@ -23,6 +23,9 @@ ORACLES: dict[str, str] = {}
 # Text handed to an operator's Python code at once, unless one row alone is longer.
 SLICE_BYTES = 4 << 20
 SLICE_ROWS = 2048
+# Rows of a batch between Spark and Python, unless the session says otherwise: with long
+# texts Spark's own 10,000 fill much memory on both sides.
+BATCH_KEY, BATCH_ROWS, BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000", "10000"
 
 
 def query(name: str, sql: str | None = None):
@@ -38,7 +41,9 @@ def query(name: str, sql: str | None = None):
 
 
 def reach_package(spark: SparkSession) -> None:
-    """Let Python workers import this package also where it is not installed."""
+    """Let Python workers import this package also where it is not installed; keep batches small."""
+    if spark.conf.get(BATCH_KEY, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
