@@ -37,6 +37,7 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This file is subject to the terms of the Mozilla Public License, version 2.0.",
     "Proprietary": "All rights reserved. No part may be reproduced without written permission.",
+    "Rights-Reserved": "All rights reserved.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 # What stands between words, and what ends a line.

@@ -179,3 +179,28 @@ def test_licences_of_awkward_rows(spark):
     for i in (1, 2, 3, 8, 9):
         assert got[i] == (0, None, None)
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+# The five notices of the documents table, written out: templates must know them without help.
+PLANTED = {
+    "All rights reserved.": "Rights-Reserved",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "Released under the MIT License.": "MIT",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+}
+
+
+def test_planted_notices_are_found(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: (r["n_lines"], r["license"]) for r in licenses.scan(docs).collect()}
+    seen = 0
+    for row in docs.collect():
+        named = [PLANTED[x] for x in (row["text"] or "").split("\n") if x in PLANTED]
+        if named:
+            seen += len(named)
+            assert got[row["doc_id"]][0] >= len(named) and got[row["doc_id"]][1] in named
+    assert seen > 0
+    rows = [(i, f"Some words of a longer story.\n{notice}\nand more of them, told at length.", "en") for i, notice in enumerate(PLANTED)]
+    got = {r["doc_id"]: (r["n_lines"], r["license"], r["dice"]) for r in licenses.scan(documents(spark, rows)).collect()}
+    assert got == {i: (1, name, 1.0) for i, name in enumerate(PLANTED.values())}
