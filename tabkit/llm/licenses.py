@@ -1,16 +1,24 @@
-"""Licence scan: lines of a text against licence templates by Dice over word bigrams.
+"""Licence scan: word windows of a text against licence templates by Dice over word bigrams.
 
-Every line, and the text as a whole, is normalised to lower-case words and compared
-with the templates: twice the shared bigrams over the bigrams of both.  A template is passed over if the two numbers of bigrams alone keep the coefficient below
-the threshold, and a line outside the bounds of all templates is not looked at at all.
-It all happens within a row, by DataFrame functions: nothing is shuffled.
+The whole text is normalised to lower-case words, and every window of it is compared with
+the templates: twice the shared bigrams over the bigrams of both.  A bigram that a template
+holds k times is shared k times at most.  Line ends do not matter: a notice may stand inside
+a line or be wrapped over several.
 
-Null and empty texts, and texts without words, have no match.  Of equally good templates
-the first by name is taken.
+Only windows that start and end with a shared bigram are looked at, as trimming others off
+raises the coefficient, and only where so many of a template's bigrams stand within the
+greatest admitted size that the threshold can be reached.  Of overlapping windows the best
+is kept: by coefficient, then the longer one, then by name.  It all happens within a row,
+by DataFrame functions: nothing is shuffled.
+
+Null and empty texts, and texts without words, have no match.  Of equally good notices
+the first by name gives the text its licence.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,17 +48,63 @@ TEMPLATES = {
     "Rights-Reserved": "All rights reserved.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+# Licence texts and headers of many sentences (fixed values), in their public wording.
+FULL_TEXTS = [
+    (
+        "Apache-2.0",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
+        in compliance with the License. You may obtain a copy of the License at
+        http://www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under the License is
+        distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+        See the License for the specific language governing permissions and limitations under the License.""",
+    ),
+    (
+        "GPL-3.0",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation, either version 3 of the License, or
+        (at your option) any later version.
+        This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License
+        for more details.""",
+    ),
+    (
+        "ISC",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+        hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+        INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+        ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE,
+        DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+        CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    ),
+    (
+        "MIT",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+        associated documentation files (the "Software"), to deal in the Software without restriction, including
+        without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+        copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+        following conditions:
+        The above copyright notice and this permission notice shall be included in all copies or substantial
+        portions of the Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+        LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO
+        EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN
+        AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE
+        OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+]
 # What stands between words, and what ends a line.
 BETWEEN = r"[^\p{L}\p{N}]+"
 LINE_END = "\n"
 
 
 def bigrams_of(text: str) -> list[str]:
-    """The bigrams of a template; repeated ones are refused, so that counting shared ones is enough."""
+    """The bigrams of a template in their order, repeated ones as often as they stand there."""
     words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
     pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
-    if not pairs or len(set(pairs)) < len(pairs):
-        raise ValueError(f"a template needs two words and no bigram twice: {text!r}")
+    if not pairs:
+        raise ValueError(f"a template needs two words: {text!r}")
     return pairs
 
 
@@ -76,63 +130,171 @@ def bigrams(words: Column) -> Column:
     )
 
 
-def prepared(templates: dict[str, str], threshold: float) -> tuple[Column, int, int]:
-    """The templates with their size bounds as one literal, and the bounds of them all."""
-    rows, lows, highs = [], [], []
-    for name, body in sorted(templates.items()):
-        pairs = bigrams_of(body)
-        low, high = bounds(len(pairs), threshold)
-        lows.append(low)
-        highs.append(high)
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where a lambda reads it often."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def prepared(templates: list[tuple[str, str]], threshold: float) -> tuple[Column, list[str]]:
+    """The templates with their size bounds as one literal, and all their bigrams."""
+    rows, known = [], set()
+    for name, body in templates:
+        counts = Counter(bigrams_of(body))
+        low, high = bounds(counts.total(), threshold)
+        known.update(counts)
         rows.append(
             F.struct(
-                F.lit(name).alias("license"), F.lit(low).alias("low"), F.lit(high).alias("high"),
-                F.array(*map(F.lit, pairs)).alias("pairs"),
+                F.lit(name).alias("license"), F.lit(counts.total()).alias("n"),
+                F.lit(low).alias("low"), F.lit(high).alias("high"),
+                F.array(*map(F.lit, counts)).alias("pairs"), F.array(*map(F.lit, counts.values())).alias("counts"),
             )
         )
-    return F.array(*rows), min(lows), max(highs)
+    return F.array(*rows), sorted(known)
+
+
+def known_places(words: Column, known: list[str]) -> Column:
+    """Where in the words a bigram of any template starts, with the bigram."""
+    firsts = sorted({pair.split(" ")[0] for pair in known})
+
+    def pair(i):
+        return F.concat_ws(" ", F.get(words, i), F.get(words, i + 1))
+
+    places = F.filter(
+        F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.get(words, i).isin(firsts) & pair(i).isin(known)
+    )
+    none = F.array().cast("array<struct<pair:string,at:int>>")
+    return F.when(
+        F.size(words) >= 2, F.transform(places, lambda i: F.struct(pair(i).alias("pair"), i.alias("at")))
+    ).otherwise(none)
+
+
+HIT = "array<struct<less:double,fewer:int,license:string,first:int,last:int>>"
+
+
+def windows(places: Column, t: Column, threshold: float) -> Column:
+    """The best window from every start that reaches the threshold for one template."""
+    mine = F.filter(
+        F.transform(
+            places,
+            lambda p: F.struct(
+                p["pair"].alias("pair"), p["at"].alias("at"), F.array_position(t["pairs"], p["pair"]).cast("int").alias("k")
+            ),
+        ),
+        lambda p: p["k"] > 0,
+    )
+
+    def linked(found: Column) -> Column:
+        """Places with that of the same bigram as many occurrences before as the template has of it."""
+
+        def before(i: Column) -> Column:
+            return let(
+                F.struct(F.get(found, i).alias("here"), F.get(found, i - F.get(t["counts"], F.get(found, i)["k"] - 1)).alias("then")),
+                lambda x: F.struct(
+                    x["here"]["at"].alias("at"),
+                    F.when(x["then"]["pair"] == x["here"]["pair"], x["then"]["at"]).otherwise(-1).alias("before"),
+                ),
+            )
+
+        return F.sort_array(F.transform(F.sequence(F.lit(0), F.size(found) - 1), before))
+
+    def best(row: Column, a: Column) -> Column:
+        start = F.get(row, a)["at"]
+        zero = F.struct(F.lit(0).alias("shared"), F.lit(0.0).alias("dice"), F.lit(-1).alias("last"))
+
+        def step(told: Column, x: Column) -> Column:
+            shared = told["shared"] + F.when(x["before"] < start, 1).otherwise(0)
+            size = x["at"] - start + 1
+            dice = 2.0 * shared / (size + t["n"])
+            better = (size <= t["high"]) & (dice > told["dice"])
+            return F.struct(
+                shared.alias("shared"),
+                F.when(better, dice).otherwise(told["dice"]).alias("dice"),
+                F.when(better, x["at"]).otherwise(told["last"]).alias("last"),
+            )
+
+        top = F.aggregate(F.slice(row, a + 1, t["high"]), zero, step)
+        return let(
+            top,
+            lambda x: F.struct(
+                (-x["dice"]).alias("less"), (start - x["last"]).alias("fewer"), t["license"].alias("license"),
+                start.alias("first"), x["last"].alias("last"),
+            ),
+        )
+
+    def starts(row: Column) -> Column:
+        # a window needs as many places of the template as its least size has
+        dense = F.filter(
+            F.sequence(F.lit(0), F.size(row) - t["low"]),
+            lambda a: F.get(row, a + t["low"] - 1)["at"] - F.get(row, a)["at"] < t["high"],
+        )
+        return F.filter(F.transform(dense, lambda a: best(row, a)), lambda h: h["less"] <= -threshold + 1e-9)
+
+    none = F.array().cast(HIT)
+    return let(
+        F.when(F.size(places) >= t["low"], F.sort_array(mine)),
+        lambda found: F.when(F.size(found) >= t["low"], let(linked(found), starts)).otherwise(none),
+    )
+
+
+def notices(hits: Column) -> Column:
+    """Of windows that share a word the best; the others stay."""
+
+    def add(kept: Column, h: Column) -> Column:
+        taken = F.exists(kept, lambda k: (h["first"] <= k["last"] + 1) & (k["first"] <= h["last"] + 1))
+        return F.when(taken, kept).otherwise(F.concat(kept, F.array(h)))
+
+    return F.aggregate(F.array_sort(hits), F.array().cast(HIT), add)
+
+
+def matching_lines(body: Column, known: Column, most: int, threshold: float) -> Column:
+    """Lines that match by themselves, and the whole as one more where it is short; 0 for long texts."""
+    lines = F.transform(F.split(body, LINE_END), words_of)
+
+    def reached(line: Column) -> Column:
+        return let(
+            bigrams(line),
+            lambda pairs: F.exists(
+                known,
+                lambda t: 2.0 * F.size(F.array_intersect(pairs, t["pairs"])) / (F.size(pairs) + t["n"]) >= threshold - 1e-9,
+            ),
+        )
+
+    def count(rows: Column) -> Column:
+        whole = F.when(F.size(rows) > 1, F.array(F.flatten(rows))).otherwise(F.array().cast("array<array<string>>"))
+        return F.size(F.filter(F.concat(rows, whole), lambda w: F.when(F.size(w) >= 2, reached(w)).otherwise(False)))
+
+    return let(lines, lambda rows: F.when(F.size(F.flatten(rows)) <= most + 1, count(rows)).otherwise(0))
 
 
 def scan(
     docs: DataFrame,
     text: str = "text",
     key: str = "doc_id",
-    templates: dict[str, str] | None = None,
+    templates: dict[str, str] | list[tuple[str, str]] | None = None,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """``doc_id``, ``n_lines`` that match, and the best ``license`` with its ``dice``."""
-    known, least, most = prepared(templates or TEMPLATES, threshold)
+    """``doc_id``, ``n_lines`` notices found, and the best ``license`` with its ``dice``.
+
+    Templates may be of any length, and several may have one name.  A short text of several
+    lines that reaches the threshold as a whole, too, counts once more beside its lines.
+    """
+    if templates is None:
+        templates = [*sorted(TEMPLATES.items()), *FULL_TEXTS]
+    elif isinstance(templates, dict):
+        templates = sorted(templates.items())
+    compared, known = prepared(templates, threshold)
+    most = max(bounds(len(bigrams_of(body)), threshold)[1] for _, body in templates)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    rows = docs.select(
-        F.col(f"`{key}`").alias("doc_id"), F.transform(F.split(body, LINE_END), words_of).alias("lines")
-    )
-    # several lines may be one notice: a text that is short enough counts as a line, too
-    n_words = F.aggregate("lines", F.lit(0), lambda n, line: n + F.size(line))
-    none = F.array().cast("array<array<string>>")
-    whole = F.when((F.size("lines") > 1) & (n_words <= most + 1), F.array(F.flatten("lines"))).otherwise(none)
-    in_bounds = F.filter(
-        F.concat("lines", whole), lambda line: F.size(line).between(least + 1, most + 1)
+    found = let(
+        let(words_of(body), lambda words: known_places(words, known)),
+        lambda places: notices(F.flatten(F.transform(compared, lambda t: windows(places, t, threshold)))),
     )
-    rows = rows.select("doc_id", F.transform(in_bounds, bigrams).alias("candidates"))
-
-    def best(pairs: Column) -> Column:
-        n = F.size(pairs)
-        fitting = F.filter(known, lambda t: n.between(t["low"], t["high"]))
-        compared = F.transform(
-            fitting,
-            lambda t: F.struct(
-                (-2.0 * F.size(F.array_intersect(pairs, t["pairs"])) / (n + F.size(t["pairs"]))).alias("less"),
-                t["license"].alias("license"),
-            ),
-        )
-        return F.array_min(compared)
-
-    found = F.filter(F.transform("candidates", best), lambda m: m["less"] <= -threshold + 1e-9)
-    rows = rows.select("doc_id", found.alias("found"))
-    top = F.array_min("found")
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), body.alias("body"), found.alias("found"))
+    top = F.array_min(F.transform("found", lambda h: F.struct(h["less"].alias("less"), h["license"].alias("license"))))
+    by_line = F.when(F.size("found") > 0, matching_lines(F.col("body"), compared, most, threshold)).otherwise(0)
     return rows.select(
         "doc_id",
-        F.size("found").cast("long").alias("n_lines"),
+        F.greatest(F.size("found"), by_line).cast("long").alias("n_lines"),
         top["license"].alias("license"),
         F.round(-top["less"], 6).alias("dice"),
     )

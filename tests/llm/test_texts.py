@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -204,3 +205,50 @@ def test_planted_notices_are_found(spark, folder):
     rows = [(i, f"Some words of a longer story.\n{notice}\nand more of them, told at length.", "en") for i, notice in enumerate(PLANTED)]
     got = {r["doc_id"]: (r["n_lines"], r["license"], r["dice"]) for r in licenses.scan(documents(spark, rows)).collect()}
     assert got == {i: (1, name, 1.0) for i, name in enumerate(PLANTED.values())}
+
+
+def test_notices_inside_lines_and_wrapped(spark):
+    prose = "the river and the house under bright morning light with people of the town "
+    mit = dict(licenses.FULL_TEXTS)["MIT"]
+    cut = mit.replace("free of charge, ", "").replace("subject to the", "under the")
+    rows = [
+        (1, prose * 20 + "Released under the MIT License. " + prose * 20, "en"),
+        (2, prose * 20 + "\nThis work is licensed under the\nGNU General Public License,\nversion 3.\n" + prose * 20, "en"),
+        (3, f"{prose}\nCopyright 2020 Somebody.\n{mit}\n{prose}", "en"),
+        (4, prose + cut.replace("\n", " ") + prose, "en"),
+        (5, prose + "All rights reserved. " + prose + "Licensed under CC BY 4.0. " + prose, "en"),
+        (6, "All rights reserved.\n" * 3 + prose * 3, "en"),
+        (7, prose * 30, "en"),
+    ]
+    got = {r["doc_id"]: (r["n_lines"], r["license"], r["dice"]) for r in licenses.scan(documents(spark, rows)).collect()}
+    assert got[1] == (1, "MIT", 1.0) and got[2] == (1, "GPL-3.0", 1.0) and got[3] == (1, "MIT", 1.0)
+    assert got[4][:2] == (1, "MIT") and 0.9 < got[4][2] < 1
+    assert got[5] == (2, "CC-BY-4.0", 1.0) and got[6] == (3, "Rights-Reserved", 1.0) and got[7] == (0, None, None)
+
+
+def test_windows_equal_brute_force(spark):
+    draw = random.Random(5)
+    templates = {"A": "a b c d e", "B": "b a b a c b a", "C": "e d c"}
+    texts = ["".join(draw.choice("abcdex") + " " for _ in range(draw.randint(0, 30))) for _ in range(150)]
+    got = {r["doc_id"]: r for r in licenses.scan(documents(spark, [(i, t, "en") for i, t in enumerate(texts)]), templates=templates).collect()}
+
+    def pairs(words):
+        return list(zip(words, words[1:]))
+
+    for i, text in enumerate(texts):
+        words, hits = text.split(), []
+        for name, body in templates.items():
+            want = Counter(pairs(body.split()))
+            for a in range(len(words)):
+                for b in range(a + 2, len(words) + 1):
+                    have = pairs(words[a:b])
+                    dice = 2 * (Counter(have) & want).total() / (len(have) + want.total())
+                    if dice >= 0.8 - 1e-9:
+                        hits.append((-dice, a - b, name, a, b))
+        kept = []
+        for h in sorted(hits):
+            if all(h[4] <= k[3] or k[4] <= h[3] for k in kept):
+                kept.append(h)
+        top = min(((h[0], h[2]) for h in kept), default=None)
+        assert got[i]["n_lines"] == len(kept), text
+        assert (got[i]["license"], got[i]["dice"]) == ((top[1], round(-top[0], 6)) if top else (None, None))
