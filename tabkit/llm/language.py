@@ -9,6 +9,9 @@ The model is learned from a sample of ``sample_docs`` labelled documents a langu
 of them where there are fewer), drawn by a hash of the id, and holds at most ``words``
 words and ``grams`` n-grams a language; prediction covers every word of every document.
 
+An item a language lacks counts with one floor common to all languages, and languages
+without a word in their sample are left out: a rare label draws no foreign documents.
+
 Null text, or text without a letter, gives ``und`` with score 0, and so does every row
 when nothing could be learned.  Text of unknown characters only gets the most frequent
 language.  Of equally good languages the first by name is taken.
@@ -135,14 +138,21 @@ def train(
         gram_rows = _top(pieces, grams).select("lang", "item", "size", "n").collect()
     finally:
         counted.unpersist()
-    languages = sorted(sizes)
+    # one without a word in its sample has no frequencies to compare
+    languages = sorted(x for x in sizes if totals.get(x))
+    if not languages:
+        return Model([], np.zeros(0), {}, {})
     place = {lang: i for i, lang in enumerate(languages)}
     prior = np.array([sizes[x] for x in languages], float)
 
     def table_of(rows, total):
-        """Log of the relative frequency; a language without the item gets half a count."""
+        """Log of the relative frequency; languages without the item get half a count of the largest.
+
+        The floor is one for all and below every frequency: with one of its own, a language
+        of few labelled words would find the words of all others more likely than they do.
+        """
         found: dict[str, np.ndarray] = {}
-        floor = np.log([0.5 / max(total(x), 1) for x in languages])
+        floor = np.full(len(languages), np.log(0.5 / max(1, *map(total, languages))))
         for lang, item, n in rows:
             if item not in found:
                 found[item] = floor.copy()

@@ -54,6 +54,19 @@ def test_language_of_awkward_rows(spark, bilingual):
     assert language.predict(bilingual.limit(0), model).count() == 0
 
 
+def test_language_with_one_short_document_draws_no_others(spark, bilingual):
+    es = "el río y la casa bajo la luz de la mañana con gente del pueblo"
+    rare = bilingual.unionByName(documents(spark, [(9001, es, "es"), (9002, "1234 !!", "xx")]))
+    model = language.train(rare)
+    assert model.languages == ["de", "en", "es"] and abs(model.prior.sum() - 1) < 1e-9
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(rare, model).collect()}
+    rows = bilingual.collect()
+    assert np.mean([got[r["doc_id"]] == r["lang"] for r in rows]) > 0.97
+    assert got[9001] == "es" and got[9002] == "und"
+    none = language.train(documents(spark, [(1, "1234 !!", "xx"), (2, "", "yy")]))
+    assert none.languages == [] and not none.words
+
+
 def test_language_query_holds_out(spark, folder):
     rows = language.op1_language_id(spark, folder).collect()
     docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
