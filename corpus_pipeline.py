@@ -4,8 +4,8 @@ Each stage works on everything its predecessor kept, is written as Parquet in th
 folder and read again by the next.  All but the last return the columns of documents.
 
 Rows that a stage rejects: those whose language cannot be told, those predicted to be of
-low quality, and all but the row of the smallest id in each group of near duplicates.
-Documents without words or id are in no group.  Where nothing could be learned (no
+low quality, and all but one row in each group of near duplicates: the row of the smallest
+id, rows that repeat an id or have none included.  Rows without words are in no group.  Where nothing could be learned (no
 labelled rows) a stage keeps every row.
 """
 
@@ -45,12 +45,29 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by the shingle join: the one of smallest id."""
-    found = jaccard.jaccard_components(docs)
-    gone = materialize(found.filter("component_id < doc_id").select("doc_id").distinct(), "gone")
+    """One row of each group linked by the shingle join: that of smallest id, rows without id last.
+
+    Rows are numbered in a written copy, so rows that share an id, or have none, are told apart.
+    """
+    row, group, best = f"{MARK}row", f"{MARK}group", f"{MARK}best"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = jaccard.jaccard_components(numbered, key=row).filter("component_id IS NOT NULL")
+    members = materialize(
+        found.select(F.col("doc_id").alias(row), F.col("component_id").alias(group))
+        .join(numbered.select(row, "doc_id"), row)
+        .select(row, group, "doc_id"),
+        "members",
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    groups = members.groupBy(group).agg(F.min(order)["row"].alias(best), F.count("*").alias("many"))
+    groups = materialize(groups.filter("many > 1").drop("many"), "groups")
+    # a large group is one key: joined without a shuffle where there are few groups
+    if groups.count() <= jaccard.BROADCAST_IDS:
+        groups = F.broadcast(groups)
+    gone = materialize(members.join(groups, group).filter(F.col(row) != F.col(best)).select(row), "gone")
     if gone.count() <= jaccard.BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, "doc_id", "left_anti")
+    return numbered.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from helpers import awkward
+from helpers import awkward, documents
 from tabkit.llm import jaccard, language, main_text, packing, quality
 from tabkit.llm.dom import Page
 
@@ -128,3 +128,14 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, folder):
     kept = corpus_pipeline.STAGES[2][1](spark, docs, folder)
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == sorted([0, 0, *range(1, 11), 11, 11])
     assert jaccard.SIMILARITY == 80 and jaccard.WORDS == 5
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(spark, folder):
+    a, b, c = (f"{x} words of a text that is long enough to be compared with others {x}" for x in ("some", "other", "third"))
+    rows = [(7, a, "en")] * 5 + [(9, a, "en"), (None, a, "en"), (None, b, "en"), (None, b, "en"), (5, c, "en"), (5, "not like it", "en")]
+    rows += [(None, None, "en"), (None, "", "en"), (3, "", "en"), (3, "", "en")]
+    docs = documents(spark, rows)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, folder)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()))
+    assert got == sorted([(7, a), (0, b), (5, c), (5, "not like it"), (0, ""), (0, ""), (3, ""), (3, "")])
