@@ -126,7 +126,7 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, folder):
         assert out.columns == docs.columns, name
         assert stage(spark, docs.limit(0), folder).count() == 0
     kept = corpus_pipeline.STAGES[2][1](spark, docs, folder)
-    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == sorted([0, 0, *range(1, 11), 11, 11])
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, *range(1, 12)]  # one row of 11, 11 and 12
     assert jaccard.SIMILARITY == 80 and jaccard.WORDS == 5
 
 
