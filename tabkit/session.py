@@ -109,6 +109,15 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return df
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is on a shared path but not installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def spread(df: DataFrame, keys: Sequence[str], parts: int | None) -> DataFrame:
     """Rows dealt into ``parts`` partitions by a hash of their key, if a number is given.
 
