@@ -1,88 +1,43 @@
-"""Order-dependent rules over an ordered array, as native folds.
+"""Order-dependent rules over the epochs of a run, one step at a time.
 
-Each takes an array of structs ``(epoch, value)`` sorted by epoch and folds it
-with ``aggregate``: one row per run, bounded by the number of epochs.
+The same rules end a training while it runs and are read off a finished history.  A missing
+value is no gain; a best value is only replaced by one that is better by the gain asked for,
+so neither is a running extreme.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+class Patience:
+    """Stop rule: so many steps in a row without a gain; remembers the best step."""
 
-def early_stop(
-    steps: Column, patience: int, min_delta: float = 0.0, maximize: bool = True
-) -> Column:
-    """Stop after ``patience`` steps without a gain above ``min_delta``.
+    def __init__(self, patience: int, gain: float = 0.0, maximize: bool = True):
+        self.patience, self.gain, self.sign = patience, float(gain), 1.0 if maximize else -1.0
+        self.best: float | None = None
+        self.best_step: int | None = None
+        self.last_step: int | None = None
+        self.waited = 0
 
-    Returns ``stop_epoch`` (last epoch seen), ``best_epoch`` and ``best_value``.
-    The best value moves only on a sufficient gain, so this is not a running
-    maximum.
-    """
-    sign = 1.0 if maximize else -1.0
-    start = F.struct(
-        F.lit(None).cast("double").alias("best"),
-        F.lit(None).cast("long").alias("best_epoch"),
-        F.lit(None).cast("long").alias("stop_epoch"),
-        F.lit(0).alias("wait"),
-    )
+    def goes_on(self, step: int, value: float | None) -> bool:
+        """Take note of a step's value; False when it is time to stop."""
+        self.last_step = step
+        better = value is not None and self.best is not None and value * self.sign > self.best * self.sign + self.gain
+        if self.best is None or better:
+            self.best, self.best_step, self.waited = value, step, 0
+        else:
+            self.waited += 1
+        return self.waited < self.patience
 
-    def step(state: Column, item: Column) -> Column:
-        gain = state["best"].isNull() | (
-            item["value"] * sign > state["best"] * sign + F.lit(float(min_delta))
-        )
-        moved = F.struct(
-            F.when(gain, item["value"]).otherwise(state["best"]).alias("best"),
-            F.when(gain, item["epoch"]).otherwise(state["best_epoch"]).alias("best_epoch"),
-            item["epoch"].alias("stop_epoch"),
-            F.when(gain, F.lit(0)).otherwise(state["wait"] + 1).alias("wait"),
-        )
-        return F.when(state["wait"] >= patience, state).otherwise(moved)
 
-    return F.aggregate(
-        steps,
-        start,
-        step,
-        lambda s: F.struct(
-            s["stop_epoch"].alias("stop_epoch"),
-            s["best_epoch"].alias("best_epoch"),
-            s["best"].alias("best_value"),
-        ),
-    )
+class Plateau:
+    """Learning rate that is cut when a minimised value stops falling, down to a floor."""
 
+    def __init__(self, rate: float, factor: float = 0.5, patience: int = 5, floor: float = 1e-6, gain: float = 1e-4):
+        self.rate, self.factor, self.floor, self.patience = rate, factor, floor, patience
+        self.watch = Patience(patience, gain, maximize=False)
 
-def lr_plateau(
-    steps: Column,
-    initial: float,
-    factor: float = 0.5,
-    patience: int = 5,
-    floor: float = 1e-6,
-    min_delta: float = 1e-4,
-) -> Column:
-    """Learning rate used in each epoch: cut on a plateau of a minimised value.
-
-    The cut made after an epoch shows from the next one on.
-    """
-    row = "struct<epoch:bigint,lr:double>"
-    start = F.struct(
-        F.lit(None).cast("double").alias("best"),
-        F.lit(0).alias("wait"),
-        F.lit(float(initial)).alias("lr"),
-        F.array().cast(f"array<{row}>").alias("out"),
-    )
-
-    def step(state: Column, item: Column) -> Column:
-        gain = state["best"].isNull() | (item["value"] < state["best"] - F.lit(float(min_delta)))
-        wait = F.when(gain, F.lit(0)).otherwise(state["wait"] + 1)
-        cut = (wait >= patience) & (state["lr"] > floor)
-        used = F.struct(item["epoch"].cast("long").alias("epoch"), state["lr"].alias("lr"))
-        return F.struct(
-            F.when(gain, item["value"]).otherwise(state["best"]).alias("best"),
-            F.when(cut, F.lit(0)).otherwise(wait).alias("wait"),
-            F.when(cut, F.greatest(state["lr"] * factor, F.lit(float(floor))))
-            .otherwise(state["lr"])
-            .alias("lr"),
-            F.concat(state["out"], F.array(used)).alias("out"),
-        )
-
-    return F.aggregate(steps, start, step, lambda s: s["out"])
+    def step(self, step: int, value: float | None) -> float:
+        """The rate behind this step."""
+        if not self.watch.goes_on(step, value) and self.rate > self.floor:
+            self.rate, self.watch.waited = max(self.rate * self.factor, self.floor), 0
+        return self.rate

@@ -31,7 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.functions.hashing import hex_cut, key_hash
+from tabkit.functions.folds import Patience
+from tabkit.functions.hashing import hex_cut
 from tabkit.session import materialize, reach_workers, spread
 
 # Bins of a column: as many as fit one byte, and as many as suffice for most columns.
@@ -46,22 +47,6 @@ CUT_EVERY = 10
 DRAWS = 12
 
 
-class Patience:
-    """Stop rule: so many steps in a row without a gain; remembers the best step."""
-
-    def __init__(self, patience: int, gain: float = GAIN):
-        self.patience, self.gain = patience, gain
-        self.best, self.best_step, self.waited = float("-inf"), 0, 0
-
-    def goes_on(self, step: int, value: float) -> bool:
-        """Take note of a step's value (larger is better); False when it is time to stop."""
-        if value > self.best + self.gain:
-            self.best, self.best_step, self.waited = value, step, 0
-        else:
-            self.waited += 1
-        return self.waited < self.patience
-
-
 @dataclass(frozen=True)
 class Bins:
     """Columns and their cuts: bin b of a column holds values up to ``edges[b]``."""
@@ -499,7 +484,7 @@ def forests(
     # the draws are looked at in every level: they are written, not drawn again
     rows = materialize(rows, "bag").persist(StorageLevel.MEMORY_AND_DISK)
     grown: dict[int, list[Tree]] = {s: [] for s in range(len(slots))}
-    rules = {s: Patience(patience) for s in range(len(slots))}
+    rules = {s: Patience(patience, GAIN) for s in range(len(slots))}
     alive, records, size = list(range(len(slots))), [], 0
     try:
         while alive and size < most:
@@ -587,7 +572,7 @@ def boosted(
     rows = _of_any(table, used).select(*names, "_y", *used, *[F.lit(0.0).alias(c) for c in sums])
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     models: list[list[Tree]] = [[] for _ in ids]
-    rules = {s: Patience(patience) for s in ids}
+    rules = {s: Patience(patience, GAIN) for s in ids}
     recent: dict[int, list[tuple[float, tuple]]] = {s: [] for s in ids}
     alive, records, spreads = list(ids), [], {}
 
@@ -683,7 +668,3 @@ def predictions(table: DataFrame, model_of: Mapping[int, Sequence[Ensemble]], pa
             )
 
     return table.select(*keep, part, *names).mapInArrow(run, out)
-
-
-def row_hash(keys: Sequence[str]) -> Column:
-    return key_hash(keys)

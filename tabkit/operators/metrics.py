@@ -146,16 +146,22 @@ def classification_report(df: DataFrame, actual: str, predicted: str, digits: in
     def weighted(c: str) -> Column:
         return ratio(F.sum(F.col(c) * F.col("support")), total)
 
-    hit_rate = ratio(F.sum("hits"), total)
-    # One row per class is left here, so the classes fit one array: the report
-    # needs no second look at the data for its averages.
-    lines = F.collect_list(F.struct("label", *scores, "support"))
+    # the averages are one more group of the classes' rows: nothing is gathered
+    every = per_class.groupingSets([["label"], []], "label").agg(
+        F.grouping("label").alias("_all"),
+        *[F.avg(c).alias(c) for c in scores],
+        *[weighted(c).alias(f"_{c}") for c in scores],
+        ratio(F.sum("hits"), total).alias("_hits"),
+        total.alias("support"),
+    )
+    support = F.col("support")
     averages = F.array(
-        _report_row("accuracy", [hit_rate] * 3, total),
-        _report_row("macro avg", [F.avg(c) for c in scores], total),
-        _report_row("weighted avg", [weighted(c) for c in scores], total),
+        _report_row("accuracy", [F.col("_hits")] * 3, support),
+        _report_row("macro avg", [F.col(c) for c in scores], support),
+        _report_row("weighted avg", [F.col(f"_{c}") for c in scores], support),
     )
-    report = per_class.agg(F.concat(lines, averages).alias("rows")).select(F.inline("rows"))
+    own = F.array(F.struct("label", *scores, "support"))
+    report = every.select(F.inline(F.when(F.col("_all") == 1, averages).otherwise(own)))
     return report.withColumns({c: F.round(c, digits) for c in scores})
 
 

@@ -2,30 +2,21 @@
 
 from __future__ import annotations
 
-import time
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressionModel,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.functions.numeric import relative_change_pct
-from tabkit.operators import features, metrics
-from tabkit.operators.splits import random_split, with_fold
-from tabkit.session import materialize, small_side, spread
+from tabkit.operators import families, histograms, metrics, softmax
+from tabkit.operators.splits import with_fold
+from tabkit.session import spread
 from tabkit.sources import writers
 from tabkit.sources.readers import from_records
 
@@ -33,15 +24,6 @@ from tabkit.sources.readers import from_records
 TREE_DEPTH = 5
 TREE_MIN_LEAF = 10
 TREE_MIN_GAIN = 0.001
-FOREST_STEP = 10
-FOREST_MAX = 400
-FOREST_PATIENCE = 5
-FOREST_DEPTH = 10
-BOOST_ROUNDS = 500
-BOOST_RATE = 0.1
-BOOST_DEPTH = 4
-BOOST_PATIENCE = 15
-GAIN = 1e-4
 
 
 def linear_fit(df: DataFrame, columns: Sequence[str], target: str):
@@ -68,52 +50,6 @@ def coefficients(df: DataFrame, columns: Sequence[str], target: str, digits: int
     return from_records(df.sparkSession, ranked, "feature string, coefficient double")
 
 
-def compare_feature_sets(
-    df: DataFrame,
-    sets: dict[str, Sequence[str]],
-    category: str | None,
-    target: str,
-    keys: Sequence[str],
-    parts: int | None = None,
-) -> DataFrame:
-    """feature_set, n_features, r2, seconds, and the loss against the first set.
-
-    Every set is fitted on the same training rows and scored on the same test
-    rows, so only the features differ.
-    """
-    used = sorted({c for names in sets.values() for c in names})
-    narrow = df.select(
-        *keys, *used, *([category] if category else []), F.col(target).alias("label")
-    )
-    split = random_split(spread(narrow, keys, parts), keys, {"train": 0.8, "test": 0.2}, "fs").persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
-        train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
-        split.count()  # filled before the clock starts: the first set pays no extra scan
-        evaluator = RegressionEvaluator(labelCol="label", metricName="r2")
-        records = []
-        for name, columns in sets.items():
-            start = time.perf_counter()
-            model = LinearRegression(featuresCol="features", labelCol="label")
-            fitted = features.feature_pipeline(columns, category, model).fit(train)
-            score = evaluator.evaluate(fitted.transform(test))
-            records.append((name, len(columns), float(score), time.perf_counter() - start))
-    finally:
-        split.unpersist()
-    results = from_records(
-        df.sparkSession, records, "feature_set string, n_features int, r2 double, seconds double"
-    )
-    base = F.lit(records[0][2])
-    base_time = F.lit(records[0][3])
-    return results.withColumns(
-        {
-            "r2_loss_pct": relative_change_pct(base, F.col("r2")),
-            "time_gain_pct": relative_change_pct(base_time, F.col("seconds")),
-        }
-    )
-
-
 def cross_validate(
     df: DataFrame, model, keys: Sequence[str], target: str, k: int = 5, parts: int | None = None
 ) -> DataFrame:
@@ -164,143 +100,6 @@ def decision_tree(df: DataFrame, target: str):
     return tree_learner(target).fit(df)
 
 
-def ensemble(trees: Sequence, weights: Sequence[float]):
-    """A model that adds up weighted trees; MLlib stores, loads and applies it like any other."""
-    spark = SparkSession.active()
-    gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
-    package = jvm.org.apache.spark.ml.regression
-    nodes = gateway.new_array(package.DecisionTreeRegressionModel, len(trees))
-    shares = gateway.new_array(jvm.double, len(trees))
-    for i, (tree, weight) in enumerate(zip(trees, weights)):
-        nodes[i], shares[i] = tree._java_obj, float(weight)
-    uid = f"ensemble_{uuid.uuid4().hex[:12]}"
-    model = GBTRegressionModel(package.GBTRegressionModel(uid, nodes, shares))
-    model._resetUid(uid)
-    return model
-
-
-class Patience:
-    """Stop rule: so many steps in a row without a gain; remembers the best step."""
-
-    def __init__(self, patience: int, gain: float = GAIN):
-        self.patience, self.gain = patience, gain
-        self.best, self.best_step, self.waited = float("-inf"), 0, 0
-
-    def goes_on(self, step: int, value: float) -> bool:
-        """Take note of a step's value (larger is better); False when it is time to stop."""
-        if value > self.best + self.gain:
-            self.best, self.best_step, self.waited = value, step, 0
-        else:
-            self.waited += 1
-        return self.waited < self.patience
-
-
-# Rounds after which the running sums are written, so that no lost executor repeats them all.
-CUT_EVERY = 10
-
-
-class RunningSum:
-    """Rows with the sum of the trees applied so far; each tree is applied once."""
-
-    def __init__(self, rows: DataFrame, target: str, start: Column):
-        self.target, self.steps = target, 0
-        self.rows = rows.withColumn("_sum", start).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def add(self, model, share: float) -> None:
-        before = self.rows
-        scored = model.transform(before).withColumn("_sum", F.col("_sum") + share * F.col("prediction"))
-        scored = scored.select(*before.columns)
-        self.steps += 1
-        if self.steps % CUT_EVERY == 0:
-            scored = materialize(scored, "running_sum")
-        self.rows, self.stale = scored.persist(StorageLevel.MEMORY_AND_DISK), before
-
-    def explained(self, rows: DataFrame, share: float = 1.0) -> float:
-        """R² of the sum on the given rows of this table; the pass also fills its cache."""
-        scored = rows.withColumn("_called", F.col("_sum") * share)
-        r2 = metrics.regression(scored, self.target, "_called", digits=12).first()["r2"]
-        self.stale.unpersist()
-        return r2
-
-    def free(self) -> None:
-        self.rows.unpersist()
-
-
-def growing_forest(
-    train: DataFrame,
-    held_out: DataFrame,
-    target: str,
-    step: int = FOREST_STEP,
-    most: int = FOREST_MAX,
-    patience: int = FOREST_PATIENCE,
-    depth: int = FOREST_DEPTH,
-):
-    """Forest enlarged by ``step`` trees until held-out R² stops gaining.
-
-    Each round fits only the new trees (another seed), and adds only them to the
-    held-out sums.  MLlib has no out-of-bag score, so rows held out by hash take its
-    place.  Returns (forest of the best size, scores by size).
-    """
-    trees, records, rule = [], [], Patience(patience)
-    sums = RunningSum(held_out.select("features", target), target, F.lit(0.0))
-    try:
-        for size in range(step, most + 1, step):
-            block = RandomForestRegressor(
-                featuresCol="features", labelCol=target, numTrees=step, maxDepth=depth, seed=size
-            ).fit(train)
-            trees += block.trees
-            sums.add(block, step)
-            r2 = sums.explained(sums.rows, 1.0 / size)
-            records.append((size, r2))
-            if not rule.goes_on(size, r2):
-                break
-    finally:
-        sums.free()
-    scores = from_records(train.sparkSession, records, "n_trees int, r2 double")
-    best = trees[: rule.best_step]
-    return ensemble(best, [1.0 / len(best)] * len(best)), scores
-
-
-def boosted_trees(
-    train: DataFrame,
-    held_out: DataFrame,
-    target: str,
-    rounds: int = BOOST_ROUNDS,
-    patience: int = BOOST_PATIENCE,
-):
-    """Least-squares boosting that stops by patience and keeps the best rounds.
-
-    Each round fits a tree to what the sum so far leaves over.  The loss is the share of
-    the held-out variance left unexplained, so the gain asked for suits any target.
-    Returns (model of the kept rounds, rounds kept, loss by round).
-    """
-    both = train.select("features", target).withColumn("_held", F.lit(False)).unionByName(
-        held_out.select("features", target).withColumn("_held", F.lit(True))
-    )
-    constant = DecisionTreeRegressor(featuresCol="features", labelCol=target, maxDepth=0).fit(train)
-    trees, losses, rule = [constant], [], Patience(patience)
-    sums = RunningSum(both, target, F.lit(0.0))
-    try:
-        sums.add(constant, 1.0)
-        learner = DecisionTreeRegressor(
-            featuresCol="features", labelCol="_left", maxDepth=BOOST_DEPTH, seed=42
-        )
-        for k in range(1, rounds + 1):
-            left = sums.rows.filter("NOT _held").withColumn("_left", F.col(target) - F.col("_sum"))
-            trees.append(learner.fit(left))
-            sums.add(trees[-1], BOOST_RATE)
-            explained = sums.explained(sums.rows.filter("_held"))
-            losses.append(("boosted", k, 1.0 - explained))
-            if not rule.goes_on(k, explained):
-                break
-    finally:
-        sums.free()
-    history = from_records(train.sparkSession, losses, "run string, epoch long, value double")
-    kept = rule.best_step
-    weights = [1.0] + [BOOST_RATE] * kept
-    return ensemble(trees[: kept + 1], weights), kept, history
-
-
 def splits_of(model) -> list[dict]:
     """Inner nodes of a tree from the root down: place, feature, threshold, and both means."""
     found = []
@@ -324,18 +123,14 @@ def splits_of(model) -> list[dict]:
     return found
 
 
-def tree_summary(name: str, model, columns: Sequence[str]) -> list[tuple]:
+def tree_summary(name: str, model: histograms.Ensemble) -> list[tuple]:
     """(model, measure, value) rows: size and feature importances."""
-    rows = []
-    if hasattr(model, "depth") and not hasattr(model, "trees"):
-        rows.append((name, "depth", float(model.depth)))
-        rows.append((name, "n_leaves", float((model.numNodes + 1) // 2)))
-    if hasattr(model, "trees"):
-        rows.append((name, "n_trees", float(model.getNumTrees)))
-    importances = list(model.featureImportances.toArray())
-    importances += [0.0] * (len(columns) - len(importances))  # columns no tree has used
-    rows += [(name, f"importance:{c}", float(v)) for c, v in zip(columns, importances)]
-    return rows
+    if len(model.trees) == 1:
+        only = model.trees[0]
+        rows = [(name, "depth", float(only.depth())), (name, "n_leaves", float(sum(f < 0 for f in only.feature)))]
+    else:
+        rows = [(name, "n_trees", float(len(model.trees)))]
+    return rows + [(name, f"importance:{c}", v) for c, v in model.importances().items()]
 
 
 def tree_text(model, columns: Sequence[str]) -> str:
@@ -346,28 +141,6 @@ def tree_text(model, columns: Sequence[str]) -> str:
     return text
 
 
-def weighted_logistic(df: DataFrame, vector: str, label: str, max_iter: int = 30):
-    """Multinomial logistic regression with balanced class weights."""
-    weights = small_side(metrics.class_weights(df, label).select(label, "weight"))
-    return LogisticRegression(
-        featuresCol=vector,
-        labelCol=label,
-        weightCol="weight",
-        family="multinomial",
-        maxIter=max_iter,
-        regParam=1e-3,
-    ).fit(df.join(weights, label))
-
-
-def perceptron(
-    df: DataFrame, vector: str, label: str, layers: Sequence[int], max_iter: int = 60
-) -> MultilayerPerceptronClassifier:
-    """Softmax network on a fixed-size vector.  MLlib gives it no row weights."""
-    return MultilayerPerceptronClassifier(
-        featuresCol=vector, labelCol=label, layers=list(layers), maxIter=max_iter, seed=42
-    ).fit(df)
-
-
 def as_vector(df: DataFrame, array: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(array).cast("array<double>")))
 
@@ -385,6 +158,8 @@ def keep_best(fitted: Mapping, results: DataFrame, metric: str, folder: str) ->
     return name, writers.model(fitted[name], folder, name)
 
 
-def load(path: str) -> PipelineModel:
-    """A model stored by ``writers.model``: always a pipeline, if of one stage."""
+def load(path: str) -> PipelineModel | histograms.Ensemble | families.LinearModel | softmax.Softmax:
+    """A model stored by ``writers.model``: an MLlib pipeline (if of one stage), or one kept as tables."""
+    if path.endswith(writers.TABLES):
+        return families.load(SparkSession.active(), path)
     return PipelineModel.load(path)

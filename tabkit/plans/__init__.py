@@ -9,6 +9,8 @@ from tabkit.plans import (  # noqa: F401  (importing registers the queries)
     modelling,
     relational,
     streams,
+    training,
+    trees,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.functions import arrays, text
-from tabkit.operators import closed_form, features, metrics, models, splits
+from tabkit.functions import text
+from tabkit.operators import closed_form, families, features, gram, metrics, models, softmax, splits
 from tabkit.operators import relational as rel
 from tabkit.plans.analysis import CHARGE_SQL, LINE_KEY, charged_lines
 from tabkit.plans.registry import query
-from tabkit.session import spread, work_path
+from tabkit.session import work_path
 from tabkit.sources import writers
 from tabkit.sources.readers import from_records, table
 
@@ -154,79 +152,77 @@ def best_model(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("feature_selection_compare")
-def feature_selection_compare(spark: SparkSession, folder: str) -> DataFrame:
-    """All features against the most correlated ones: R², time, loss and gain."""
-    every = ["l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_partkey", "l_suppkey"]
-    lines = charged_lines(spark, folder, *LINE_KEY, "l_returnflag", *every)
-    top = [r["feature"] for r in features.top_correlated(lines, every, "charge", 3).collect()]
-    return models.compare_feature_sets(
-        lines, {"all": every, "top": top}, "l_returnflag", "charge", LINE_KEY, PARTS
-    )
+KEPT = 4
+# Dummies in SQL: dropping another value of a category spans the same fits.
+DUMMIES_SQL = {"d0": "l_returnflag = 'A'", "d1": "l_returnflag = 'N'", "d2": "l_linestatus = 'F'"}
 
 
-@query("tree_models")
-def tree_models(spark: SparkSession, folder: str) -> DataFrame:
-    """Tree, forest and boosted trees: size, importances and held-out R²."""
-    columns = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
-    lines = splits.random_split(
-        spread(charged_lines(spark, folder, *LINE_KEY, *columns), LINE_KEY, PARTS),
-        LINE_KEY,
-        {"train": 0.7, "held_out": 0.1, "test": 0.2},
-    )
-    data = (
-        features.assemble(lines, columns)
-        .select("features", "charge", "split")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        train = data.filter("split = 'train'")
-        held_out = data.filter("split = 'held_out'")
-        test = data.filter("split = 'test'")
-        tree = models.decision_tree(train, "charge")
-        forest, _ = models.growing_forest(train, held_out, "charge")
-        boosted, _, _ = models.boosted_trees(train, held_out, "charge")
-        rows = []
-        for name, model in (("tree", tree), ("forest", forest), ("boosted", boosted)):
-            rows += models.tree_summary(name, model, columns)
-            scored = model.transform(test)
-            row = metrics.regression(scored, "charge", "prediction").first()
-            rows += [(name, m, float(row[m])) for m in ("r2", "rmse", "mae")]
-    finally:
-        data.unpersist()
-    return from_records(spark, rows, "model string, measure string, value double")
-
-
-@query(
-    "best_model_stored",
-    """SELECT 'linear' AS winner, count(*) AS n_rows, count(*) AS n_equal FROM lineitem""",
-)
-def best_model_stored(spark: SparkSession, folder: str) -> DataFrame:
-    """Families compared by cross-validation; only the winner is stored, read back and scored."""
-    columns = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
-    lines = spread(charged_lines(spark, folder, *LINE_KEY, *columns), LINE_KEY, PARTS)
-    data = features.assemble(lines, columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        families = {
-            "linear": LinearRegression(featuresCol="features", labelCol="charge"),
-            "tree": models.tree_learner("charge"),
-        }
-        records = []
-        for name, learner in families.items():
-            scores = models.cross_validate(data, learner, LINE_KEY, "charge", 5)
-            records.append((name, metrics.across_folds(scores, ["r2"]).first()["r2_mean"]))
-        fitted = {name: learner.fit(data) for name, learner in families.items()}
-    finally:
-        data.unpersist()
-    results = from_records(spark, records, "model string, r2 double")
-    name, path = models.keep_best(fitted, results, "r2", work_path(spark, "best"))
-    again = models.load(path).transform(data).withColumnRenamed("prediction", "reloaded")
-    both = fitted[name].transform(again)
-    return both.agg(
-        F.lit(name).alias("winner"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("prediction") == F.col("reloaded")).alias("n_equal"),
+def _selection_sql(numeric: list[str], k: int) -> str:
+    """R² on the test rows of all columns and of the k most correlated ones, by sweeping the covariances."""
+    names = [*[f"x{i}" for i in range(len(numeric))], *DUMMIES_SQL, "y"]
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    entry = lambda a, b: f"{a}_{b}" if (a, b) in pairs else f"{b}_{a}"
+    columns = ", ".join(f"{c}::DOUBLE AS x{i}" for i, c in enumerate(numeric))
+    columns += "".join(f", ({test})::INT::DOUBLE AS {d}" for d, test in DUMMIES_SQL.items())
+    moments = ", ".join([f"covar_pop({a}, {b}) AS {a}_{b}" for a, b in pairs] + [f"avg({a}) AS m_{a}" for a in names])
+    ranked = " UNION ALL ".join(
+        f"SELECT {i} AS i, '{c}' AS name, abs(corr(x{i}, y)) AS r FROM d WHERE is_train" for i, c in enumerate(numeric)
     )
+    used = {f"x{i}": f"(n = 0 OR list_contains(best, {i}))" for i in range(len(numeric))} | {d: "TRUE" for d in DUMMIES_SQL}
+    steps, before = [], "v0"
+    for j, p in enumerate(names[:-1]):
+        swept = []
+        for a, b in pairs:
+            d, value = entry(p, p), entry(a, b)
+            if a == b == p:
+                new = f"-1 / {d}"
+            elif p in (a, b):
+                new = f"{value} / {d}"
+            else:
+                new = f"{value} - {entry(a, p)} * {entry(p, b)} / {d}"
+            swept.append(f"CASE WHEN {used[p]} THEN {new} ELSE {value} END AS {value}")
+        steps.append(f"v{j + 1} AS (SELECT n, best, {', '.join(swept)}, {', '.join(f'm_{a}' for a in names)} FROM {before})")
+        before = f"v{j + 1}"
+    weights = ", ".join(f"CASE WHEN {used[a]} THEN {entry(a, 'y')} ELSE 0 END AS w_{a}" for a in names[:-1])
+    off = " - ".join([f"(t.m_y - w.m_y)", *[f"w.w_{a} * (t.m_{a} - w.m_{a})" for a in names[:-1]]])
+    inner = " + ".join(f"w.w_{a} * w.w_{b} * t.{entry(a, b)}" for a in names[:-1] for b in names[:-1])
+    outer = " + ".join(f"w.w_{a} * t.{entry(a, 'y')}" for a in names[:-1])
+    listed = "[" + ", ".join(f"'{c}'" for c in numeric) + "]"
+    return f"""WITH d AS (SELECT {columns}, {CHARGE_SQL} AS y,
+  md5('fs' || l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR) < 'cccccccd' AS is_train FROM lineitem),
+o AS (SELECT list(i ORDER BY r DESC, name)[1:{k}] AS best, list(name ORDER BY r DESC, name)[1:{k}] AS named FROM ({ranked})),
+s AS (SELECT unnest([0, {k}]) AS n), v0 AS (SELECT n, best, a.* FROM s, o, (SELECT {moments} FROM d WHERE is_train) a),
+{", ".join(steps)},
+w AS (SELECT n, {weights}, {", ".join(f"m_{a}" for a in names)} FROM {before}),
+t AS (SELECT {moments} FROM d WHERE NOT is_train),
+e AS (SELECT n, 1 - (t.y_y - 2 * ({outer}) + {inner} + ({off}) ** 2) / t.y_y AS r2 FROM w, t)
+SELECT CASE WHEN n = 0 THEN 'all' ELSE 'best {k}' END AS feature_set,
+  (CASE WHEN n = 0 THEN {len(numeric)} ELSE {k} END + {len(DUMMIES_SQL)})::INT AS n_features,
+  array_to_string(CASE WHEN n = 0 THEN {listed} ELSE named END, ',') AS features, round(r2, 6) AS r2,
+  round((b.r2_all - r2) / b.r2_all * 100, 4) + 0.0::DOUBLE AS r2_loss_pct
+FROM e, o, (SELECT r2 AS r2_all FROM e WHERE n = 0) b"""
+
+
+NUMERIC = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("feature_selection_compare", _selection_sql(NUMERIC, KEPT))
+def feature_selection_compare(spark: SparkSession, folder: str) -> DataFrame:
+    """All numeric columns of the lines (by schema, keys aside) against the most correlated ones.
+
+    Both sets hold the categories' dummies.  One pass gives the moments; times are the bench's.
+    """
+    lines = table(spark, folder, "lineitem")
+    numeric = gram.numeric_columns(lines, leave_out=LINE_KEY)
+    lines = lines.withColumn("charge", F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
+    added = []
+    for category in ("l_returnflag", "l_linestatus"):
+        lines, names = gram.dummies(lines, category)
+        added += names
+    split = splits.random_split(lines, LINE_KEY, {"train": 0.8, "test": 0.2}, "fs")
+    found = gram.compare_feature_sets(split, numeric, "charge", "split", KEPT, added)
+    rows = [(name, n, ",".join(chosen), round(r2, 6), round(loss, 4) + 0.0) for name, n, chosen, r2, loss in found]
+    return from_records(spark, rows, "feature_set string, n_features int, features string, r2 double, r2_loss_pct double")
 
 
 def _cuts_sql(rows: str, place: str) -> str:
@@ -265,65 +261,52 @@ def tree_first_split(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def labelled_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = splits.stratified_split(
-        table(spark, folder, "embeddings"), "label", ["vec_id"], {"train": 0.8, "test": 0.2}
-    )
-    return models.as_vector(vectors, "embedding").select("vec_id", "label", "features", "split")
-
-
-@query("weighted_classifier")
-def weighted_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    """Class-weighted softmax and a network on the vectors, reported on test rows."""
-    data = labelled_vectors(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train = data.filter("split = 'train'")
-        ends = data.agg(F.max("label"), F.max(F.size(vector_to_array("features")))).first()
-        fitted = {
-            "weighted softmax": models.weighted_logistic(train, "features", "label"),
-            "network": models.perceptron(
-                train, "features", "label", [ends[1], 32, ends[0] + 1], max_iter=25
-            ),
-        }
-    finally:
-        data.unpersist()
-    reports = []
-    for name, model in fitted.items():
-        scored = model.transform(data.filter("split = 'test'"))
-        called = scored.select("label", F.col("prediction").cast("int").alias("called"))
-        report = metrics.classification_report(called, "label", "called")
-        reports.append(report.withColumn("model", F.lit(name)))
-    return rel.union_all(reports)
-
-
-@query("classifier_payload")
-def classifier_payload(spark: SparkSession, folder: str) -> DataFrame:
-    """Every vector scored by the weighted classifier and answered as JSON."""
-    data = labelled_vectors(spark, folder)
-    model = models.weighted_logistic(data.filter("split = 'train'"), "features", "label")
-    classes = [str(i) for i in range(model.numClasses)]
-    scored = models.probabilities(model.transform(data))
-    answer = arrays.prediction_payload(classes, F.col("probs"))
-    return scored.select("vec_id", "label", answer.alias("a")).select(
-        "vec_id", "label", "a.clase", "a.confianza", F.to_json("a").alias("payload")
-    )
+KINDS = ["boosted", "forest", "line", "pipeline", "softmax", "tree"]
 
 
 @query(
     "model_roundtrip",
-    "SELECT 'reg_lineal_charge' AS stored_as, count(*) AS n_rows, count(*) AS n_equal FROM lineitem",
+    f"""WITH k AS (SELECT unnest({KINDS}) AS kind), n AS (SELECT (SELECT count(*) FROM embeddings) AS v, (SELECT count(*) FROM lineitem) AS l)
+SELECT kind, CASE WHEN kind = 'softmax' THEN v ELSE l END AS n_rows, CASE WHEN kind = 'softmax' THEN v ELSE l END AS n_equal, TRUE AS centred FROM k, n""",
 )
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """A fitted pipeline is stored, loaded and gives every row the same value."""
-    lines = charged_lines(spark, folder, *LINEAR)
-    line = LinearRegression(featuresCol="features", labelCol="charge", predictionCol="fitted")
-    fitted = features.feature_pipeline(LINEAR, None, line).fit(lines)
-    path = writers.model(fitted, work_path(spark, "models"), "reg lineal charge")
-    loaded = models.load(path)
-    again = loaded.stages[-1].setPredictionCol("reloaded")
-    both = again.transform(fitted.transform(lines))
+    """Every kind of model stored, loaded and applied again: equal values, and about the right mean.
+
+    Least-squares models call the mean of their own rows exactly; a bagged forest does so
+    nearly, and the mean of class probabilities equals the classes' (weighted) shares.
+    """
+    lines = charged_lines(spark, folder, *LINE_KEY, *LINEAR)
+    small = families.Settings(tree_depth=3, forest_step=3, forest_most=3, forest_depth=3, rounds=2, boost_depth=2, watched=0.0)
+    _, fitted = families.compare(lines, LINEAR, "charge", LINE_KEY, 2, small, PARTS)
+    line = LinearRegression(featuresCol="features", labelCol="charge", predictionCol="prediction")
+    kinds = {"line": fitted["linear"], **{n: fitted[n] for n in ("tree", "forest", "boosted")}}
+    kinds["pipeline"] = features.feature_pipeline(LINEAR, None, line).fit(lines)
+    folder_of = work_path(spark, "models")
+    stored = {n: models.load(writers.model(m, folder_of, f"{n} of charge")) for n, m in kinds.items()}
+    both = lines
+    for n in kinds:
+        both = kinds[n].transform(both).withColumnRenamed("prediction", f"kept_{n}").drop("features", "_raw_features")
+        both = stored[n].transform(both).withColumnRenamed("prediction", f"read_{n}").drop("features", "_raw_features")
+    spread = 0.05 * F.stddev_pop("charge")
+    told = [
+        F.struct(
+            F.lit(n).alias("kind"), F.count("*").alias("n_rows"),
+            F.count_if(F.col(f"kept_{n}") == F.col(f"read_{n}")).alias("n_equal"),
+            (F.abs(F.avg(f"read_{n}") - F.avg("charge")) < spread).alias("centred"),
+        )
+        for n in kinds
+    ]
+    measured = both.agg(F.array(*told).alias("rows")).select(F.inline("rows"))
+    return measured.unionByName(_softmax_roundtrip(spark, folder, folder_of))
+
+
+def _softmax_roundtrip(spark: SparkSession, folder: str, folder_of: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    model = softmax.fit(vectors, "embedding", "label", weighted=False)
+    again = models.load(writers.model(model, folder_of, "softmax of labels"))
+    both = again.transform(model.transform(vectors, "kept"), "read")
+    share = F.avg(F.col("read")[0]) - F.avg((F.col("label") == F.lit(model.classes[0])).cast("double"))
     return both.agg(
-        F.lit(path.split("/")[-1]).alias("stored_as"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("fitted") == F.col("reloaded")).alias("n_equal"),
+        F.lit("softmax").alias("kind"), F.count("*").alias("n_rows"),
+        F.count_if(F.col("kept") == F.col("read")).alias("n_equal"), (F.abs(share) < 0.05).alias("centred"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -89,12 +90,19 @@ def model_name(name: str) -> str:
     return name.replace(" ", "_")
 
 
+# Ending of the folders that hold a model as Parquet tables.
+TABLES = ".tables"
+
+
 def model(fitted, folder: str, name: str) -> str:
-    """Persist a fitted MLlib model or pipeline under a file-safe name.
+    """Persist a fitted model under a file-safe name.
 
-    A bare model is stored as a pipeline of one stage, so one loader reads everything.
+    A bare MLlib model is stored as a pipeline of one stage, so one loader reads all of
+    them; a model that knows how to save itself as tables does so.
     """
     path = f"{folder}/{model_name(name)}"
+    if not isinstance(fitted, MLWritable):
+        return fitted.save(SparkSession.active(), path + TABLES)
     if not isinstance(fitted, PipelineModel):
         fitted = PipelineModel([fitted])
     fitted.write().overwrite().save(path)
