@@ -5,9 +5,9 @@ falls back to its character n-grams, from the longest length of which any n-gram
 known down to single characters.  A document's score in a language is the sum over its
 words; the answer is the best language, its score the softmax of the sums.
 
-The model is learned from a sample of ``sample_docs`` labelled documents a language (all
-of them where there are fewer), drawn by a hash of the id, and holds at most ``words``
-words and ``grams`` n-grams a language; prediction covers every word of every document.
+The model is learned from a sample of some ``sample_docs`` labelled documents a language
+(all of them where there are fewer), drawn by a hash of the id, and holds every word and
+n-gram of the sample, which is its bound; prediction covers every word of every document.
 
 An item a language lacks counts with one floor common to all languages, and languages
 without a word in their sample are left out: a rare label draws no foreign documents.
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,20 +34,23 @@ UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}+")
 LONGEST_GRAM = 4
 SAMPLE_DOCS = 1_500
-MODEL_WORDS = 20_000
-MODEL_GRAMS = 20_000
-# Words a worker remembers before it starts afresh.
-MEMO_ENTRIES = 250_000
+# Unknown words a worker remembers before it starts afresh.
+MEMO_ENTRIES = 100_000
 
 
 @dataclass(frozen=True)
 class Model:
-    """Log frequencies of words and n-grams, one value per language in name order."""
+    """Log frequencies: a row of the tables for each word and n-gram, a column a language by name."""
 
     languages: list[str]
     prior: np.ndarray
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]
+    word_rows: np.ndarray
+    grams: dict[str, int]
+    gram_rows: np.ndarray
+
+
+NOTHING = Model([], np.zeros(0), {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
 
 
 def words_of(text: str) -> list[str]:
@@ -94,32 +97,25 @@ def _gram_counts(batches):
             )
 
 
-def _top(counts: DataFrame, most: int) -> DataFrame:
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
-    return counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
-
-
 def train(
     docs: DataFrame,
     text: str = "text",
     label: str = "lang",
     key: str = "doc_id",
     sample_docs: int = SAMPLE_DOCS,
-    words: int = MODEL_WORDS,
-    grams: int = MODEL_GRAMS,
 ) -> Model:
-    """Learn from the labelled rows given; what comes to the driver is bounded as stated above."""
+    """Learn from the labelled rows given; what comes to the driver are the sample's counts."""
     reach_package(docs.sparkSession)
     rows = docs.select(
         F.col(f"`{label}`").alias("lang"), F.col(f"`{text}`").alias("text"), F.col(f"`{key}`").alias("key")
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
-        return Model([], np.zeros(0), {}, {})
-    # a row is in the sample if its draw is below its language's share
-    draw = F.pmod(F.xxhash64("key"), F.lit(1_000_000)) / 1_000_000
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_docs / n))])
-    sample = rows.filter(draw < share[F.col("lang")])
+        return NOTHING
+    # a row is in the sample if its draw, any of 2**64, is at most its language's share of them
+    last = {k: -(1 << 63) + int(min(1.0, sample_docs / n) * ((1 << 64) - 1)) for k, n in sizes.items()}
+    share = F.create_map(*[F.lit(x) for k, n in last.items() for x in (k, min(n, (1 << 63) - 1))])
+    sample = rows.filter(F.xxhash64("key") <= share[F.col("lang")])
     counted = (
         sample.select("lang", "text")
         .mapInArrow(_word_counts, "lang string, item string, n long")
@@ -129,101 +125,106 @@ def train(
     counted = counted.persist()
     try:
         totals = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        word_rows = _top(counted, words).select("lang", "item", "n").collect()
+        word_counts = counted.select("lang", "item", "n").toArrow()
         pieces = (
             counted.mapInArrow(_gram_counts, "lang string, item string, size int, n long")
             .groupBy("lang", "item", "size")
             .agg(F.sum("n").alias("n"))
         )
-        gram_rows = _top(pieces, grams).select("lang", "item", "size", "n").collect()
+        gram_counts = pieces.select("lang", "item", "size", "n").toArrow()
     finally:
         counted.unpersist()
     # one without a word in its sample has no frequencies to compare
     languages = sorted(x for x in sizes if totals.get(x))
     if not languages:
-        return Model([], np.zeros(0), {}, {})
-    place = {lang: i for i, lang in enumerate(languages)}
+        return NOTHING
     prior = np.array([sizes[x] for x in languages], float)
 
-    def table_of(rows, total):
-        """Log of the relative frequency; languages without the item get half a count of the largest.
+    def frequencies(langs, items, counts, total):
+        """Rows of logs of relative frequencies; languages without the item get half a count of the largest.
 
         The floor is one for all and below every frequency: with one of its own, a language
         of few labelled words would find the words of all others more likely than they do.
         """
-        found: dict[str, np.ndarray] = {}
-        floor = np.full(len(languages), np.log(0.5 / max(1, *map(total, languages))))
-        for lang, item, n in rows:
-            if item not in found:
-                found[item] = floor.copy()
-            found[item][place[lang]] = np.log(n / max(total(lang), 1))
-        return found
-
-    sums: Counter = Counter()
-    for lang, _, size, n in gram_rows:
-        sums[lang, size] += n
-    gram_table: dict[str, np.ndarray] = {}
+        place = {lang: i for i, lang in enumerate(languages)}
+        known = {item: i for i, item in enumerate(dict.fromkeys(items))}
+        rows = np.full((len(known), len(languages)), np.log(0.5 / max(1, *map(total, languages))))
+        for lang, item, n in zip(langs, items, counts):
+            rows[known[item], place[lang]] = np.log(n / max(total(lang), 1))
+        return known, rows
+
+    columns = [word_counts[c].to_pylist() for c in ("lang", "item", "n")]
+    words, word_rows = frequencies(*columns, lambda x: totals.get(x, 0))
+    columns = [gram_counts[c].to_pylist() for c in ("lang", "item", "n")]
+    sizes_of = gram_counts["size"].to_numpy()
+    grams: dict[str, int] = {}
+    tables = []
     for size in range(1, LONGEST_GRAM + 1):
-        chosen = [(r["lang"], r["item"], r["n"]) for r in gram_rows if r["size"] == size]
-        gram_table |= table_of(chosen, lambda x, size=size: sums[x, size])
-    return Model(
-        languages,
-        prior / prior.sum(),
-        table_of(word_rows, lambda x: totals.get(x, 0)),
-        gram_table,
-    )
+        mine = np.flatnonzero(sizes_of == size)
+        langs, items, counts = ([c[i] for i in mine] for c in columns)
+        sums = Counter()
+        for lang, n in zip(langs, counts):
+            sums[lang] += n
+        known, rows_of = frequencies(langs, items, counts, lambda x, sums=sums: sums[x])
+        grams |= {item: i + len(grams) for item, i in known.items()}
+        tables.append(rows_of)
+    return Model(languages, prior / prior.sum(), words, word_rows, grams, np.concatenate(tables))
 
 
 class Scorer(dict):
-    """Word to its row in a growing table of scores; looks up each word once."""
+    """Word to its row in a table of scores: the known words, and unknown ones as they turn up."""
 
     def __init__(self, model: Model):
-        super().__init__()
-        self.model = model
-        self.rows = np.zeros((1024, len(model.languages)))
-
-    def word(self, word: str) -> np.ndarray:
-        known = self.model.words.get(word)
-        if known is not None:
-            return known
-        grams = self.model.grams
+        super().__init__(model.words)
+        self.languages, self.prior = model.languages, model.prior
+        self.grams, self.gram_rows = model.grams, model.gram_rows
+        self.known, self.rows = len(model.words), model.word_rows
+        self.met: list[str] = []
+
+    def unknown(self, word: str) -> np.ndarray:
+        """The mean of its longest known n-grams."""
         for size in range(LONGEST_GRAM, 0, -1):
-            found = [grams[g] for g in grams_of(word, size) if g in grams]
+            found = [self.grams[g] for g in grams_of(word, size) if g in self.grams]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.model.languages))
+                return self.gram_rows[found].mean(axis=0)
+        return np.zeros(len(self.languages))
 
     def __missing__(self, word: str) -> int:
-        at = len(self)
+        at = self.known + len(self.met)
         if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at] = self.word(word)
+            self.rows = np.concatenate([self.rows, np.zeros((max(1024, len(self.met)), len(self.languages)))])
+        self.rows[at] = self.unknown(word)
+        self.met.append(word)
         self[word] = at
         return at
 
+    def forget(self) -> None:
+        for word in self.met:
+            del self[word]
+        self.met = []
+
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text) if text else []
-        languages = self.model.languages
+        languages = self.languages
         if not words or not languages:
             return UNKNOWN, 0.0
-        if len(self) > MEMO_ENTRIES:
-            self.clear()
-            self.rows = np.zeros((1024, len(languages)))
+        if len(self.met) > MEMO_ENTRIES:
+            self.forget()
         places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         sums = self.rows[places].sum(axis=0)
         if not sums.any():
-            best = int(np.argmax(self.model.prior))
-            return languages[best], float(self.model.prior[best])
+            best = int(np.argmax(self.prior))
+            return languages[best], float(self.prior[best])
         best = int(np.argmax(sums))
         return languages[best], float(1.0 / np.exp(sums - sums[best]).sum())
 
 
 def predict(df: DataFrame, model: Model, text: str = "text", keep=("doc_id",), prefix: str = "") -> DataFrame:
     """``keep``, then ``lang_pred`` and ``score`` (names after ``prefix``) of each whole text."""
-    sent = df.sparkSession.sparkContext.broadcast(model)  # bounded by words and grams a language
+    sent = df.sparkSession.sparkContext.broadcast(Scorer(model))  # bounded by the sample
 
     def make():
-        scorer = Scorer(sent.value)
+        scorer = sent.value  # a worker's own copy, where it remembers what it meets
         return lambda texts: list(zip(*map(scorer.predict, texts))) or [[], []]
 
     fields = [
