@@ -1,7 +1,10 @@
 """Document fingerprints by invertible Bloom lookup sketches.
 
-A text is cut into paragraphs and these into short passages, at line ends and behind
-words chosen by their hash, so that an edit moves no cut far from it.  Each passage's
+A text is cut into short passages behind bytes that a hash of themselves and the three
+before them chooses, inside words as well as between them, so that an edit moves no cut far
+from it.  Passages are shorter near the start of a text, so that short texts have enough of
+them to be told apart; the rule is one for all texts, whatever their size or script, and
+no passage is longer than a stated number of bytes.  Each passage's
 digest is added to three cells of a sketch; a cell holds a count, a sum of digests and a
 sum of checks.  Subtracting two sketches leaves the differing digests, which are peeled
 off cell by cell.  If peeling gets stuck, both texts are sketched again with more cells.
@@ -20,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm.common import U64, SpanHasher, mix, query, reach_package, table, word_spans
+from tabkit.llm.common import U64, SpanHasher, mix, query, reach_package, table
 
-# On average so many words make a passage; the first words of a text stand alone, so that
-# short texts have enough passages to be told apart.
-WORDS_PER_PASSAGE = 4
-SINGLE_WORDS = 12
+# Mean bytes of a passage at the start of a text and far from it, how many bytes further in
+# it is one byte longer, and the most bytes of any.
+FIRST_BYTES, PASSAGE_BYTES, GROWS_EVERY, MOST_BYTES = 3, 24, 16, 96
+# Odd multipliers of the hash that chooses cuts: fixed values of our own.
+TURNS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 HASHES = 3
 # Cells per hash of the fingerprint, and how much larger a retry is.
 SMALLEST = 8
@@ -36,27 +40,45 @@ STEP = 0xE7037ED1A0B428DB
 RANGE_BYTES = 24 << 20
 
 
+def _odds() -> np.ndarray:
+    """Below which hash a byte is a cut, by its place; the last holds for all further ones."""
+    mean = np.arange(FIRST_BYTES, PASSAGE_BYTES + 1).repeat(GROWS_EVERY)
+    return (2**32 // mean).astype(np.uint32)
+
+
+ODDS = _odds()
+
+
+def ends_of_passages(data: np.ndarray) -> np.ndarray:
+    """Where the passages of a text end, by its bytes."""
+    x = data.astype(np.uint32) + np.uint32(1)
+    h = x.copy()
+    with np.errstate(over="ignore"):
+        for back, turn in enumerate(TURNS, start=1):
+            h[back:] += x[:-back] * np.uint32(turn)
+        h ^= h >> np.uint32(15)
+        h *= np.uint32(0x2C1B3C6D)
+        h ^= h >> np.uint32(13)
+    near = min(len(h), len(ODDS))
+    chosen = h < ODDS[-1]
+    chosen[:near] = h[:near] < ODDS[:near]
+    chosen[-1] = True
+    ends = np.flatnonzero(chosen) + 1
+    starts = np.r_[0, ends[:-1]]
+    more = (ends - starts - 1) // MOST_BYTES  # cuts of its own that a long passage gets
+    if more.any():
+        inner = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+        ends = np.sort(np.r_[ends, np.repeat(starts, more) + inner * MOST_BYTES])
+    return ends
+
+
 def passage_digests(hasher: SpanHasher, text: str) -> np.ndarray:
     """64-bit digests of the passages of a text, repeats told apart."""
-    body = text.encode("utf-8", "surrogatepass")
-    data = np.frombuffer(body, np.uint8)
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     if not len(data):
         return np.zeros(0, U64)
-    start, end = word_spans(data)
-    if len(start) < 3:  # too few words: every two bytes
-        start = np.arange(0, len(data), 2)
-        return tell_apart(hasher.spans(data, start, np.minimum(start + 2, len(data))))
-    words = hasher.spans(data, start, end)
-    lines = np.zeros(len(data) + 1, np.int64)
-    np.cumsum((data == 10) | (data == 13), out=lines[1:])
-    last = words % U64(WORDS_PER_PASSAGE) == 0
-    last[:-1] |= lines[start[1:]] > lines[end[:-1]]
-    last[:SINGLE_WORDS] = True
-    last[-1] = True
-    cut = np.flatnonzero(last)
-    first = np.r_[0, cut[:-1] + 1]
-    digest = hasher.spans(data, start[first], end[cut])
-    return tell_apart(digest)
+    ends = ends_of_passages(data)
+    return tell_apart(hasher.spans(data, np.r_[0, ends[:-1]], ends))
 
 
 def tell_apart(digest: np.ndarray) -> np.ndarray:
