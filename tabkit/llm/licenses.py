@@ -246,26 +246,6 @@ def notices(hits: Column) -> Column:
     return F.aggregate(F.array_sort(hits), F.array().cast(HIT), add)
 
 
-def matching_lines(body: Column, known: Column, most: int, threshold: float) -> Column:
-    """Lines that match by themselves, and the whole as one more where it is short; 0 for long texts."""
-    lines = F.transform(F.split(body, LINE_END), words_of)
-
-    def reached(line: Column) -> Column:
-        return let(
-            bigrams(line),
-            lambda pairs: F.exists(
-                known,
-                lambda t: 2.0 * F.size(F.array_intersect(pairs, t["pairs"])) / (F.size(pairs) + t["n"]) >= threshold - 1e-9,
-            ),
-        )
-
-    def count(rows: Column) -> Column:
-        whole = F.when(F.size(rows) > 1, F.array(F.flatten(rows))).otherwise(F.array().cast("array<array<string>>"))
-        return F.size(F.filter(F.concat(rows, whole), lambda w: F.when(F.size(w) >= 2, reached(w)).otherwise(False)))
-
-    return let(lines, lambda rows: F.when(F.size(F.flatten(rows)) <= most + 1, count(rows)).otherwise(0))
-
-
 def scan(
     docs: DataFrame,
     text: str = "text",
@@ -275,26 +255,24 @@ def scan(
 ) -> DataFrame:
     """``doc_id``, ``n_lines`` notices found, and the best ``license`` with its ``dice``.
 
-    Templates may be of any length, and several may have one name.  A short text of several
-    lines that reaches the threshold as a whole, too, counts once more beside its lines.
+    Templates may be of any length, and several may have one name.  A notice counts once,
+    on a line of its own, among other words or over several lines, in texts of any length.
     """
     if templates is None:
         templates = [*sorted(TEMPLATES.items()), *FULL_TEXTS]
     elif isinstance(templates, dict):
         templates = sorted(templates.items())
     compared, known = prepared(templates, threshold)
-    most = max(bounds(len(bigrams_of(body)), threshold)[1] for _, body in templates)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     found = let(
         let(words_of(body), lambda words: known_places(words, known)),
         lambda places: notices(F.flatten(F.transform(compared, lambda t: windows(places, t, threshold)))),
     )
-    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), body.alias("body"), found.alias("found"))
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), found.alias("found"))
     top = F.array_min(F.transform("found", lambda h: F.struct(h["less"].alias("less"), h["license"].alias("license"))))
-    by_line = F.when(F.size("found") > 0, matching_lines(F.col("body"), compared, most, threshold)).otherwise(0)
     return rows.select(
         "doc_id",
-        F.greatest(F.size("found"), by_line).cast("long").alias("n_lines"),
+        F.size("found").cast("long").alias("n_lines"),
         top["license"].alias("license"),
         F.round(-top["less"], 6).alias("dice"),
     )
@@ -312,8 +290,6 @@ def _sql() -> str:
     WITH templates(license, low, high, pairs) AS (VALUES {", ".join(values)}),
     lines AS (
       SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents
-      UNION ALL
-      SELECT doc_id, text FROM documents WHERE contains(text, chr(10))
     ),
     words AS (
       SELECT doc_id, row_number() OVER () AS place,
