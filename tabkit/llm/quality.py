@@ -5,10 +5,12 @@ punctuation stuck to them, runs shortened) and, as terms too, bands of a few rat
 the whole text.  Term counts, damped and weighted by inverse document frequency, are
 projected on the leading singular directions of the labelled documents.  Every document
 is then compared with all labelled vectors, which are broadcast, by blocked products;
-the nearest vote, each with the weight of its similarity.
+the nearest vote, each with the weight of its similarity, and so do all others that are
+as near as the last of them.
 
 Learned from a sample of at most ``per_class`` labelled documents of each class, drawn
-by a hash of the id: the vectors broadcast are bounded by that.  Scoring covers every
+by a hash of the id: the vectors broadcast are bounded by that.  Of rows that share an id
+the one whose text has the smallest hash is learned from.  Scoring covers every
 whole text.  A text without a token scores 0; so do all where nothing was learned.
 """
 
@@ -29,6 +31,8 @@ PER_CLASS = 1_000
 TERMS = 4096
 DIRECTIONS = 48
 NEIGHBOURS = 15
+# Similarities closer than this are equal.
+TIE = 1e-9
 # Similarities count by this power, so that near ones outweigh the rest.
 SHARPNESS = 8
 # Tokens a worker remembers before it starts afresh.
@@ -38,7 +42,7 @@ MEMO_ENTRIES = 250_000
 def shape(token: str) -> str:
     """Letters as a or A, digits as 0, the rest as it is, and no sign more than twice in a row."""
     out: list[str] = []
-    for char in token[:64]:
+    for char in token:
         kind = "A" if char.isupper() else "a" if char.isalpha() else "0" if char.isdigit() else char
         if len(out) < 2 or out[-1] != kind or out[-2] != kind:
             out.append(kind)
@@ -54,7 +58,7 @@ class Terms(dict):
 
     def __missing__(self, token: str) -> int:
         both = slot("w" + token.lower().strip(".,;:!?")) * TERMS + slot("s" + shape(token))
-        if len(token) <= 64:
+        if len(token) <= 64:  # longer ones hardly repeat
             self[token] = both
         return both
 
@@ -114,6 +118,9 @@ def train(
     chosen = sample(labels, per_class, key, label)
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("body"))
     rows = rows.join(F.broadcast(chosen), "id").filter(F.col("body").isNotNull())
+    # of rows that share an id one is learned from, so the sample is as large as stated
+    first = F.min(F.struct(F.xxhash64("body").alias("hash"), F.col("body")))
+    rows = rows.groupBy("id", "label").agg(first["body"].alias("body"))
 
     def make():
         terms = Terms()
@@ -157,10 +164,10 @@ def vote(model: Model, vectors: np.ndarray) -> np.ndarray:
         return np.zeros(len(vectors))
     close = vectors @ model.vectors.T
     k = min(NEIGHBOURS, close.shape[1])
-    nearest = np.argpartition(-close, k - 1, axis=1)[:, :k]
-    weight = np.maximum(np.take_along_axis(close, nearest, axis=1), 0.0) ** SHARPNESS
+    last = np.partition(close, close.shape[1] - k, axis=1)[:, close.shape[1] - k, None]
+    weight = np.where(close >= last - TIE, np.maximum(close, 0.0), 0.0) ** SHARPNESS
     total = weight.sum(axis=1)
-    votes = (weight * model.labels[nearest]).sum(axis=1)
+    votes = weight @ model.labels
     return np.where(total > 0, votes / np.maximum(total, 1e-300), 0.0)
 
 
