@@ -88,7 +88,8 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # the vocabulary's own marks, which it reads as one id wherever they stand
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts = PartIds(self.tokenizer.model)
 
     def __missing__(self, chunk: str) -> bytes:
@@ -114,6 +115,8 @@ class ChunkIds(dict):
     def ids(self, text: str) -> bytes:
         if len(self) > MEMO_ENTRIES:
             self.clear()
+        if any(mark in text for mark in self.marks):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.__getitem__, self.chunks(text)))
 
 
