@@ -43,10 +43,14 @@ TAGS_AGAINST = {"nav", "aside", "footer", "header", "form", "button", "select",
 TAGS_FOR = {"article", "main"}
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*+)(>|\Z)", re.S
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 WORDS = re.compile(r"[a-z]+")
+# Where no text stands by itself, what may stand there, and what an end tag never closes.
+OUTSIDE = {"#root", "html"}
+HEAD_TAGS = {"html", "head", "body", "title", "meta", "link", "script", "style", "base", "noscript", "template", "frameset"}
+STAYS_OPEN = {"body", "html"}
 LABEL = "data-train-label"
 
 
@@ -60,16 +64,19 @@ class Page:
         self.for_: list[int] = [0]
         self.labels: list[int] = [-1]
         self.runs: list[tuple[int, str]] = []
+        self.implied = -1  # the body, where the page has no tag for it
         self._read(source)
 
     def _read(self, source: str) -> None:
         stack, at, low = [0], 0, None
         while True:
             found = TOKEN.search(source, at)
+            text = source[at : found.start()] if found else source[at:]
+            if self.tags[stack[-1]] in OUTSIDE and text and not text.isspace():
+                self._imply_body(stack)
+            self._text(stack[-1], text)
             if found is None:
-                self._text(stack[-1], source[at:])
                 return
-            self._text(stack[-1], source[at : found.start()])
             at = found.end()
             tag = found[2]
             if tag is None or not found[4]:  # a comment, a declaration, or an unfinished tag
@@ -78,8 +85,11 @@ class Page:
                 continue
             tag = tag.lower()
             if found[1]:
-                self._close(stack, tag)
+                if tag not in STAYS_OPEN:  # what follows the body's end still belongs to it
+                    self._close(stack, tag)
                 continue
+            if self.tags[stack[-1]] in OUTSIDE and tag not in HEAD_TAGS:
+                self._imply_body(stack)
             self._make_room(stack, tag)
             node = self._add(stack[-1], tag, found[3])
             if tag in RAW or tag in RCDATA:
@@ -94,6 +104,11 @@ class Page:
             elif tag not in VOID:
                 stack.append(node)
 
+    def _imply_body(self, stack: list[int]) -> None:
+        """Open the body that the page left out, as browsers do."""
+        self.implied = self._add(stack[-1], "body", "")
+        stack.append(self.implied)
+
     def _text(self, node: int, text: str) -> None:
         if text:
             self.runs.append((node, html.unescape(text) if "&" in text else text))
