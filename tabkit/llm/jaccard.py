@@ -518,7 +518,9 @@ def jaccard_components(
     )
     copies = few(materialize(copies, "copies"))
     owners = sizes.join(copies, ["n_shingles", "h1", "h2"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("first", "doc_id").cast("long").alias("first")
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id")).cast("long").alias("first"),
     )
     owners = materialize(owners, "owners")
     near = block_links(blocks(docs, frequent, text, key, words, similarity))
