@@ -79,6 +79,23 @@ def test_careless_markup():
     assert ("li", "f") in holders and ("li", "g") in holders and holders[-1][1] == "&am"
 
 
+def test_pages_without_body_and_words_after_it(spark, folder):
+    """Text is found as browsers find it: in a body left out, behind its end, behind odd quotes."""
+    trees = main_text.train(spark.read.parquet(f"{folder}/pages.parquet"))
+    wanted = {
+        "plain text of a page": "plain text of a page",
+        "<b>Title</b> some text": "Title some text",
+        "a < b": "a < b",
+        "<html><body><p>One two three.</p></body></html>words after the end": "One two three.\nwords after the end",
+        "<p data-x=don't>Some text here.</p><p>More text, isn't it?</p>": "Some text here.\nMore text, isn't it?",
+        '<p title="a > b">Quoted.</p>': "Quoted.",
+        "<html><head><title>T</title></head>Bare words of a page.": "Bare words of a page.",
+    }
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate(wanted)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in main_text.extract(pages, trees).collect()}
+    assert [got[i] for i in range(len(wanted))] == list(wanted.values())
+
+
 def brute_force(spark, folder):
     """The stages one after the other with plain code on collected rows."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")

@@ -148,6 +148,37 @@ def test_jaccard_of_awkward_rows(spark):
     assert jaccard.jaccard_components(awkward(spark).limit(0)).count() == 0
 
 
+def test_rows_without_id_are_in_no_component(spark):
+    text = "five words or more are needed for some shingles"
+    rows = [(None, text, "en")] * 3 + [(7, text, "en"), (9, text, "en"), (None, "alone with other words than they have", "en")]
+    got = sorted((r["doc_id"] or -1, r["component_id"] or -1) for r in jaccard.jaccard_components(documents(spark, rows)).collect())
+    assert got == [(-1, -1)] * 4 + [(7, 7), (9, 7)]
+
+
+def test_links_of_a_hub_are_split(spark):
+    """With thresholds to match, adaptive execution splits the join of a node's many links."""
+    from conftest import plan_of
+
+    from tabkit.llm import graph
+
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        links = spark.range(1, 60_000, 1, 6).selectExpr("id AS a", "if(id % 3 = 0, id - 1, 0) AS b")
+        joined = graph._large_star(links)
+        joined.collect()
+        assert "skew=true" in plan_of(joined).replace("isSkewJoin=true", "skew=true")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_components_of_a_long_path(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200), (300, 200), (7, 7)]
     frame = spark.createDataFrame(links, "a long, b long")

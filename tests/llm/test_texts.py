@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -35,12 +36,58 @@ def test_language_of_held_out_rows(spark, bilingual):
 def test_language_backs_off_to_shorter_grams(bilingual):
     model = language.train(bilingual)
     scorer = language.Scorer(model)
-    assert np.allclose(scorer.word("stone"), model.words["stone"])
-    unseen = scorer.word("stoneriver")
-    known = [model.grams[g] for g in language.grams_of("stoneriver", 4) if g in model.grams]
-    assert "stoneriver" not in model.words and np.allclose(unseen, np.mean(known, axis=0))
-    assert np.allclose(scorer.word("ßqßq"), np.mean([model.grams["ß"]] * 2, axis=0))
-    assert not scorer.word("你").any()
+
+    def row(word):
+        at = scorer[word]  # the table may grow
+        return scorer.rows[at].copy()
+
+    assert np.allclose(row("stone"), model.word_rows[model.words["stone"]])
+    known = [model.gram_rows[model.grams[g]] for g in language.grams_of("stoneriver", 4) if g in model.grams]
+    assert "stoneriver" not in model.words and np.allclose(row("stoneriver"), np.mean(known, axis=0))
+    assert np.allclose(row("ßqßq"), model.gram_rows[model.grams["ß"]])
+    assert not row("你").any()
+    scorer.forget()
+    assert "stoneriver" not in scorer and np.allclose(row("stone"), model.word_rows[model.words["stone"]])
+
+
+def test_language_equals_plain_dictionaries(spark, bilingual):
+    """Every score again, word by word, from counts of the same labelled rows."""
+    learnt = bilingual.collect()
+    counts = {lang: Counter(w for r in learnt if r["lang"] == lang for w in re.findall(r"[^\W\d_]+", r["text"].lower())) for lang in ("de", "en")}
+
+    def pieces(word, n):
+        marked = f"_{word}_"
+        return list(word) if n == 1 else [marked[i : i + n] for i in range(len(marked) - n + 1)]
+
+    grams = {n: {lang: Counter() for lang in counts} for n in range(1, 5)}
+    for lang, words in counts.items():
+        for word, times in words.items():
+            for n in grams:
+                for g in pieces(word, n):
+                    grams[n][lang][g] += times
+
+    def logs(tables, item):
+        floor = 0.5 / max(sum(c.values()) for c in tables.values())
+        return np.array([np.log(tables[x][item] / sum(tables[x].values()) if tables[x][item] else floor) for x in ("de", "en")])
+
+    def of_word(word):
+        if any(word in c for c in counts.values()):
+            return logs(counts, word)
+        for n in range(4, 0, -1):
+            found = [logs(grams[n], g) for g in pieces(word, n) if any(g in c for c in grams[n].values())]
+            if found:
+                return np.mean(found, axis=0)
+        return np.zeros(2)
+
+    texts = ["stone unheard flussname", "qqq", "Häuser der unter", "the 12 walking dead", "é è", *[r["text"] for r in learnt[:20]]]
+    model = language.train(bilingual)
+    got = {r["doc_id"]: r for r in language.predict(documents(spark, [(i, t, None) for i, t in enumerate(texts)]), model).collect()}
+    for i, text in enumerate(texts):
+        total = sum((of_word(w) for w in re.findall(r"[^\W\d_]+", text.lower())), np.zeros(2))
+        best = int(total.argmax())
+        if total.any():
+            assert got[i]["lang_pred"] == ("de", "en")[best]
+            assert got[i]["score"] == pytest.approx(1 / np.exp(total - total[best]).sum())
 
 
 def test_language_of_awkward_rows(spark, bilingual):
@@ -94,6 +141,39 @@ def test_votes_weigh_by_similarity():
     assert got[0] == pytest.approx(weights[0] / weights.sum()) and got[1] < 0.01 and got[2] == 0.0
 
 
+def test_quality_equals_plain_cosine_and_vote(spark, folder):
+    """Every score again: term vectors by hand, one cosine at a time, all ties included."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality.train(docs, quality.learnable(labels))
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    terms = quality.Terms()
+    for r in docs.collect():
+        places, amounts = terms.counts(r["text"])
+        vector = np.zeros(quality.TERMS)
+        for place, amount in zip(places, amounts):
+            vector[place] += amount * model.weights[place]
+        point = vector @ model.directions
+        size = np.sqrt((point**2).sum())
+        alike = sorted(((float(point @ v) / size if size else 0.0, y) for v, y in zip(model.vectors, model.labels)), reverse=True)
+        last = alike[min(quality.NEIGHBOURS, len(alike)) - 1][0]
+        votes = [(max(a, 0.0) ** quality.SHARPNESS, y) for a, y in alike if a >= last - 1e-9]
+        total = sum(w for w, _ in votes)
+        want = sum(w * y for w, y in votes) / total if total else 0.0
+        assert got[r["doc_id"]] == pytest.approx(want, abs=1e-6), r["doc_id"]
+
+
+def test_quality_learns_one_row_an_id_and_lets_ties_vote(spark):
+    text = "Some words, of a text that is good."
+    rows = [(1, text, "en")] * 40 + [(2, "x y z 00 11 !!", "en")]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    assert len(quality.train(documents(spark, rows), labels).labels) == 2
+    vectors = np.tile([[1.0, 0.0]], (40, 1))
+    model = quality.Model(np.zeros(1), np.zeros((1, 2)), vectors, np.array([1.0] * 10 + [0.0] * 30))
+    assert quality.vote(model, np.array([[1.0, 0.0]]))[0] == pytest.approx(0.25)
+    assert quality.shape("a" * 100 + "B7") == "aaA0"
+
+
 def test_quality_of_awkward_rows(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(6, 1, 0), (7, 1, 0), (9, 0, 0), (5, 0, 1), (8, None, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
@@ -151,6 +231,29 @@ def test_every_text_is_compared_with_the_next(spark, folder, size):
     assert np.median(near[:, 0]) > 0.4 and np.median(near[:, 1]) < 0.1
 
 
+def test_one_cutting_rule_for_every_script_and_size():
+    hasher, draw = SpanHasher(), np.random.default_rng(3)
+    letters = "".join(draw.choice(list("abcdefghij"), 20_000))
+    chinese = "".join(chr(c) for c in draw.integers(0x4E00, 0x9FFF, 3000))
+    following = "Some words of the next document, which has white space. " * 400
+    for text in (letters, chinese, "hello world", "one two three four five six seven eight nine"):
+        sets = [fingerprints.passage_digests(hasher, t) for t in (text, fingerprints.edited(text, following))]
+        assert fingerprints.likeness(sets[:1], sets[1:])[0] > 0.3, text[:20]
+    for text in (letters, chinese, "x" * 5000, "a b " * 999):
+        data = np.frombuffer(text.encode(), np.uint8)
+        ends = fingerprints.ends_of_passages(data)
+        assert ends[-1] == len(data) and (np.diff(ends) > 0).all() and np.diff(np.r_[0, ends]).max() <= fingerprints.MOST_BYTES
+
+
+def test_an_edit_moves_no_cut_far_from_it():
+    text = "".join(np.random.default_rng(5).choice(list("abcdefghij \n"), 4000))
+    one = fingerprints.ends_of_passages(np.frombuffer(text.encode(), np.uint8))
+    other = fingerprints.ends_of_passages(np.frombuffer((text[:2000] + "INSERTED" + text[2000:]).encode(), np.uint8))
+    assert (one[one < 1990] == other[other < 1990]).all()
+    late = set((other[other > 2150] - 8).tolist()) & set(one[one > 2142].tolist())
+    assert len(late) > 0.95 * (one > 2142).sum()
+
+
 def test_fingerprints_of_awkward_rows(spark):
     rows = fingerprints.compare_with_next(awkward(spark)).collect()
     assert len(rows) == 15
@@ -195,6 +298,13 @@ def test_licences_of_awkward_rows(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_a_notice_counts_once_in_texts_of_any_length(spark):
+    notice, tail = "Released under the MIT License.\nok", "\nmore words of another kind stand here" * 40
+    rows = [(1, notice, "en"), (2, notice + tail, "en"), (3, "Released under\nthe MIT License.", "en"), (4, f"{notice}\n{notice}", "en")]
+    got = {r["doc_id"]: (r["n_lines"], r["license"]) for r in licenses.scan(documents(spark, rows)).collect()}
+    assert got == {1: (1, "MIT"), 2: (1, "MIT"), 3: (1, "MIT"), 4: (2, "MIT")}
+
+
 # The five notices of the documents table, written out: templates must know them without help.
 PLANTED = {
     "All rights reserved.": "Rights-Reserved",

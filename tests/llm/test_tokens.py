@@ -131,7 +131,6 @@ def expected_pieces(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
-    tokenizer.encode_special_tokens = True
     out = []
     for doc, text in texts:
         ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
@@ -141,6 +140,15 @@ def expected_pieces(texts):
     return out
 
 
+def test_ids_are_the_tokenizers_own(spark):
+    """Whole texts through the public tokenizer, its marks inside the texts included."""
+    texts = ["a <|endoftext|> b", "<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|end", "It's 12 o'clock, Été!", "你好<|endoftext|>", "<|endoftext|>" * 3000]
+    docs = documents(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    got = packing.pieces(docs, public_tokenizers.path(packing.VOCABULARY)).collect()
+    want = expected_pieces(enumerate(texts))
+    assert sorted(tuple(r)[:5] for r in got) == sorted(want)
+
+
 def check_packing(rows):
     bins = defaultdict(list)
     for r in rows:
