@@ -129,6 +129,48 @@ def matrix(
     }
 
 
+def scans_of(df: DataFrame) -> list[dict[str, int]]:
+    """What each file scan of a DataFrame that has been run has read: files, bytes, rows, partitions, columns.
+
+    From the metrics of the executed plan, through the stages that adaptive execution made.
+    """
+    found: list[dict[str, int]] = []
+
+    def look(node) -> None:
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            look(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            look(node.plan())
+        elif kind == "FileSourceScanExec":
+            told = {}
+            for name, metric in (("files", "numFiles"), ("bytes", "filesSize"), ("rows", "numOutputRows"), ("partitions", "numPartitions")):
+                value = node.metrics().get(metric)
+                told[name] = value.get().value() if value.isDefined() else 0
+            found.append(told | {"columns": node.requiredSchema().length()})
+        else:
+            children = node.children()
+            for i in range(children.size()):
+                look(children.apply(i))
+
+    look(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def reads(cases: Mapping[str, Callable[[], DataFrame]], spark: SparkSession) -> DataFrame:
+    """layout, value, files_read, bytes_read, rows_read, columns_read of one-row queries (column ``value``), run to their end."""
+    records = []
+    for name, build in cases.items():
+        df = build()
+        value = df.collect()[0]["value"]
+        scans = scans_of(df)
+        told = [sum(s[c] for s in scans) for c in ("files", "bytes", "rows")]
+        records.append((name, float(value), *told, max(s["columns"] for s in scans)))
+    return readers.from_records(
+        spark, records, "layout string, value double, files_read long, bytes_read long, rows_read long, columns_read int"
+    )
+
+
 def footprint(spark: SparkSession, paths: Mapping[str, str], base: str) -> DataFrame:
     """layout, n_files, n_bytes, size_text, pct_saved against ``base``.
 
@@ -142,7 +184,11 @@ def footprint(spark: SparkSession, paths: Mapping[str, str], base: str) -> DataF
         )
         for name, path in paths.items()
     ]
-    sizes = union_all(parts)
+    return with_savings(union_all(parts), base)
+
+
+def with_savings(sizes: DataFrame, base: str) -> DataFrame:
+    """(layout, n_files, n_bytes) with the size as text and the share saved against ``base``."""
     base_bytes = sizes.filter(F.col("layout") == base).select("n_bytes").scalar()
     return sizes.withColumn("size_text", human_bytes(F.col("n_bytes"))).withColumn(
         "pct_saved", F.round(saving_pct(base_bytes, F.col("n_bytes")), 1)

@@ -83,19 +83,20 @@ def learnable(
     """(rows with ``_x``, class number ``_c`` and weight ``_w``, the classes, the vectors' length)."""
     rows = df.filter(F.col(label).isNotNull() & usable(column))
     # one row a class
-    told = rows.groupBy(label).agg(F.count("*").alias("n"), F.min(F.size(column)).alias("low"), F.max(F.size(column)).alias("high")).collect()
+    sizes = [f(F.size(column)).alias(n) for f, n in ((F.count, "_n"), (F.min, "_low"), (F.max, "_high"))]
+    told = rows.groupBy(F.col(label).alias("_label")).agg(*sizes).collect()
     if not told:
         raise ValueError("no rows to learn from")
-    width = {r["low"] for r in told} | {r["high"] for r in told}
+    width = {r["_low"] for r in told} | {r["_high"] for r in told}
     if len(width) > 1:
         raise ValueError(f"vectors of different lengths: {sorted(width)}")
-    classes = sorted(r[label] for r in told)
-    n = sum(r["n"] for r in told)
+    classes = sorted(r["_label"] for r in told)
+    n = sum(r["_n"] for r in told)
     weight, number = F.lit(0.0), F.lit(0)
     for r in told:
-        mine = F.col(label) == F.lit(r[label])
-        weight = F.when(mine, F.lit(n / (len(told) * r["n"]) if weighted else 1.0)).otherwise(weight)
-        number = F.when(mine, F.lit(classes.index(r[label]))).otherwise(number)
+        mine = F.col(label) == F.lit(r["_label"])
+        weight = F.when(mine, F.lit(n / (len(told) * r["_n"]) if weighted else 1.0)).otherwise(weight)
+        number = F.when(mine, F.lit(classes.index(r["_label"]))).otherwise(number)
     out = spread(rows, keys, parts).select(F.col(column).cast("array<double>").alias("_x"), number.alias("_c"), weight.alias("_w"))
     return out.persist(StorageLevel.MEMORY_AND_DISK), classes, width.pop()
 

@@ -60,13 +60,55 @@ def layout_matrix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("storage_footprint")
+UNIT_SQL = "CASE WHEN b < 1024 THEN b || ' B' WHEN b < 1048576 THEN printf('%.2f KB', b / 1024.0) ELSE printf('%.2f MB', b / 1048576.0) END"
+
+
+@query(
+    "storage_footprint",
+    f"""WITH f AS (SELECT lang AS layout, count(*) AS n_files, sum(octet_length(encode(text)))::BIGINT AS b FROM documents
+  WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang),
+o AS (SELECT arg_min(b, layout) AS base FROM f)
+SELECT layout, n_files, b AS n_bytes, {UNIT_SQL} AS size_text, CASE WHEN b < base THEN round((base - b) / base * 100, 1) ELSE 0.0 END::DOUBLE AS pct_saved FROM f, o""",
+)
 def storage_footprint(spark: SparkSession, folder: str) -> DataFrame:
-    """Bytes on disk per layout.  Sizes depend on the writer, so there is no SQL."""
-    base = work_path(spark, "footprint")
-    names = [n for n in layouts.LAYOUTS if n != "merged"]
-    layouts.write_all(table(spark, folder, "orders"), base, KEY, CATEGORY, names)
-    return layouts.footprint(spark, {n: f"{base}/{n}" for n in names}, base="csv")
+    """Number, bytes, size as text and share saved: the report on layouts, over texts whose bytes SQL can count, too.
+
+    A document stands for a file and its language for a layout; ``layout_reads`` has the files.
+    """
+    docs = table(spark, folder, "documents").filter("lang IS NOT NULL AND text IS NOT NULL")
+    sizes = docs.groupBy(F.col("lang").alias("layout")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum(F.octet_length("text")).alias("n_bytes")
+    )
+    base = sizes.agg(F.min("layout")).first()[0]
+    return layouts.with_savings(sizes, base)
+
+
+@query(
+    "layout_reads",
+    """WITH n AS (SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f, count(DISTINCT o_orderstatus) AS p,
+  round(sum(o_totalprice) FILTER (o_orderstatus = 'F'), 2) AS v FROM orders)
+SELECT layout, v AS value, CASE layout WHEN 'partitioned' THEN f ELSE n END AS rows_read, f AS rows_needed,
+  CASE layout WHEN 'partitioned' THEN 1 ELSE 2 END AS columns_read, layout = 'partitioned' AS pruned, layout <> 'parquet_plain' AS smaller
+FROM n, (SELECT unnest(['parquet_plain', 'parquet_snappy', 'partitioned']) AS layout)""",
+)
+def layout_reads(spark: SparkSession, folder: str) -> DataFrame:
+    """The same filtered sum over three layouts: rows and columns read against rows needed, by the scans' own figures.
+
+    ``pruned``: fewer files than the table has; ``smaller``: fewer bytes than the plain one.
+    """
+    base = work_path(spark, "reads")
+    names = ["parquet_plain", "parquet_snappy", "partitioned"]
+    tables = layouts.write_all(table(spark, folder, "orders"), base, KEY, CATEGORY, names)
+    total = F.round(F.sum("o_totalprice"), 2).alias("value")
+    cases = {n: (lambda n=n: tables[n].filter(F.col(CATEGORY) == "F").agg(total)) for n in names}
+    told = layouts.reads(cases, spark)
+    files = layouts.footprint(spark, {n: f"{base}/{n}" for n in names}, base=names[0])
+    needed = table(spark, folder, "orders").filter(F.col(CATEGORY) == "F").count()
+    plain = told.filter(F.col("layout") == names[0]).select("bytes_read").scalar()
+    return told.join(F.broadcast(files), "layout").select(  # a row a layout
+        "layout", "value", "rows_read", F.lit(needed).cast("long").alias("rows_needed"), "columns_read",
+        (F.col("files_read") < F.col("n_files")).alias("pruned"), (F.col("bytes_read") < plain).alias("smaller"),
+    )
 
 
 @query(
@@ -121,15 +163,22 @@ def bucketed_self_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "lazy_actions",
-    """WITH n AS (SELECT count(*) AS n, count(*) FILTER (o_totalprice > 250000) AS f FROM orders)
-SELECT schema, phase, CASE WHEN phase IN ('count', 'first_rows') THEN 'action' ELSE 'transformation' END AS kind,
-  CASE phase WHEN 'count' THEN f WHEN 'first_rows' THEN least(f, 5) END AS n_rows FROM n,
-  (SELECT unnest(['explicit', 'inferred']) AS schema),
-  (SELECT unnest(['read', 'filter', 'project', 'ratio', 'count', 'first_rows']) AS phase)""",
+    """WITH n AS (SELECT count(*) AS n, count(*) FILTER (o_totalprice > 250000) AS f FROM orders),
+p AS (SELECT schema, phase, phase IN ('count', 'first_rows') OR (schema = 'inferred' AND phase = 'read') AS runs FROM
+  (SELECT unnest(['explicit', 'inferred']) AS schema), (SELECT unnest(['read', 'filter', 'project', 'ratio', 'count', 'first_rows']) AS phase))
+SELECT schema, phase, CASE WHEN runs THEN 'action' ELSE 'transformation' END AS kind, runs AS starts_jobs, CASE WHEN NOT runs THEN 0 END AS n_jobs_of_plan,
+  CASE phase WHEN 'count' THEN f WHEN 'first_rows' THEN least(f, 5) END AS n_rows FROM n, p""",
 )
 def lazy_actions(spark: SparkSession, folder: str) -> DataFrame:
-    """Which steps only build the plan and which run it, and the rows that come of those."""
-    return phase_times(spark, folder).drop("seconds")
+    """Which steps only build the plan and which run it, by the jobs that Spark started for them.
+
+    Reading with an inferred schema runs: the schema is found by reading the files.
+    """
+    told = phase_times(spark, folder)
+    jobs = F.col("n_jobs")
+    return told.select(
+        "schema", "phase", "kind", (jobs > 0).alias("starts_jobs"), F.when(jobs == 0, jobs).alias("n_jobs_of_plan"), "n_rows"
+    )
 
 
 def phase_times(spark: SparkSession, folder: str) -> DataFrame:
@@ -145,8 +194,8 @@ def phase_times(spark: SparkSession, folder: str) -> DataFrame:
         "count": lambda df: df.count(),
         "first_rows": lambda df: len(df.orderBy("o_orderkey").take(5)),
     }
-    explicit = phases.time_phases(lambda: readers.csv_typed(spark, path, orders.schema), steps)
-    inferred = phases.time_phases(lambda: readers.csv_inferred(spark, path), steps)
+    explicit = phases.time_phases(spark, lambda: readers.csv_typed(spark, path, orders.schema), steps)
+    inferred = phases.time_phases(spark, lambda: readers.csv_inferred(spark, path), steps)
     return rel.union_all(
         [
             explicit.withColumn("schema", F.lit("explicit")),

@@ -115,6 +115,19 @@ def test_footprint(spark, tables):
     assert rows["parquet_plain"]["pct_saved"] > 0
 
 
+def test_scans_tell_what_they_read(tables):
+    cases = {
+        n: (lambda n=n: tables[0][n].filter("o_orderstatus = 'F'").agg(F.sum("o_totalprice").alias("value"))) for n in ("parquet_plain", "partitioned")
+    }
+    told = {r["layout"]: r for r in layouts.reads(cases, tables[0]["partitioned"].sparkSession).collect()}
+    needed = tables[0]["parquet_plain"].filter("o_orderstatus = 'F'").count()
+    assert told["partitioned"]["rows_read"] == needed < told["parquet_plain"]["rows_read"] == 1500
+    assert told["partitioned"]["columns_read"] == 1 and told["parquet_plain"]["columns_read"] == 2
+    both = tables[0]["parquet_plain"].join(tables[0]["parquet_snappy"].hint("shuffle_hash"), "o_orderkey")
+    both.collect()
+    assert len(layouts.scans_of(both)) == 2  # also behind the stages of a join
+
+
 def test_partition_filter_prunes(tables):
     plan = plan_of(tables[0]["partitioned"].filter("o_orderstatus = 'F'").agg(F.sum("o_totalprice")))
     assert "PartitionFilters: [isnotnull(o_orderstatus" in plan
@@ -157,9 +170,10 @@ def test_bench_helpers(spark):
     (timing,) = layouts.timed({"range": lambda: spark.range(10)}, repeats=1)
     assert timing[0] == "range" and timing[2] > 0
     kinds = phases.time_phases(
-        lambda: spark.range(10), {"filter": lambda d: d.filter("id > 3"), "count": lambda d: d.count()}
+        spark, lambda: spark.range(10), {"filter": lambda d: d.filter("id > 3"), "count": lambda d: d.count()}
     ).collect()
     assert [r["kind"] for r in kinds] == ["transformation", "transformation", "action"]
+    assert [r["n_jobs"] > 0 for r in kinds] == [False, False, True] and kinds[2]["n_tasks"] > 0 and kinds[2]["n_rows"] == 6
     cost = phases.column_cost(spark.range(100), {"c": F.col("id") * 2}).first()
     assert cost["n_rows"] == 100 and cost["microseconds_per_row"] > 0
 
