@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.functions.hashing import key_hash
-from tabkit.operators.splits import first_by_hash, hash_places
+from tabkit.operators.splits import first_by_hash, rows_at
 from tabkit.session import small_side
 
 BLANKS = ("", "   ")
@@ -83,24 +83,21 @@ def append_copies_exact(
 ) -> DataFrame:
     """Exactly ``n`` more rows, drawn with replacement (unique keys).
 
-    Draw i takes the row at a pseudo-random place of the hash order.  Only the
-    keys are put in order; the drawn ones, broadcast if few, then pick their
-    rows, so the table itself is not shuffled.
+    Draw i takes the row at a pseudo-random place of the hash order.  Only the rows of the
+    hash slices that hold a drawn place are moved; the drawn keys, broadcast if few, then
+    pick their rows, so the table itself is not shuffled.
     """
     spark = df.sparkSession
-    places = hash_places(df, keys, salt)
     draw = F.conv(F.substring(key_hash(["id"], f"{salt}#"), 1, 12), 16, 10).cast("long")
     size = df.count()
-    if not size:
+    if not size or not n:
         return df
     drawn = (
         spark.range(n)
         .groupBy((draw % size).alias("place"))
         .agg(F.count(F.lit(1)).cast("int").alias("_times"))
     )
-    chosen = small_side(
-        places.join(drawn, "place").select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_times")
-    )
+    chosen = small_side(rows_at(df, keys, drawn, size, salt).select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_times"))
     # a NULL key part is a key like any other
     same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     copies = (

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabkit.functions.hashing import fold_of, hex_cut, key_hash
-from tabkit.session import small_side
+from tabkit.session import materialize, small_side
 
 # Hash prefix that cuts a stratum into 16**4 slices.  Only slices that hold a
 # boundary are looked at row by row: about 1/65,000 of the stratum each.
@@ -180,27 +180,62 @@ def first_by_hash(
     }
 
 
-def hash_places(
-    df: DataFrame, keys: Sequence[str], salt: str = "", slice_digits: int | None = None
+# Rows that a slice should hold, and how many slices there should be for each place asked for.
+ROWS_PER_SLICE, SLICES_PER_PLACE = 4096, 16
+# Leading hex digits whose counts are put in order by one task: 256 rows.
+COARSE_DIGITS = 2
+# Slices that may be broadcast to find their rows.
+FEW_SLICES = 100_000
+
+
+def slice_digits(size: int, places: int) -> int:
+    """Hex digits that make small slices, most of which hold none of the places."""
+    wanted = max(size / ROWS_PER_SLICE, min(size, SLICES_PER_PLACE * places), 1)
+    digits = COARSE_DIGITS
+    while 16**digits < wanted and digits < 12:
+        digits += 1
+    return digits
+
+
+def rows_at(
+    df: DataFrame, keys: Sequence[str], places: DataFrame, size: int, salt: str = "", digits: int | None = None
 ) -> DataFrame:
-    """(keys, place): each row's place 0.. in the order of its salted hash.
+    """(keys and the columns of ``places``): the rows at the places 0.. of the order of the salted hash.
 
-    A global order without one task sorting everything: the hash slices are
-    even whatever the data, rows are numbered inside their slice, and the rows
-    of earlier slices are added from a table of at most 16**4 counts.
+    ``places`` has a column ``place``, each value once; ``size`` is the number of rows.
+    Counts per hash slice say which slices hold a place, and where in it; only the rows of
+    those slices are moved and numbered, the others are read and passed over.
     """
-    digits = slice_digits or SLICE_DIGITS
-    hashed = df.select(*keys, key_hash(keys, salt).alias("_h")).withColumn(
-        "_slice", F.substring("_h", 1, digits)
-    )
+    digits = digits or slice_digits(size, places.count())
+    hashed = df.select(*keys, key_hash(keys, salt).alias("_h")).withColumn("_slice", F.substring("_h", 1, digits))
     counts = hashed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    everything = Window.partitionBy(F.lit(1)).orderBy("_slice")
-    before = counts.select("_slice", (F.sum("_n").over(everything) - F.col("_n")).alias("_before"))
-    in_slice = Window.partitionBy("_slice").orderBy("_h", *keys)
-    numbered = hashed.withColumn("_i", F.row_number().over(in_slice) - 1)
-    return numbered.join(before, "_slice").select(
-        *keys, (F.col("_i") + F.col("_before")).alias("place")
+    counts = materialize(counts.withColumn("_coarse", F.substring("_slice", 1, COARSE_DIGITS)), "slices")
+    # rows ahead of a slice: those of earlier coarse slices, and of earlier ones in its own
+    coarse = counts.groupBy("_coarse").agg(F.sum("_n").alias("_m"))
+    ahead = coarse.select("_coarse", (F.sum("_m").over(Window.partitionBy(F.lit(1)).orderBy("_coarse")) - F.col("_m")).alias("_ahead"))
+    inside = Window.partitionBy("_coarse").orderBy("_slice")
+    placed = counts.withColumn("_inside", F.sum("_n").over(inside) - F.col("_n")).join(F.broadcast(ahead), "_coarse")
+    placed = placed.select("_slice", "_n", (F.col("_ahead") + F.col("_inside")).alias("_before"))
+    # slices and places meet in steps of the order, as long as a slice on average
+    width = max(1, size // 16**digits)
+    step = lambda c: F.floor(c / width)
+    spans = F.sequence(step(F.col("_before")), step(F.col("_before") + F.col("_n") - 1))
+    within = (F.col("place") >= F.col("_before")) & (F.col("place") < F.col("_before") + F.col("_n"))
+    found = (
+        places.withColumn("_step", step(F.col("place")))
+        .join(placed.withColumn("_step", F.explode(spans)), "_step")
+        .filter(within)
+        .withColumn("_i", F.col("place") - F.col("_before"))
+        .drop("_step", "_n", "_before")
+    )
+    found = materialize(found, "places")
+    wanted = found.select("_slice").distinct()
+    if wanted.count() <= FEW_SLICES:
+        wanted = F.broadcast(wanted)
+    numbered = hashed.join(wanted, "_slice", "left_semi").withColumn(
+        "_i", F.row_number().over(Window.partitionBy("_slice").orderBy("_h", *keys)) - 1
     )
+    return numbered.join(found, ["_slice", "_i"]).drop("_slice", "_i", "_h")
 
 
 def split_sizes(df: DataFrame, columns: Sequence[str], *extra: Column) -> DataFrame:

@@ -34,79 +34,18 @@ def test_split_does_not_depend_on_layout(spark, exact):
     assert len(seen[0]) == 1000 and set(seen[0].values()) == set(WEIGHTS)
 
 
-@pytest.mark.parametrize("digits", [1, 3])
-def test_exact_counts(spark, monkeypatch, digits):
-    monkeypatch.setattr(splits, "SLICE_DIGITS", digits)
-    rows = (
-        splits.stratified_split(labelled(spark), "label", ["id"], WEIGHTS)
-        .groupBy("label")
-        .pivot("split", list(WEIGHTS))
-        .count()
-        .na.fill(0)
-        .collect()
-    )
-    assert len(rows) == 8
-    for r in rows:
-        n = r["train"] + r["val"] + r["test"]
-        assert r["train"] == n * 70 // 100
-        assert r["train"] + r["val"] == n * 85 // 100
-
-
-def test_exact_split_matches_ranking(spark):
-    """The cut points place rows as a full ranking per class would."""
-    df = labelled(spark, 2000).filter("label IS NOT NULL")
-    got = assigned(splits.stratified_split(df, "label", ["id"], WEIGHTS, salt="x"))
+@pytest.mark.parametrize("digits", [2, 3, None])
+def test_rows_at_places_of_the_hash_order(spark, digits):
     import hashlib
 
-    by_label = {}
-    for r in df.collect():
-        h = hashlib.md5(f"x{r['id']}".encode()).hexdigest()
-        by_label.setdefault(r["label"], []).append((h, r["id"]))
-    for members in by_label.values():
-        members.sort()
-        n = len(members)
-        for place, (_, key) in enumerate(members, 1):
-            want = "train" if place <= n * 70 // 100 else "val" if place <= n * 85 // 100 else "test"
-            assert got[key] == want
-
-
-def test_copies_of_a_key_stay_together(spark):
-    df = spark.range(600).selectExpr("id % 40 as id", "'a' as label").union(
-        spark.range(300).selectExpr("cast(1 as long) as id", "'a' as label")
-    )
-    split = splits.stratified_split(df, "label", ["id"], WEIGHTS)
-    per_key = split.groupBy("id").agg(F.countDistinct("split").alias("n")).agg(F.max("n")).first()
-    assert per_key[0] == 1 and split.count() == 900
-
-
-def test_random_split_shares(spark):
-    df = splits.random_split(spark.range(20000), ["id"], {"train": 8, "test": 2}, "s")
-    counts = {r["split"]: r["n_rows"] for r in splits.split_sizes(df, ["split"]).collect()}
-    assert abs(counts["train"] / 20000 - 0.8) < 0.02 and sum(counts.values()) == 20000
+    order = sorted(range(500), key=lambda i: hashlib.md5(f"s{i}".encode()).hexdigest())
+    asked = [0, 1, 7, 250, 251, 498, 499]
+    places = spark.createDataFrame([(p, f"at {p}") for p in asked], "place long, name string")
+    rows = splits.rows_at(spark.range(500).repartition(5), ["id"], places, 500, "s", digits).collect()
+    assert {(r["id"], r["place"], r["name"]) for r in rows} == {(order[p], p, f"at {p}") for p in asked}
 
 
-def test_folds_cover_everything(spark):
-    df = splits.with_fold(spark.range(5000), ["id"], 5)
-    rows = splits.split_sizes(df, ["fold"]).collect()
-    assert [r["fold"] for r in rows] == [0, 1, 2, 3, 4] and sum(r["n_rows"] for r in rows) == 5000
-
-
-def test_large_cut_table_without_broadcast(spark, monkeypatch):
-    """More classes than may be broadcast give the same split by a shuffle join."""
-    df = labelled(spark, 800)
-    expected = assigned(splits.stratified_split(df, "label", ["id"], WEIGHTS))
-    from tabkit import session
-
-    plain = lambda d, max_rows=2: session.small_side(d, 2)
-    monkeypatch.setattr(splits, "small_side", plain)
-    assert assigned(splits.stratified_split(df, "label", ["id"], WEIGHTS)) == expected
-
-
-@pytest.mark.parametrize("digits", [1, 3])
-def test_hash_places_are_a_permutation(spark, digits):
-    import hashlib
-
-    places = splits.hash_places(spark.range(500).repartition(5), ["id"], "s", digits).collect()
-    got = [r["id"] for r in sorted(places, key=lambda r: r["place"])]
-    assert [r["place"] for r in sorted(places, key=lambda r: r["place"])] == list(range(500))
-    assert got == sorted(range(500), key=lambda i: hashlib.md5(f"s{i}".encode()).hexdigest())
+def test_slices_follow_the_number_of_rows_and_places():
+    assert splits.slice_digits(100, 1) == 2 and splits.slice_digits(10**6, 5000) == 5
+    assert 16 ** splits.slice_digits(10**12, 1000) * splits.ROWS_PER_SLICE >= 10**12
+    assert splits.slice_digits(10**13, 10**13) <= 12
