@@ -546,6 +546,32 @@ def jaccard_components(
     )
 
 
-@query("op4_jaccard_join")
+def _sql() -> str:
+    """All pairs that share a shingle, compared; groups by reachability."""
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = f"regexp_extract_all({lowered}, '[^\\x20\\x09-\\x0D]+')"
+    following = "".join(f" || ' ' || lead(word, {k}) OVER o" for k in range(1, WORDS))
+    return f"""
+    WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+    t AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+    g AS (SELECT r, word{following} AS x FROM t WINDOW o AS (PARTITION BY r ORDER BY i)),
+    s AS (SELECT DISTINCT r, x FROM g WHERE x IS NOT NULL UNION ALL
+      SELECT r, array_to_string(w, ' ') FROM w WHERE len(w) BETWEEN 1 AND {WORDS - 1}),
+    sets AS (SELECT r, count(*) AS n, md5(string_agg(x, '|' ORDER BY x)) AS k FROM s GROUP BY r),
+    one AS (SELECT min(r) AS c, k, any_value(n) AS n FROM sets GROUP BY k),
+    x AS (SELECT c, n, x FROM one JOIN s ON s.r = one.c),
+    p AS (SELECT a.c AS a, b.c AS b, a.n + b.n AS total, count(*) AS shared FROM x a JOIN x b ON a.x = b.x AND a.c < b.c
+      AND 100 * least(a.n, b.n) >= {SIMILARITY} * greatest(a.n, b.n) GROUP BY ALL),
+    l AS (SELECT a, b FROM p WHERE 100 * shared >= {SIMILARITY} * (total - shared)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    reach AS (SELECT c AS a, c AS b FROM one UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b),
+    owners AS (SELECT w.doc_id, coalesce(sets.n, 0) AS n, one.c FROM w LEFT JOIN sets ON sets.r = w.r LEFT JOIN one ON one.k = sets.k),
+    least AS (SELECT reach.a AS c, min(o.doc_id) AS d FROM reach JOIN owners o ON o.c = reach.b GROUP BY reach.a)
+    SELECT o.doc_id, o.n AS n_shingles, CASE WHEN o.doc_id IS NOT NULL THEN coalesce(d, o.doc_id) END AS component_id
+    FROM owners o LEFT JOIN least ON least.c = o.c
+    """
+
+
+@query("op4_jaccard_join", _sql())
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))

@@ -275,6 +275,21 @@ def near_duplicates(
     )
 
 
-@query("op9_near_vectors")
+def _sql() -> str:
+    """Every pair compared; groups by reachability."""
+    clean = "embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR isnan(v) OR isinf(v))) = 0"
+    return f"""
+    WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS v, len(embedding) AS d FROM embeddings WHERE {clean}),
+    u AS (SELECT vec_id, v, d, sqrt(list_dot_product(v, v)) AS size FROM v),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND a.d = b.d
+      WHERE a.size > 0 AND b.size > 0 AND list_dot_product(a.v, b.v) / (a.size * b.size) >= {SIMILARITY}),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+    c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+    SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+    """
+
+
+@query("op9_near_vectors", _sql())
 def op9_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "embeddings"))
