@@ -189,6 +189,23 @@ def metric_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "guarded_sources",
+    """SELECT s AS source, count(o_orderkey) AS n_rows, count(o_orderkey) > 0 AS accepted
+FROM (SELECT unnest(['F', 'O', 'P', 'X']) AS s) LEFT JOIN orders ON o_orderstatus = s GROUP BY s""",
+)
+def guarded_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources by status, the empty one refused before any work is done on it."""
+    told = []
+    for status in ("F", "O", "P", "X"):
+        source = table(spark, folder, "orders").filter(F.col("o_orderstatus") == status)
+        try:
+            told.append((status, readers.require_rows(source, status).count(), True))
+        except readers.EmptySourceError:
+            told.append((status, 0, False))
+    return readers.from_records(spark, told, "source string, n_rows long, accepted boolean")
+
+
 PAGE_LABEL = r"/([a-z]{2})/\d+"
 
 
