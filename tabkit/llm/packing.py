@@ -38,6 +38,10 @@ ROUNDS = 2
 GENERATIONS = 5
 POPULATION = 6
 ELITES = 3
+# Generations that every block goes through, also where its first packing has as few bins as
+# any can have, and how many packings and children it then has: bins are already as few as
+# can be, but children may fill them more unevenly, which leaves less to pack again.
+LEAST_GENERATIONS, FEW_PARENTS, FEW_CHILDREN = 1, 3, 2
 # A bin filled less than this goes to the pool that is packed again.
 POOL_FILL = 0.97
 # White-space chunks, and parts of them, that a task remembers the ids of; a full memory is
@@ -246,34 +250,57 @@ def mutate(lengths, packing, capacity: int, rng: np.random.Generator) -> np.ndar
     return place(lengths, rest, np.flatnonzero(loose), capacity)
 
 
+def next_fit(lengths: np.ndarray, order: np.ndarray, capacity: int) -> np.ndarray:
+    """A cheap packing: bins are closed as soon as the next item does not fit."""
+    sums, start, number = np.cumsum(lengths[order]), 0, 0
+    out = np.empty(len(lengths), np.int32)
+    while start < len(order):
+        before = sums[start - 1] if start else 0
+        stop = int(np.searchsorted(sums, before + capacity, "right"))
+        out[order[start:stop]] = number
+        start, number = stop, number + 1
+    return out
+
+
 def first_packings(lengths: np.ndarray, capacity: int, many: int, rng: np.random.Generator) -> list[np.ndarray]:
-    """Best fit of the pieces by falling length, and of orders disturbed more and more."""
+    """Best fit of the pieces by falling length, and packings of orders disturbed more and more.
+
+    Where best fit has reached the least number of bins, cheap packings do for the others.
+    """
     empty = np.full(len(lengths), -1, np.int64)
     found = [place(lengths, empty, np.arange(len(lengths)), capacity)]
-    for k in range(1, many):
-        if found[0].max() + 1 <= least_bins(lengths, capacity):
-            break
-        noise = rng.normal(1.0, 0.05 * k, len(lengths))
-        found.append(place(lengths, empty, np.argsort(-lengths * noise, kind="stable"), capacity))
+    reached = found[0].max() + 1 <= least_bins(lengths, capacity)
+    for k in range(1, FEW_PARENTS if reached else many):
+        order = np.argsort(-lengths * rng.normal(1.0, 0.05 * k, len(lengths)), kind="stable")
+        found.append(next_fit(lengths, order, capacity) if reached else place(lengths, empty, order, capacity))
     return found
 
 
 def evolve(
-    lengths: np.ndarray, population: list[np.ndarray], capacity: int, generations: int, rng: np.random.Generator
+    lengths: np.ndarray,
+    population: list[np.ndarray],
+    capacity: int,
+    generations: int,
+    rng: np.random.Generator,
+    least_generations: int = 0,
 ) -> list[np.ndarray]:
-    """The population after some generations, best first; ``lengths`` fall."""
+    """The population after some generations, best first; ``lengths`` fall.
+
+    Fewer bins are better, of as many bins the more unevenly filled ones.
+    """
     least = least_bins(lengths, capacity)
 
     def rank(packing):
         return (int(packing.max()) + 1, -fitness(lengths, packing, capacity))
 
     population = sorted(population, key=rank)
-    for _ in range(generations):
-        if population[0].max() + 1 <= least:
+    for generation in range(generations):
+        reached = population[0].max() + 1 <= least
+        if reached and generation >= least_generations:
             break
         children = []
-        for _ in range(POPULATION // 2):
-            a, b = rng.integers(0, len(population), 2)
+        for _ in range(FEW_CHILDREN if reached else POPULATION // 2):
+            a, b = rng.permutation(len(population))[:2] if len(population) > 1 else (0, 0)
             child = crossover(lengths, population[min(a, b)], population[max(a, b)], capacity, rng)
             children.append(mutate(lengths, child, capacity, rng))
         population = sorted(population + children, key=rank)[:POPULATION]
@@ -320,7 +347,7 @@ def settle(items: DataFrame, capacity: int, block_pieces: int, rounds: int) -> D
         for island in range(ISLANDS):
             rng = np.random.default_rng([block, island])
             population = first_packings(lengths, capacity, POPULATION, rng)
-            population = evolve(lengths, population, capacity, GENERATIONS, rng)
+            population = evolve(lengths, population, capacity, GENERATIONS, rng, LEAST_GENERATIONS)
             states.append(_state(block, island, rows, lengths, population))
             if states[-1]["bins"] <= least_bins(lengths, capacity):
                 break

@@ -204,3 +204,19 @@ def test_genetic_search_beats_best_fit_where_it_can():
     lengths = np.sort(np.array(lengths))[::-1].astype(np.int64)
     first = packing.first_packings(lengths, 2048, 6, rng)
     assert packing.evolve(lengths, first, 2048, 60, rng)[0].max() <= first[0].max()
+    # the case that best fit by falling length is known to pack worst
+    hard = np.repeat([510, 270, 260, 230], [12, 12, 12, 24]).astype(np.int64)
+    first = packing.first_packings(hard, 1000, packing.POPULATION, rng)
+    found = packing.evolve(hard, first, 1000, 60, rng)[0]
+    assert first[0].max() + 1 == 22 and found.max() + 1 < 22
+    assert (packing.fills(hard, found) <= 1000).all() and len(found) == len(hard)
+
+
+def test_crossover_builds_the_packing_also_where_best_fit_reaches_the_bound():
+    rng = np.random.default_rng(7)
+    lengths = np.sort(rng.integers(20, 900, 1500))[::-1].astype(np.int64)
+    first = packing.first_packings(lengths, 2048, packing.POPULATION, rng)
+    assert first[0].max() + 1 == packing.least_bins(lengths, 2048) and len(first) == packing.FEW_PARENTS
+    found = packing.evolve(lengths, first, 2048, packing.GENERATIONS, rng, packing.LEAST_GENERATIONS)[0]
+    assert found.max() == first[0].max() and (packing.fills(lengths, found) <= 2048).all()
+    assert packing.fitness(lengths, found, 2048) >= packing.fitness(lengths, first[0], 2048)
