@@ -3,8 +3,9 @@
 Every round each node points its larger neighbours to the smallest node it knows, then
 its smaller ones.  Rounds grow with the logarithm of the longest path.  A hub is only
 ever aggregated (combined before the shuffle) and joined with the written least
-neighbours, one row a node, a join that adaptive execution splits where a node has very
-many links.  Nothing is gathered, and no link reaches the driver.
+neighbours, one row a node: broadcast where they are few by count, else by a join that
+adaptive execution splits where a node has very many links.  Nothing is gathered, and no
+link reaches the driver.
 """
 
 from __future__ import annotations
@@ -15,11 +16,16 @@ from pyspark.sql import functions as F
 from tabkit.session import materialize
 
 
+# Nodes whose least neighbours (16 bytes each) may be broadcast.
+FEW_NODES = 500_000
+
+
 def _least(edges: DataFrame) -> DataFrame:
     """The least neighbour of every node, written: joined as it comes from its aggregate, it
     would share the links' partitioning, and a hub's links could not be split."""
     least = edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return materialize(least, "least")
+    least = materialize(least, "least")
+    return F.broadcast(least) if least.count() <= FEW_NODES else least
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

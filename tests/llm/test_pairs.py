@@ -155,12 +155,13 @@ def test_rows_without_id_are_in_no_component(spark):
     assert got == [(-1, -1)] * 4 + [(7, 7), (9, 7)]
 
 
-def test_links_of_a_hub_are_split(spark):
+def test_links_of_a_hub_are_split(spark, monkeypatch):
     """With thresholds to match, adaptive execution splits the join of a node's many links."""
     from conftest import plan_of
 
     from tabkit.llm import graph
 
+    monkeypatch.setattr(graph, "FEW_NODES", 0)
     small = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.autoBroadcastJoinThreshold": "-1",
