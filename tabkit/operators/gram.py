@@ -16,7 +16,8 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tabkit.sources.readers import from_records
 
 
 @dataclass(frozen=True)
@@ -112,11 +113,6 @@ def without(parts: Mapping, left_out) -> Gram:
     return total(g for k, g in parts.items() if k != left_out)
 
 
-def numeric_columns(df: DataFrame, leave_out: Sequence[str]) -> list[str]:
-    """The numeric columns of a table by its schema."""
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in leave_out]
-
-
 def dummies(df: DataFrame, column: str) -> tuple[DataFrame, list[str]]:
     """A 0/1 column for each value of a category of few values but the rarest, and their names.
 
@@ -145,3 +141,15 @@ def compare_feature_sets(
         rows.append((name, len(chosen) + len(always), chosen, test.r2(line)))
     base = rows[0][3]
     return [(*r, (base - r[3]) / base * 100 if base else None) for r in rows]
+
+
+def feature_sets_table(
+    df: DataFrame, columns: Sequence[str], target: str, split: str, k: int, always: Sequence[str] = ()
+) -> DataFrame:
+    """``compare_feature_sets`` as a table: feature_set, n_features, features, r2, r2_loss_pct (rounded)."""
+    found = compare_feature_sets(df, columns, target, split, k, always)
+    rows = [
+        (name, n, ",".join(chosen), None if r2 is None else round(r2, 6), None if loss is None else round(loss, 4) + 0.0)
+        for name, n, chosen, r2, loss in found
+    ]
+    return from_records(df.sparkSession, rows, "feature_set string, n_features int, features string, r2 double, r2_loss_pct double")

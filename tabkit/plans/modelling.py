@@ -11,6 +11,7 @@ from tabkit.operators import closed_form, families, features, gram, metrics, mod
 from tabkit.operators import relational as rel
 from tabkit.plans.analysis import CHARGE_SQL, LINE_KEY, charged_lines
 from tabkit.plans.registry import query
+from tabkit.schemas import numeric_columns
 from tabkit.session import work_path
 from tabkit.sources import writers
 from tabkit.sources.readers import from_records, table
@@ -213,16 +214,14 @@ def feature_selection_compare(spark: SparkSession, folder: str) -> DataFrame:
     Both sets hold the categories' dummies.  One pass gives the moments; times are the bench's.
     """
     lines = table(spark, folder, "lineitem")
-    numeric = gram.numeric_columns(lines, leave_out=LINE_KEY)
+    numeric = numeric_columns(lines.schema, LINE_KEY)
     lines = lines.withColumn("charge", F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
     added = []
     for category in ("l_returnflag", "l_linestatus"):
         lines, names = gram.dummies(lines, category)
         added += names
     split = splits.random_split(lines, LINE_KEY, {"train": 0.8, "test": 0.2}, "fs")
-    found = gram.compare_feature_sets(split, numeric, "charge", "split", KEPT, added)
-    rows = [(name, n, ",".join(chosen), round(r2, 6), round(loss, 4) + 0.0) for name, n, chosen, r2, loss in found]
-    return from_records(spark, rows, "feature_set string, n_features int, features string, r2 double, r2_loss_pct double")
+    return gram.feature_sets_table(split, numeric, "charge", "split", KEPT, added)
 
 
 def _cuts_sql(rows: str, place: str) -> str:

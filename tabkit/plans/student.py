@@ -15,7 +15,7 @@ from tabkit.functions.student_rules import (
     GAMING_OTHERWISE,
     GAMING_SCORE,
 )
-from tabkit.operators import cleaning, features, models
+from tabkit.operators import cleaning, gram, splits
 from tabkit.operators import relational as rel
 from tabkit.schemas import numeric_columns
 
@@ -67,8 +67,7 @@ def clean_students(students: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def compare_features(students: DataFrame, k: int = 8) -> DataFrame:
     """All numeric columns against the ``k`` most correlated with the target."""
+    coded, dummies = gram.dummies(students, "gender")
+    split = splits.random_split(coded, [KEY], {"train": 0.8, "test": 0.2}, "fs")
     every = numeric_columns(students.schema, (KEY, TARGET))
-    best = features.top_correlated(students, every, TARGET, k).collect()
-    return models.compare_feature_sets(
-        students, {"all": every, "top": [r["feature"] for r in best]}, "gender", TARGET, [KEY]
-    )
+    return gram.feature_sets_table(split, every, TARGET, "split", k, dummies)

@@ -95,7 +95,6 @@ def test_moments_add_up_and_missing_values_take_no_part(spark):
     assert parts[2].squared_error(line) == pytest.approx(error)
     same = gram.grams(df.withColumn("c", F.col("a")), ["a", "c"], "y")[None].fit(["a", "c"])
     assert same.weights[0] == pytest.approx(same.weights[1])
-    assert gram.numeric_columns(df.withColumn("t", F.lit("x")), ["f"]) == ["a", "b", "y"]
 
 
 @pytest.fixture(scope="module")
@@ -362,15 +361,15 @@ def test_sums_are_the_same_direct_and_shuffled(spark, monkeypatch):
 def test_training_takes_the_steps_of_a_plain_loop(spark):
     """Every epoch's figures again, by plain numpy over all rows; the stop and the best weights too."""
     df = clouds(spark, 240)
-    run = training.train(df, "v", "label", "held", units=3, rate=0.05, patience=6, plateau=2, keys=["id"], parts=3)
+    run = training.train(df, "v", "label", "held", units=3, rate=0.6, patience=12, plateau=1, keys=["id"], parts=3)
     rows = [r for r in df.collect() if r["label"] is not None and r["v"] and None not in r["v"] and not np.isnan(r["v"]).any()]
     x = np.column_stack([np.ones(len(rows)), [r["v"] for r in rows]])
     c, held = np.array([r["label"] for r in rows]), np.array([r["held"] for r in rows])
     w = np.where(held, 0.0, (~held).sum() / (3 * np.bincount(c[~held]))[c])
     wanted = np.eye(3)[c] * (1 - training.SMOOTHING) + training.SMOOTHING / 3
     net = training.Network("v", (0, 1, 2), training.first_weights("inner", 3, 5, 0.5), training.first_weights("outer", 3, 4, 1 / np.sqrt(3)))
-    m, v, rate = [0, 0], [0, 0], 0.05
-    plateau, stop = folds.Plateau(0.05, patience=2), folds.Patience(6)
+    m, v, rate = [0, 0], [0, 0], 0.6
+    plateau, stop = folds.Plateau(0.6, patience=1), folds.Patience(12)
     n = w.sum()
     for epoch, told_rate, loss, slope, held_loss, hits in run.history:
         h, p = net.forward(x)
@@ -392,7 +391,7 @@ def test_training_takes_the_steps_of_a_plain_loop(spark):
         if epoch == run.best_epoch:
             assert np.allclose(net.inner, run.network.inner) and np.allclose(net.outer, run.network.outer)
     assert not on and run.stopped and run.best_epoch == stop.best_step
-    assert min(r[1] for r in run.history) < 0.05  # the rate was lowered on the way
+    assert min(r[1] for r in run.history) < 0.6  # the rate was lowered on the way
     scored = {r["id"]: r["probs"] for r in run.network.transform(df).collect()}
     assert scored[240] is None and scored[241] is None and scored[242] is None
     best = run.network.forward(x)[1]

@@ -72,5 +72,5 @@ def test_dirty_csv_is_cleaned(spark, students):
 
 def test_feature_choice(students):
     rows = student.compare_features(students).collect()
-    assert [(r["feature_set"], r["n_features"]) for r in rows] == [("all", 15), ("top", 8)]
+    assert [(r["feature_set"], r["n_features"]) for r in rows] == [("all", 17), ("best 8", 10)]
     assert rows[0]["r2"] > 0.999 and rows[1]["r2"] > 0.999
