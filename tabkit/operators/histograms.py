@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from tabkit.functions.folds import Patience
 from tabkit.functions.hashing import hex_cut
+from tabkit.operators import sums
 from tabkit.session import materialize, reach_workers, spread
 
 # Bins of a column: as many as fit one byte, and as many as suffice for most columns.
@@ -440,20 +441,6 @@ def _explained(n: float, s: float, ss: float, error: float) -> float:
     return 1.0 - error / spread_of if spread_of > 0 else 0.0
 
 
-def _totals(table: DataFrame, needed: Sequence[str], count: int, figures) -> np.ndarray:
-    """Sums of ``count`` figures a batch over the whole table: one row a task, added by Spark."""
-
-    def run(batches):
-        total = np.zeros(count)
-        for batch in batches:
-            total += figures(batch)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["v"])
-
-    rows = table.select(*needed).mapInArrow(run, "v array<double>")
-    sums = rows.agg(*[F.sum(F.col("v")[i]) for i in range(count)]).first()
-    return np.array([v or 0.0 for v in sums])
-
-
 def forests(
     table: DataFrame,
     bins: Bins,
@@ -531,11 +518,12 @@ def forests(
                     out += [len(t), t.sum(), (t * t).sum(), (e * e).sum()]
                 return np.array(out, float)
 
-            sums = _totals(rows, ["_y", *states], 4 * len(alive), figures)
+            found = sums.total(rows, ["_y", *states], lambda batch, f=figures: {0: f(batch)}, 4 * len(alive))
+            figures_of = found.get(0, np.zeros(4 * len(alive)))
             before.unpersist()
             for i, s in enumerate(alive):
                 grown[s] += [new[s * step + j] for j in range(step) if s * step + j in new]
-                records.append((s, size, _explained(*sums[4 * i : 4 * i + 4])))
+                records.append((s, size, float(_explained(*figures_of[4 * i : 4 * i + 4]))))
             alive = [s for i, s in enumerate(alive) if rules[s].goes_on(size, records[i - len(alive)][2])]
     finally:
         rows.unpersist()
@@ -567,9 +555,9 @@ def boosted(
     """
     names = [f"_x{i}" for i in range(len(bins.columns))]
     used = sorted({c for pair in slots for c in pair if c})
-    sums = [f"_s{s}" for s in range(len(slots))]
+    columns_of_sums = [f"_s{s}" for s in range(len(slots))]
     ids = range(len(slots))
-    rows = _of_any(table, used).select(*names, "_y", *used, *[F.lit(0.0).alias(c) for c in sums])
+    rows = _of_any(table, used).select(*names, "_y", *used, *[F.lit(0.0).alias(c) for c in columns_of_sums])
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     models: list[list[Tree]] = [[] for _ in ids]
     rules = {s: Patience(patience, GAIN) for s in ids}
@@ -602,13 +590,13 @@ def boosted(
                     if k == 1:
                         spreads[s] = ee - e * e / n if n else 0.0
                     elif k > 1:
-                        loss = ee / spreads[s] if spreads[s] else 0.0
+                        loss = float(ee / spreads[s]) if spreads[s] else 0.0
                         records.append((s, k - 1, loss))
                         if not rules[s].goes_on(k - 1, 1.0 - loss):
                             kept.discard(s)
                 return kept if k <= rounds else set()
 
-            new = grow(rows, bins, ["_y", *used, *sums], view, alive, depth if k else 0, least, judge=judge)
+            new = grow(rows, bins, ["_y", *used, *columns_of_sums], view, alive, depth if k else 0, least, judge=judge)
             if not k and len(new) < len(alive):
                 raise ValueError("a slot has no rows to learn from")
             alive = sorted(new)
@@ -618,7 +606,7 @@ def boosted(
             if not alive:
                 break
             if len(recent[alive[0]]) >= CUT_EVERY:
-                rows = _settled(rows, names, used, sums, alive, recent, current)
+                rows = _settled(rows, names, used, columns_of_sums, alive, recent, current)
                 recent = {s: [] for s in ids}
     finally:
         rows.unpersist()
@@ -628,14 +616,14 @@ def boosted(
     ], records
 
 
-def _settled(rows, names, used, sums, alive, recent, current) -> DataFrame:
+def _settled(rows, names, used, columns_of_sums, alive, recent, current) -> DataFrame:
     """The rows with the recent trees in their sums, written."""
     frozen = {s: list(recent[s]) for s in alive}
 
     def run(batches, alive=tuple(alive)):
         for batch in batches:
             x = _bytes(batch, names)
-            columns = {c: batch.column(c) for c in [*names, "_y", *used, *sums]}
+            columns = {c: batch.column(c) for c in [*names, "_y", *used, *columns_of_sums]}
             for s in alive:
                 columns[f"_s{s}"] = pa.array(current(batch, x, s, frozen))
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))

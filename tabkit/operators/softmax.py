@@ -28,6 +28,9 @@ from tabkit.session import spread
 TOLERANCE, RIDGE = 1e-9, 1e-3
 # A ceiling for safety only: Newton's method takes some ten steps.
 MOST_STEPS = 200
+# Classes times length of the vectors: the curvature has the square of that many entries, and
+# the driver solves with it.  Larger models are for ``training.train``.
+MOST_WEIGHTS = 5_000
 
 
 @dataclass(frozen=True)
@@ -78,9 +81,12 @@ def usable(column: str) -> Column:
 
 
 def learnable(
-    df: DataFrame, column: str, label: str, weighted: bool, keys: Sequence[str], parts: int | None
+    df: DataFrame, column: str, label: str, weighted: bool, keys: Sequence[str], parts: int | None, most: int | None = None
 ) -> tuple[DataFrame, list, int]:
-    """(rows with ``_x``, class number ``_c`` and weight ``_w``, the classes, the vectors' length)."""
+    """(rows with ``_x``, class number ``_c`` and weight ``_w``, the classes, the vectors' length).
+
+    ``most``: weights that a model of these classes and vectors may have.
+    """
     rows = df.filter(F.col(label).isNotNull() & usable(column))
     # one row a class
     sizes = [f(F.size(column)).alias(n) for f, n in ((F.count, "_n"), (F.min, "_low"), (F.max, "_high"))]
@@ -90,13 +96,15 @@ def learnable(
     width = {r["_low"] for r in told} | {r["_high"] for r in told}
     if len(width) > 1:
         raise ValueError(f"vectors of different lengths: {sorted(width)}")
+    weights = len(told) * (max(width) + 1)
+    if most is not None and weights > most:
+        raise ValueError(f"{len(told)} classes of {max(width)} values are {weights} weights; Newton steps are for {most} at most")
     classes = sorted(r["_label"] for r in told)
     n = sum(r["_n"] for r in told)
-    weight, number = F.lit(0.0), F.lit(0)
-    for r in told:
-        mine = F.col(label) == F.lit(r["_label"])
-        weight = F.when(mine, F.lit(n / (len(told) * r["_n"]) if weighted else 1.0)).otherwise(weight)
-        number = F.when(mine, F.lit(classes.index(r["_label"]))).otherwise(number)
+    rows_of = {r["_label"]: r["_n"] for r in told}
+    weights = [n / (len(told) * rows_of[c]) if weighted else 1.0 for c in classes]
+    number = (F.array_position(F.lit(classes), F.col(label)) - 1).cast("int")
+    weight = F.get(F.lit(weights), number)
     out = spread(rows, keys, parts).select(F.col(column).cast("array<double>").alias("_x"), number.alias("_c"), weight.alias("_w"))
     return out.persist(StorageLevel.MEMORY_AND_DISK), classes, width.pop()
 
@@ -123,7 +131,7 @@ def fit(
     parts: int | None = None,
 ) -> Softmax:
     """The softmax of least weighted log loss (a mean over the rows) plus ``ridge`` / 2 times the squared weights."""
-    rows, classes, width = learnable(df, column, label, weighted, keys, parts)
+    rows, classes, width = learnable(df, column, label, weighted, keys, parts, MOST_WEIGHTS)
     k, d = len(classes), width + 1
     penalty = np.full((k, d), ridge)
     penalty[:, 0] = 0.0

@@ -103,7 +103,7 @@ def train(
     learn = df.filter(~F.col(watched))
     known, classes, width = softmax.learnable(learn, column, label, weighted, keys, parts)
     looked_at = df.filter(F.col(watched) & F.col(label).isin(classes) & softmax.usable(column) & (F.size(column) == width))
-    number = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
+    number = F.array_position(F.lit(classes), F.col(label)) - 1
     both = known.withColumn("_v", F.lit(False)).unionByName(
         looked_at.select(F.col(column).cast("array<double>").alias("_x"), number.cast("int").alias("_c"), F.lit(1.0).alias("_w"), F.lit(True).alias("_v"))
     ).persist(StorageLevel.MEMORY_AND_DISK)

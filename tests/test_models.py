@@ -341,6 +341,8 @@ def test_softmax_reaches_the_optimum(spark):
     assert apart.converged
     with pytest.raises(ValueError):
         softmax.fit(df.limit(0), "v", "label")
+    with pytest.raises(ValueError, match="weights"):
+        softmax.fit(spark.range(3000).select(F.array(F.lit(1.0)).alias("v"), F.col("id").alias("label")), "v", "label")
     with pytest.raises(ValueError):
         softmax.fit(df.unionByName(df.limit(1).withColumn("v", F.array(F.lit(1.0)))), "v", "label")
 
