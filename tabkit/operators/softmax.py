@@ -13,6 +13,7 @@ get NULL probabilities.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -59,10 +60,13 @@ class Softmax:
         return df.withColumn(out, F.when(usable(self.column), arrays.softmax(self.scores())))
 
     def save(self, spark: SparkSession, path: str) -> str:
-        rows = [(i, float(c), row.tolist()) for i, (c, row) in enumerate(zip(self.classes, self.weights))]
-        table = spark.createDataFrame(rows, "i int, class double, weights array<double>")
-        told = F.struct(F.lit(self.column).alias("column"), F.lit(self.converged).alias("converged"), F.lit(self.steps).alias("steps"),
-                        F.lit(self.loss).alias("loss"), F.lit(self.steepest).alias("steepest"))
+        # classes may be numbers or text
+        rows = [(i, json.dumps(c), row.tolist()) for i, (c, row) in enumerate(zip(self.classes, self.weights))]
+        table = spark.createDataFrame(rows, "i int, class string, weights array<double>")
+        told = F.struct(
+            F.lit(self.column).alias("column"), F.lit(self.converged).alias("converged"), F.lit(self.steps).alias("steps"),
+            F.lit(self.loss).alias("loss"), F.lit(self.steepest).alias("steepest"),
+        )
         table.withColumn("told", told).coalesce(1).write.mode("overwrite").parquet(f"{path}/softmax")
         return path
 
@@ -70,7 +74,7 @@ class Softmax:
 def load(spark: SparkSession, path: str) -> Softmax:
     rows = sorted(spark.read.parquet(f"{path}/softmax").collect(), key=lambda r: r["i"])
     told = rows[0]["told"]
-    classes = tuple(int(r["class"]) if r["class"].is_integer() else r["class"] for r in rows)
+    classes = tuple(json.loads(r["class"]) for r in rows)
     return Softmax(told["column"], classes, np.array([r["weights"] for r in rows]), told["converged"], told["steps"], told["loss"], told["steepest"])
 
 

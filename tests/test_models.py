@@ -243,7 +243,7 @@ def test_every_kind_of_model_is_stored(spark, parts, binned, kind):
         "boosted": lambda: histograms.boosted(table, bins, [("_train", "_held_out")], rounds=3)[0][0],
         "linear": lambda: LinearRegression(featuresCol="features", labelCol="y").fit(train),
         "line": lambda: families.LinearModel(gram.grams(train, COLUMNS, "y")[None].fit(COLUMNS)),
-        "softmax": lambda: softmax.fit(train.withColumn("v", F.array(*COLUMNS)).withColumn("n", (F.col("id") % 3).cast("int")), "v", "n"),
+        "softmax": lambda: softmax.fit(train.withColumn("v", F.array(*COLUMNS)).withColumn("n", F.concat(F.lit("c"), F.col("id") % 3)), "v", "n"),
     }[kind]()
     path = writers.model(fitted, session.work_path(spark, "models"), kind)
     again, out = models.load(path), "probs" if kind == "softmax" else "prediction"
@@ -251,6 +251,9 @@ def test_every_kind_of_model_is_stored(spark, parts, binned, kind):
     before = {r["id"]: r[out] for r in fitted.transform(test).collect()}
     after = {r["id"]: r[out] for r in again.transform(test).collect()}
     assert before == after and len(before) > 200
+    if kind == "softmax":
+        assert (again.weights == fitted.weights).all()
+        assert all(getattr(again, f) == getattr(fitted, f) for f in ("column", "classes", "converged", "steps", "loss", "steepest"))
     if kind in ("forest", "boosted"):
         assert again.importances() == fitted.importances()
         rows = test.select("id", F.lit(None).cast("double").alias("a"), F.lit(float("nan")).alias("b"), "c")
