@@ -278,45 +278,57 @@ def scan(
     )
 
 
-def _sql() -> str:
-    """The same scan in SQL, line by line."""
-    values = []
-    for name, body in sorted(TEMPLATES.items()):
-        pairs = bigrams_of(body)
-        low, high = bounds(len(pairs), THRESHOLD)
-        listed = ", ".join("'" + p.replace("'", "''") + "'" for p in pairs)
-        values.append(f"('{name}', {low}, {high}, [{listed}])")
+def _sql(templates: list[tuple[str, str]] | None = None) -> str:
+    """The same scan in SQL: every window of every whole text against every template."""
+    values, pairs_of = [], []
+    for t, (name, body) in enumerate(templates or [*sorted(TEMPLATES.items()), *FULL_TEXTS]):
+        counts = Counter(bigrams_of(body))
+        low, high = bounds(counts.total(), THRESHOLD)
+        values.append(f"({t}, '{name}', {counts.total()}, {low}, {high})")
+        pairs_of += [f"({t}, '{pair}', {many})" for pair, many in counts.items()]
     return rf"""
-    WITH templates(license, low, high, pairs) AS (VALUES {", ".join(values)}),
-    lines AS (
-      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents
-    ),
-    words AS (
-      SELECT doc_id, row_number() OVER () AS place,
-             list_filter(string_split(regexp_replace(lower(line), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '') AS w
-      FROM lines
+    WITH templates(t, license, n, low, high) AS (VALUES {", ".join(values)}),
+    known(t, pair, many) AS (VALUES {", ".join(pairs_of)}),
+    texts AS (
+      SELECT row_number() OVER () AS r, doc_id,
+             list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '') AS w
+      FROM documents
     ),
     grams AS (
-      SELECT doc_id, place, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS pairs
-      FROM words WHERE len(w) >= 2 AND len(w) <= 200
+      SELECT r, pos, w[pos + 1] || ' ' || w[pos + 2] AS pair
+      FROM (SELECT r, w, unnest(range(0, len(w) - 1)) AS pos FROM texts WHERE len(w) >= 2)
+    ),
+    -- "since": where the same bigram stands as many occurrences before as the template has of it
+    places AS (
+      SELECT g.r, k.t, g.pos, coalesce(lag(g.pos, k.many) OVER (PARTITION BY g.r, k.t, g.pair ORDER BY g.pos), -1) AS since
+      FROM grams g JOIN known k ON g.pair = k.pair
+    ),
+    starts AS (
+      SELECT p.*, s.license, s.n, s.high FROM places p JOIN templates s ON p.t = s.t
+      QUALIFY lead(p.pos, s.low - 1) OVER (PARTITION BY p.r, p.t ORDER BY p.pos) - p.pos < s.high
+    ),
+    windows AS (
+      SELECT a.r, a.t, a.license, a.pos AS first, b.pos AS last,
+             2.0 * sum(CASE WHEN b.since < a.pos THEN 1 ELSE 0 END) OVER (PARTITION BY a.r, a.t, a.pos ORDER BY b.pos) / (b.pos - a.pos + 1 + a.n) AS dice
+      FROM starts a JOIN places b ON a.r = b.r AND a.t = b.t AND b.pos BETWEEN a.pos AND a.pos + a.high - 1
     ),
-    scored AS (
-      SELECT g.doc_id, g.place, t.license,
-             2.0 * len(list_intersect(g.pairs, t.pairs)) / (len(g.pairs) + len(t.pairs)) AS dice
-      FROM grams g JOIN templates t ON len(g.pairs) BETWEEN t.low AND t.high
+    hits AS (
+      SELECT r, struct_pack(less := -dice, fewer := first - last, license := license, first := first, last := last) AS h
+      FROM windows QUALIFY row_number() OVER (PARTITION BY r, t, first ORDER BY dice DESC, last) = 1 AND dice >= {THRESHOLD} - 1e-9
     ),
-    matched AS (
-      SELECT doc_id, place, max(dice) AS dice,
-             arg_min(license, struct_pack(a := -dice, b := license)) AS license
-      FROM scored GROUP BY doc_id, place HAVING max(dice) >= {THRESHOLD} - 1e-9
+    -- of windows that share a word the best
+    kept AS (
+      SELECT r, list_reduce(list([h] ORDER BY h), lambda found, x: CASE
+        WHEN len(list_filter(found, lambda k: x[1].first <= k.last + 1 AND k.first <= x[1].last + 1)) > 0 THEN found
+        ELSE list_concat(found, x) END) AS found
+      FROM hits GROUP BY r
     ),
     told AS (
-      SELECT doc_id, count(*) AS n_lines, round(max(dice), 6) AS dice,
-             arg_min(license, struct_pack(a := -dice, b := license)) AS license
-      FROM matched GROUP BY doc_id
+      SELECT r, len(found) AS n_lines, list_min(list_transform(found, lambda h: struct_pack(less := h.less, license := h.license))) AS best
+      FROM kept
     )
-    SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, t.license, CAST(t.dice AS DOUBLE) AS dice
-    FROM documents d LEFT JOIN told t ON d.doc_id = t.doc_id
+    SELECT d.doc_id, CAST(coalesce(t.n_lines, 0) AS BIGINT) AS n_lines, t.best.license AS license, CAST(round(-t.best.less, 6) AS DOUBLE) AS dice
+    FROM texts d LEFT JOIN told t ON d.r = t.r
     """
 
 

@@ -375,3 +375,25 @@ def test_windows_equal_brute_force(spark):
         top = min(((h[0], h[2]) for h in kept), default=None)
         assert got[i]["n_lines"] == len(kept), text
         assert (got[i]["license"], got[i]["dice"]) == ((top[1], round(-top[0], 6)) if top else (None, None))
+
+
+def test_the_sql_of_the_licence_scan_looks_at_whole_texts(spark):
+    """Notices wrapped over lines, inside long lines, and of many sentences: in SQL as in the scan."""
+    import duckdb
+    import pyarrow as pa
+
+    filler = " ".join(f"word{i}" for i in range(300))
+    full = dict(licenses.FULL_TEXTS)
+    texts = [
+        "Released under the\nMIT License.", f"{filler} All rights reserved. {filler}", full["MIT"], full["ISC"].replace(" ", "\n"),
+        "All rights reserved.\nReleased under the BSD\n3-Clause License. All rights reserved.", f"{full['GPL-3.0']} {filler} {full['Apache-2.0']}",
+        "rights reserved", "", None,
+    ]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1, texts[1]), (None, texts[0])]
+    want = sorted(map(repr, map(tuple, licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())))
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]}))
+    got = con.execute(licenses._sql()).fetchall()
+    assert sorted(map(repr, got)) == want
+    found = {i: (n, name) for i, n, name, _ in got}
+    assert found[0] == (1, "MIT") and found[2] == (1, "MIT") and found[4] == (3, "BSD-3-Clause") and found[5] == (2, "Apache-2.0")
