@@ -276,7 +276,7 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """
     lines = charged_lines(spark, folder, *LINE_KEY, *LINEAR)
     small = families.Settings(tree_depth=3, forest_step=3, forest_most=3, forest_depth=3, rounds=2, boost_depth=2, watched=0.0)
-    _, fitted = families.compare(lines, LINEAR, "charge", LINE_KEY, 2, small, PARTS)
+    _, fitted = families.compare(lines, LINEAR, "charge", LINE_KEY, 2, small, 0)
     line = LinearRegression(featuresCol="features", labelCol="charge", predictionCol="prediction")
     kinds = {"line": fitted["linear"], **{n: fitted[n] for n in ("tree", "forest", "boosted")}}
     kinds["pipeline"] = features.feature_pipeline(LINEAR, None, line).fit(lines)
