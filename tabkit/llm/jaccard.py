@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.llm.common import U64, SpanHasher, map_text, mix, query, reach_package, table, word_hashes
+from tabkit.llm.common import U64, SpanHasher, map_text, mix, query, reach_package, released, table, word_hashes
 from tabkit.llm.graph import components
 from tabkit.session import materialize
 
@@ -311,7 +311,7 @@ def measured(docs: DataFrame, text: str = "text", key: str = "doc_id", words: in
         names = [c.split()[0] for c in SETS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-    return docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`")).mapInArrow(run, SETS)
+    return docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`")).mapInArrow(released(run), SETS)
 
 
 def frequent_shingles(sets: DataFrame, most: int = FREQUENT) -> np.ndarray:
@@ -351,7 +351,7 @@ def blocks(docs: DataFrame, frequent: np.ndarray, text: str, key: str, words: in
         )
 
     source = docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`"))
-    return source.mapInArrow(run, "block long, doc long")
+    return source.mapInArrow(released(run), "block long, doc long")
 
 
 def block_links(rows: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.llm.common import bucket_of, map_text, query, reach_package, table
+from tabkit.llm.common import bucket_of, map_text, query, reach_package, released, table
 
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}+")
@@ -118,7 +118,7 @@ def train(
     sample = rows.filter(F.xxhash64("key") <= share[F.col("lang")])
     counted = (
         sample.select("lang", "text")
-        .mapInArrow(_word_counts, "lang string, item string, n long")
+        .mapInArrow(released(_word_counts), "lang string, item string, n long")
         .groupBy("lang", "item")
         .agg(F.sum("n").alias("n"))
     )
@@ -127,7 +127,7 @@ def train(
         totals = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
         word_counts = counted.select("lang", "item", "n").toArrow()
         pieces = (
-            counted.mapInArrow(_gram_counts, "lang string, item string, size int, n long")
+            counted.mapInArrow(released(_gram_counts), "lang string, item string, size int, n long")
             .groupBy("lang", "item", "size")
             .agg(F.sum("n").alias("n"))
         )

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm.common import query, reach_package, slices, table
+from tabkit.llm.common import query, reach_package, released, slices, table
 from tabkit.session import materialize
 
 VOCABULARY = "word_bpe_49k.json"
@@ -155,7 +155,7 @@ def pieces(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
         memo.forget()
 
     source = docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`"))
-    return source.mapInArrow(run, PIECES)
+    return source.mapInArrow(released(run), PIECES)
 
 
 # --- packings -------------------------------------------------------------------------

@@ -220,3 +220,12 @@ def test_crossover_builds_the_packing_also_where_best_fit_reaches_the_bound():
     found = packing.evolve(lengths, first, 2048, packing.GENERATIONS, rng, packing.LEAST_GENERATIONS)[0]
     assert found.max() == first[0].max() and (packing.fills(lengths, found) <= 2048).all()
     assert packing.fitness(lengths, found, 2048) >= packing.fitness(lengths, first[0], 2048)
+
+
+def test_a_task_ends_by_giving_memory_back(spark, monkeypatch):
+    """Workers outlive their tasks: what a map over batches freed must not stay with them."""
+    from tabkit.llm import common
+
+    told = []
+    monkeypatch.setattr(common, "release", lambda: told.append("released"))
+    assert list(common.released(lambda batches: (2 * b for b in batches))([1, 2])) == [2, 4] and told == ["released"]
