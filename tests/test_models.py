@@ -486,3 +486,67 @@ def test_rows_spread_as_the_session_says(spark):
         assert session.spread(df, ["id"], 0).select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_bins_in_the_plan_are_those_of_the_code(spark):
+    """Also of missing and infinite values, zeros of either sign, and columns of one or no value."""
+    inf, nan = float("inf"), float("nan")
+    few = [None, nan, -inf, inf, 0.0, -0.0, 1.0, 2.5, 0.5, -3.0]
+    rows = [(i, few[i % 10], float(i * 7 % 1000) - 500, 4.0, None, 1.0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double, y double")
+    for bins in (histograms.fit_bins(df, list("abcd")), histograms.Bins(tuple("ab"), (np.array([-inf, -1.0, 0.0, 1.0, inf]), np.array([0.0])))):
+        got = histograms.prepare(df, bins, "y", {"id": F.col("id")}, ["id"], 2).orderBy("id").toPandas()
+        for i, c in enumerate(bins.columns):
+            values = np.array([nan if r["abcd".index(c) + 1] is None else r["abcd".index(c) + 1] for r in rows], float)
+            assert got[f"_x{i}"].tolist() == bins.code(i, values).tolist()
+
+
+def test_families_pass_no_row_through_python(spark, monkeypatch):
+    """Where many rows have equal bins, only cells leave Spark: binning, draws, scores and predictions do not."""
+    rows = [(i, float(i % 3), float(i % 2), float(i % 3) * 10 + i % 7) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double").repartition(4, "id")
+    sizes, plain = [], type(df).mapInArrow
+
+    def noted(self, *rest, **more):
+        sizes.append(self.count())
+        return plain(self, *rest, **more)
+
+    monkeypatch.setattr(type(df), "mapInArrow", noted)
+    small = families.Settings(tree_depth=1, tree_gain=0.0, forest_step=3, forest_most=3, forest_depth=1, rounds=2, boost_depth=1, watched=0.0)
+    scores, _ = families.compare(df, ["a", "b"], "y", ["id"], 3, small, 4)
+    assert {(r["model"], r["fold"]) for r in scores.collect()} == {(m, f) for m in families.FAMILIES for f in range(3)}
+    assert sizes and max(sizes) <= 6 * 3 * 8 * 4
+
+
+def test_out_of_bag_r2_of_cells_is_that_of_rows(binned, monkeypatch):
+    """Rows that the same trees leave out are scored together; three slots, one of rows without a hash."""
+    table, bins, _ = binned
+    table = table.withColumn("_k", F.when(F.col("id") % 10 > 0, F.col("_k")))
+    slots = ["_train", "_held_out", "_test"]
+    found = {}
+    for alike in (0, 4):
+        monkeypatch.setattr(histograms, "ALIKE", alike)
+        found[alike] = histograms.forests(table, bins, "_k", slots, step=3, most=3, depth=3)
+    assert [m.trees for m in found[0][0]] == [m.trees for m in found[4][0]] or all(
+        a.feature == b.feature and a.cut == b.cut and a.value == pytest.approx(b.value)
+        for x, y in zip(found[0][0], found[4][0]) for a, b in zip(x.trees, y.trees)
+    )
+    assert [r[:2] for r in found[0][1]] == [r[:2] for r in found[4][1]]
+    assert [r[2] for r in found[0][1]] == pytest.approx([r[2] for r in found[4][1]], abs=1e-9)
+
+
+def test_predictions_looked_up_are_those_of_the_rows(spark, monkeypatch):
+    rows = [(i, None if i % 11 == 0 else float(i % 5), float(i % 3), float(i % 5 * 3 + i % 3)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    bins = histograms.fit_bins(df, ["a", "b"])
+    flags = {f"_t{p}": (F.col("id") % 2 == p).cast("byte") for p in range(2)}
+    table = histograms.prepare(df, bins, "y", {"id": F.col("id"), "_part": (F.col("id") % 2).cast("int"), **flags}, ["id"], 3)
+    added = histograms.cells(table, bins, list(flags))
+    trees = histograms.decision_trees(table, bins, list(flags), 3, 1, 0.0, added)
+    deep = histograms.decision_trees(table, bins, list(flags), 1, 1, 0.0)
+    models_of = {0: (trees[1], deep[1]), 1: (trees[0], deep[0])}
+    want = sorted(histograms.predictions(table, models_of, "_part", ["id"]).collect())
+    assert len(want) == 900 and len({tuple(r["_p"]) for r in want}) > 10
+    assert sorted(histograms.predictions(table, models_of, "_part", ["id"], added).collect()) == want
+    monkeypatch.setattr(histograms, "small_side", lambda df: df)  # too many cells: each row is called
+    assert sorted(histograms.predictions(table, models_of, "_part", ["id"], added).collect()) == want
