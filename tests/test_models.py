@@ -9,6 +9,7 @@ from tabkit import session
 from tabkit.functions import folds
 from tabkit.functions.hashing import key_hash
 from tabkit.operators import families, features, gram, histograms, metrics, models, softmax, splits, training
+from tabkit.plans import trees
 from tabkit.sources import writers
 
 COLUMNS = ["a", "b", "c"]
@@ -550,3 +551,78 @@ def test_predictions_looked_up_are_those_of_the_rows(spark, monkeypatch):
     assert sorted(histograms.predictions(table, models_of, "_part", ["id"], added).collect()) == want
     monkeypatch.setattr(histograms, "small_side", lambda df: df)  # too many cells: each row is called
     assert sorted(histograms.predictions(table, models_of, "_part", ["id"], added).collect()) == want
+
+
+class Seen(Exception):
+    """Ends a query once what it asked for is known."""
+
+
+def test_the_stored_winner_is_of_families_grown_to_their_stop_rules(spark, folder, monkeypatch):
+    """No smaller trees, forests or boosting, no fewer folds, and the columns as they are."""
+
+    def asked(df, columns, target, keys, k=5, settings=families.Settings(), parts=None):
+        assert (columns, k, settings, df.count()) == (trees.COLUMNS, 5, families.Settings(), spark.read.parquet(f"{folder}/lineitem.parquet").count())
+        assert df.filter(F.col("l_extendedprice") % 5000 != 0).count()
+        raise Seen
+
+    monkeypatch.setattr(families, "compare", asked)
+    with pytest.raises(Seen):
+        trees.best_model_stored(spark, folder)
+
+
+def _linear_sql() -> str:
+    """``lw``: least-squares weights on three columns for each group ``g`` of ``x``."""
+    pairs = [("a", "f0"), ("b", "f1"), ("c", "f2"), ("y", "y")]
+    spreads = ", ".join(f"covar_pop({p}, {q}) AS {m}{n}" for i, (m, p) in enumerate(pairs) for n, q in pairs[i:])
+    return f"""ls AS (SELECT g, {spreads}, avg(f0) ma, avg(f1) mb, avg(f2) mc, avg(y) my FROM x WHERE learn GROUP BY g),
+ld AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM ls),
+lw AS (SELECT *, (ay * (bb * cc - bc * bc) - ab * (by_ * cc - bc * cy) + ac * (by_ * bc - bb * cy)) / det AS wa,
+  (aa * (by_ * cc - bc * cy) - ay * (ab * cc - bc * ac) + ac * (ab * cy - by_ * ac)) / det AS wb,
+  (aa * (bb * cy - by_ * bc) - ab * (ab * cy - by_ * ac) + ay * (ab * bc - bb * ac)) / det AS wc FROM ld)""".replace(" AS by,", " AS by_,")
+
+
+def _families_sql() -> str:
+    """Scores of the four families on each fold left out, in SQL."""
+    return f"""{trees.ROWS_SQL},
+x AS (SELECT k.g, r.*, r.fold <> k.g AS learn FROM rows_ r, (SELECT unnest(range(5)) AS g) k),
+{_linear_sql()},
+pl AS (SELECT x.g, 'linear' AS model, x.y, my + wa * (f0 - ma) + wb * (f1 - mb) + wc * (f2 - mc) AS p FROM x JOIN lw ON lw.g = x.g WHERE NOT learn),
+tr AS (SELECT g, 1 AS w, y AS r, f0, f1, f2 FROM x WHERE learn),
+{trees._stump_sql("tt", "tr")},
+pt AS (SELECT x.g, 'tree' AS model, x.y, {trees._call_sql("tt_b", "x")} AS p FROM x JOIN tt_b ON tt_b.g = x.g WHERE NOT learn),
+fr AS ({" UNION ALL ".join(f"SELECT g * {trees.BAG} + {j} AS g, {trees._draws_sql(j)} AS w, y AS r, f0, f1, f2 FROM x WHERE learn" for j in range(trees.BAG))}),
+{trees._stump_sql("ff", "fr")},
+pf AS (SELECT x.g, 'forest' AS model, any_value(x.y) AS y, avg({trees._call_sql("ff_b", "x")}) AS p FROM x JOIN ff_b ON ff_b.g // {trees.BAG} = x.g
+  WHERE NOT learn GROUP BY x.g, x.i),
+{trees._boost_sql("x", "g", "learn")},
+pb AS (SELECT g, 'boosted' AS model, y, s AS p FROM s{trees.ROUNDS} WHERE NOT learn),
+scored AS (SELECT model, g, 1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) AS r2, sqrt(avg((y - p) ** 2)) AS rmse, avg(abs(y - p)) AS mae
+  FROM (SELECT * FROM pl UNION ALL SELECT * FROM pt UNION ALL SELECT * FROM pf UNION ALL SELECT * FROM pb) GROUP BY model, g),
+told AS (SELECT model, avg(r2) AS r2_mean, stddev_pop(r2) AS r2_std, avg(rmse) AS rmse_mean, avg(mae) AS mae_mean FROM scored GROUP BY model)"""
+
+
+def test_families_at_their_smallest_equal_sql(spark):
+    """Single cuts, three trees and three rounds on columns of few values, where SQL can try every cut."""
+    import duckdb
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    n = 600
+    rows = {
+        "l_orderkey": np.arange(n) // 3, "l_linenumber": np.arange(n) % 3 + 1, "l_extendedprice": rng.integers(900, 60_000, n) * 1.0,
+        "l_discount": rng.integers(0, 11, n) / 100, "l_tax": rng.integers(0, 9, n) / 100,
+    }
+    con = duckdb.connect()
+    con.register("lineitem", pa.table(rows))
+    want = {r[0]: r[1:] for r in con.execute(f"WITH {_families_sql()} SELECT model, r2_mean, r2_std, rmse_mean, mae_mean FROM told").fetchall()}
+    df = spark.createDataFrame(list(zip(*[c.tolist() for c in rows.values()])), "l_orderkey long, l_linenumber long, l_extendedprice double, l_discount double, l_tax double")
+    df = df.selectExpr("*", "double(floor(l_extendedprice / 5000)) AS price_band", f"{trees.CHARGE_SQL} AS charge")
+    small = families.Settings(
+        tree_depth=1, tree_least=10, tree_gain=0.0, forest_step=trees.BAG, forest_most=trees.BAG, forest_depth=1,
+        rounds=trees.ROUNDS, boost_depth=1, watched=0.0,
+    )
+    scores, _ = families.compare(df, trees.FEW, "charge", trees.LINE_KEY, 5, small, 4)
+    got = metrics.across_folds(scores, ["r2", "rmse", "mae"], ["model"]).collect()
+    assert {r["model"] for r in got} == set(want) == set(families.FAMILIES)
+    for r in got:
+        assert [r[c] for c in ("r2_mean", "r2_std", "rmse_mean", "mae_mean")] == pytest.approx(want[r["model"]], rel=1e-6)
