@@ -8,8 +8,10 @@ a line or be wrapped over several.
 Only windows that start and end with a shared bigram are looked at, as trimming others off
 raises the coefficient, and only where so many of a template's bigrams stand within the
 greatest admitted size that the threshold can be reached.  Of overlapping windows the best
-is kept: by coefficient, then the longer one, then by name.  It all happens within a row,
-by DataFrame functions: nothing is shuffled.
+is kept: by coefficient, then the longer one, then by name.  All windows that reach the
+threshold take part, not only the best of a start: where that one runs into a better notice,
+a shorter one stands.  (One that holds a better window overlaps whatever that one overlaps,
+and is left out.)  It all happens within a row, by DataFrame functions: nothing is shuffled.
 
 Null and empty texts, and texts without words, have no match.  Of equally good notices
 the first by name gives the text its licence.
@@ -172,7 +174,7 @@ HIT = "array<struct<less:double,fewer:int,license:string,first:int,last:int>>"
 
 
 def windows(places: Column, t: Column, threshold: float) -> Column:
-    """The best window from every start that reaches the threshold for one template."""
+    """The windows from every start that reach the threshold for one template."""
     mine = F.filter(
         F.transform(
             places,
@@ -197,29 +199,27 @@ def windows(places: Column, t: Column, threshold: float) -> Column:
 
         return F.sort_array(F.transform(F.sequence(F.lit(0), F.size(found) - 1), before))
 
-    def best(row: Column, a: Column) -> Column:
+    def reaching(row: Column, a: Column) -> Column:
+        """The windows from one start that reach the threshold; a longer one only if no shorter one is better."""
         start = F.get(row, a)["at"]
-        zero = F.struct(F.lit(0).alias("shared"), F.lit(0.0).alias("dice"), F.lit(-1).alias("last"))
+        zero = F.struct(F.lit(0).alias("shared"), F.lit(0.0).alias("dice"), F.array().cast(HIT).alias("found"))
 
         def step(told: Column, x: Column) -> Column:
             shared = told["shared"] + F.when(x["before"] < start, 1).otherwise(0)
             size = x["at"] - start + 1
             dice = 2.0 * shared / (size + t["n"])
-            better = (size <= t["high"]) & (dice > told["dice"])
+            good = (size <= t["high"]) & (dice >= told["dice"])
+            hit = F.struct(
+                (-dice).alias("less"), (start - x["at"]).alias("fewer"), t["license"].alias("license"),
+                start.alias("first"), x["at"].alias("last"),
+            )
             return F.struct(
                 shared.alias("shared"),
-                F.when(better, dice).otherwise(told["dice"]).alias("dice"),
-                F.when(better, x["at"]).otherwise(told["last"]).alias("last"),
+                F.when(good, dice).otherwise(told["dice"]).alias("dice"),
+                F.when(good & (dice >= threshold - 1e-9), F.concat(told["found"], F.array(hit))).otherwise(told["found"]).alias("found"),
             )
 
-        top = F.aggregate(F.slice(row, a + 1, t["high"]), zero, step)
-        return let(
-            top,
-            lambda x: F.struct(
-                (-x["dice"]).alias("less"), (start - x["last"]).alias("fewer"), t["license"].alias("license"),
-                start.alias("first"), x["last"].alias("last"),
-            ),
-        )
+        return F.aggregate(F.slice(row, a + 1, t["high"]), zero, step)["found"]
 
     def starts(row: Column) -> Column:
         # a window needs as many places of the template as its least size has
@@ -227,7 +227,7 @@ def windows(places: Column, t: Column, threshold: float) -> Column:
             F.sequence(F.lit(0), F.size(row) - t["low"]),
             lambda a: F.get(row, a + t["low"] - 1)["at"] - F.get(row, a)["at"] < t["high"],
         )
-        return F.filter(F.transform(dense, lambda a: best(row, a)), lambda h: h["less"] <= -threshold + 1e-9)
+        return F.flatten(F.transform(dense, lambda a: reaching(row, a)))
 
     none = F.array().cast(HIT)
     return let(
@@ -314,7 +314,7 @@ def _sql(templates: list[tuple[str, str]] | None = None) -> str:
     ),
     hits AS (
       SELECT r, struct_pack(less := -dice, fewer := first - last, license := license, first := first, last := last) AS h
-      FROM windows QUALIFY row_number() OVER (PARTITION BY r, t, first ORDER BY dice DESC, last) = 1 AND dice >= {THRESHOLD} - 1e-9
+      FROM windows WHERE dice >= {THRESHOLD} - 1e-9
     ),
     -- of windows that share a word the best
     kept AS (

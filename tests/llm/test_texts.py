@@ -397,3 +397,24 @@ def test_the_sql_of_the_licence_scan_looks_at_whole_texts(spark):
     assert sorted(map(repr, got)) == want
     found = {i: (n, name) for i, n, name, _ in got}
     assert found[0] == (1, "MIT") and found[2] == (1, "MIT") and found[4] == (3, "BSD-3-Clause") and found[5] == (2, "Apache-2.0")
+
+
+def test_lines_that_match_by_themselves_count_beside_a_better_one(spark):
+    """A start's best window may run into the next notice; its shorter ones still stand, in scan and SQL."""
+    import duckdb
+    import pyarrow as pa
+
+    full = dict(licenses.FULL_TEXTS)
+    texts = [
+        "CC BY-SA 4.0\nLicensed under CC BY-SA 4.0.",
+        "Under the BSD 3-Clause License.\nReleased under the BSD 2-Clause License.",
+        "Is licensed under the GNU General Public License, version\nThis work is licensed under the GNU General Public License, version 3.",
+        f"Licensed under CC BY-SA 4.0.\nis subject to the terms of the Mozilla Public License, version 2\n{licenses.TEMPLATES['MPL-2.0']}",
+        f"{full['Apache-2.0']}\n{full['MIT']}\n{full['MIT'][:-200]}\n{full['GPL-3.0']}",
+    ]
+    want = [(0, 2, "CC-BY-SA-4.0", 1.0), (1, 2, "BSD-2-Clause", 1.0), (2, 2, "GPL-3.0", 1.0), (3, 3, "CC-BY-SA-4.0", 1.0), (4, 4, "Apache-2.0", 1.0)]
+    got = licenses.scan(documents(spark, [(i, t, "en") for i, t in enumerate(texts)])).collect()
+    assert sorted(map(tuple, got)) == want
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": list(range(len(texts))), "text": texts}))
+    assert sorted(con.execute(licenses._sql()).fetchall()) == want
